@@ -26,14 +26,18 @@ class Measured:
     def small(self) -> bool:
         return self.rows <= self.max_rows
 
-    def side(self, df: DataFrame | None = None) -> DataFrame:
+    def fits(self, max_rows: int | None = None) -> bool:
+        return self.rows <= (self.max_rows if max_rows is None else max_rows)
+
+    def side(self, df: DataFrame | None = None, max_rows: int | None = None) -> DataFrame:
         """``df`` (default: the measured frame) with a broadcast hint when the measurement allows it.
 
         ``df`` must be derived from the measured frame by projection or filtering, so that its row
-        count is bounded by the measured one.
+        count is bounded by the measured one. ``max_rows`` overrides the bound (e.g. a lower one
+        for wide rows).
         """
         target = self.df if df is None else df
-        return F.broadcast(target) if self.small else target
+        return F.broadcast(target) if self.fits(max_rows) else target
 
     def release(self) -> None:
         self.df.unpersist()

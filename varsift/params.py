@@ -104,9 +104,10 @@ class FilterParams:
     known_variants: tuple[str, ...] = KNOWN_DATABASES
     clinvar_significance: tuple[str, ...] = CLINVAR_SIGNIFICANCE
     profile: Profile = NEW_PROFILE
-    # Largest number of rows of the gene-restricted consequence table that is still broadcast.
-    # The size is measured once per run; above it the plan falls back to shuffle joins.
-    broadcast_max_rows: int = 2_000_000
+    # Broadcast bounds, checked against measured row counts (above them: shuffle joins + AQE).
+    # Key sets are four narrow columns (~50 bytes a row); annotated rows carry ~30 columns.
+    broadcast_max_keys: int = 4_000_000
+    broadcast_max_rows: int = 500_000
     # Restrict the annotation tables to the variant keys of the listed genes before joining.
     key_reduction: bool = True
     output_basename: str = DEFAULT_BASENAME
@@ -121,8 +122,8 @@ class FilterParams:
         object.__setattr__(self, "clinvar_significance", tuple(self.clinvar_significance))
         if isinstance(self.profile, str):
             object.__setattr__(self, "profile", PROFILES[self.profile])
-        if self.broadcast_max_rows < 0:
-            raise ValueError("broadcast_max_rows must be >= 0")
+        if self.broadcast_max_rows < 0 or self.broadcast_max_keys < 0:
+            raise ValueError("broadcast bounds must be >= 0")
 
     @property
     def use_clinvar(self) -> bool:

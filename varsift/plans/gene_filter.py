@@ -2,19 +2,19 @@
 
 Plan shape (new layout, default parameters)::
 
-    consequences --[canonical, gene IN (...)]--> C  (persisted, counted once: the only early action)
-    variants  --[study overlap]--(semi by keys(C))--> V        keys(C) is broadcast when C is small
+    consequences --[canonical, gene IN (...)]--> C            persisted + counted (action 1)
+    variants  --[study overlap]--(semi by keys(C))--> V        keys(C) broadcast when C is small; V persisted
     dbNSFP    --(semi by keys(C))--> D
     ClinVar   --[gene, significance]--(semi by keys(C))--> ⋈ V --> K1
     HGMD      --[gene, DM*]--(semi by keys(C))--> ⋈ V --> K2
-    F = C ⋈ V ⟕ D ⟕ K1 ⟕ K2, flag, keep flag = 1
-    occurrences --[biallelic, has_alt = 1, called]--(semi by distinct keys(F))--> O
-    F ⋈ O ⟕ diagnoses lists ⟕ phenotype lists ⟕ study codes
+    F = C ⋈ V ⟕ D ⟕ K1 ⟕ K2, flag, keep flag = 1               persisted + counted (action 2)
+    occurrences --[biallelic, has_alt = 1, called]--> O
+    F ⋈ O (F broadcast when small) ⟕ diagnoses lists ⟕ phenotype lists ⟕ study codes   (final action)
 
 Every annotation table and the genotype table are cut down to the variant keys of the listed genes
 where they are read: with a small key set the semi-joins are broadcast hash joins, so the large
 tables are filtered in place and never shuffled whole. The key set is measured before it is
-broadcast; above ``FilterParams.broadcast_max_rows`` the same plan runs with shuffle joins and AQE
+broadcast; above ``FilterParams.broadcast_max_keys`` / ``broadcast_max_rows`` the same plan runs with shuffle joins and AQE
 (skew splitting, run-time broadcast of small sides).
 """
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from varsift.operators import annotations as A
@@ -71,12 +72,12 @@ class GeneFilterPlan:
     candidates: DataFrame
     flagged: DataFrame
     carriers: DataFrame
-    measured: Measured | None
+    measured: list[Measured]
 
     def release(self) -> None:
-        """Drop the cached gene-restricted consequences."""
-        if self.measured is not None:
-            self.measured.release()
+        """Drop the cached gene-restricted consequences and flagged variants."""
+        for m in self.measured:
+            m.release()
 
 
 def output_columns(params: FilterParams) -> list[str]:
@@ -105,18 +106,21 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
     studies = list(studies)
 
     csq = A.canonical_consequences(tables.consequences, gene_set, studies, prof)
-    measured = None
+    measured_csq = None
     keys = None
     if params.key_reduction:
-        measured = measure(csq, params.broadcast_max_rows)
-        csq = measured.df
-        keys = measured.side(csq.select(*KEY))
+        measured_csq = measure(csq, params.broadcast_max_keys)
+        csq = measured_csq.df
+        keys = measured_csq.side(csq.select(*KEY))
 
     def reduce_to_genes(df: DataFrame) -> DataFrame:
         return df if keys is None else df.join(keys, KEY, "left_semi")
 
     variants = A.variant_frequencies(reduce_to_genes(tables.variants), studies, prof)
-    csq_side = measured.side(csq) if measured is not None else csq
+    if params.key_reduction:
+        # Read once, used by J1, J3 and J4.
+        variants = variants.persist(StorageLevel.MEMORY_AND_DISK)
+    csq_side = measured_csq.side(csq, params.broadcast_max_rows) if measured_csq is not None else csq
     gene_variants = FL.gene_variants(csq_side, variants)
 
     damage = A.damage_predictions(reduce_to_genes(tables.dbnsfp))
@@ -131,15 +135,25 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
 
     carriers = O.credible_carriers(tables.occurrences, params.aaf, prof,
                                    studies if restrict_occurrences_to_studies else None)
-    flagged_keys = None
-    if measured is not None:
-        # Distinct flagged keys are a subset of the measured keys, so the bound carries over.
-        flagged_keys = measured.side(flagged.select(*KEY).distinct())
-    joined = O.join_carriers(flagged, carriers, flagged_keys)
+    measured_flagged = None
+    if params.key_reduction:
+        # The flagged rows are measured too: their exact count bounds the build side of J7.
+        measured_flagged = measure(flagged, params.broadcast_max_rows)
+        flagged = measured_flagged.df
+        variants.unpersist()
+    if measured_flagged is not None and measured_flagged.fits():
+        # Broadcast hash join: the genotype table is streamed once, filtered where it is read.
+        joined = O.join_carriers(measured_flagged.side(), carriers)
+    elif measured_csq is not None and measured_csq.fits():
+        # Many flagged rows per key: semi-join by the (bounded) distinct keys, then shuffle only carriers.
+        joined = O.join_carriers(flagged, carriers, measured_csq.side(flagged.select(*KEY).distinct()))
+    else:
+        joined = O.join_carriers(flagged, carriers)
     enriched = C.enrich(joined, tables.diagnoses, tables.phenotypes,
                         tables.studies if prof.has_studies_table else None, prof.clinical_layout)
     result = enriched.select(*output_columns(params))
-    return GeneFilterPlan(result, csq, variants, candidates, flagged, joined, measured)
+    return GeneFilterPlan(result, csq, variants, candidates, flagged, joined,
+                          [m for m in (measured_csq, measured_flagged) if m is not None])
 
 
 def filter_variants(tables: VariantTables, genes: Sequence[str] | DataFrame | GeneSet, studies: Sequence[str],
