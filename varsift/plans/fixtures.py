@@ -10,8 +10,6 @@ work grows with the scale factor.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,72 +147,105 @@ def flat_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
 _KEYS = ["chromosome", "start", "reference", "alternate"]
 
 
-@dataclass
 class MappedTables:
-    """Genomic-shaped tables (new profile) built from the test tables."""
-
-    consequences: DataFrame
-    variants: DataFrame
-    dbnsfp: DataFrame
-    clinvar: DataFrame
-    hgmd: DataFrame
-    occurrences: DataFrame
-    diagnoses: DataFrame
-    phenotypes: DataFrame
-    studies: DataFrame
+    """Genomic-shaped tables (new profile) built lazily from the test tables.
+
+    Each table is defined on first use and kept, so several queries on the same session and
+    directory share the definitions (plans only; no data is cached).
+    """
+
+    NAMES = ("consequences", "variants", "dbnsfp", "clinvar", "hgmd", "occurrences", "diagnoses", "phenotypes",
+             "studies")
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._sf_dir = sf_dir.rstrip("/")
+        self._built: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in MappedTables.NAMES:
+            raise AttributeError(name)
+        if name not in self._built:
+            self._built[name] = getattr(self, f"_build_{name}")()
+        return self._built[name]
+
+    def _fv(self, view: str) -> DataFrame:
+        return flat_view(self._spark, self._sf_dir, view)
+
+    def _build_variants(self) -> DataFrame:
+        return self._fv("f_variants").select(
+            *_KEYS,
+            F.struct(
+                F.struct(F.col("topmed_af").alias("af")).alias("topmed_bravo"),
+                F.struct(F.col("gnomad_af").alias("af")).alias("gnomad_genomes_2_1_1"),
+                F.struct(F.col("exomes_af").alias("af")).alias("gnomad_exomes_2_1_1"),
+                F.when(F.col("gnomad_af").isNotNull(), F.struct(F.col("gnomad_af").alias("af")))
+                .alias("gnomad_genomes_3"),
+            ).alias("external_frequencies"),
+            F.array(F.struct(F.col("study").alias("study_id"))).alias("studies"),
+        )
+
+    def _build_consequences(self) -> DataFrame:
+        return self._fv("f_consequences").select(
+            *_KEYS, "original_canonical", F.array("consequence").alias("consequence"), "vep_impact", "symbol",
+            "ensembl_gene_id", "refseq_mrna_id", "hgvsc", "hgvsp",
+        )
+
+    def _build_dbnsfp(self) -> DataFrame:
+        return self._fv("f_dbnsfp").select(
+            *_KEYS, F.col("damage").alias("DamagePredCount"), F.col("twinsuk_af").alias("TWINSUK_AF"),
+            F.col("alspac_af").alias("ALSPAC_AF"), F.col("uk10k_af").alias("UK10K_AF"),
+        )
+
+    def _build_clinvar(self) -> DataFrame:
+        return self._fv("f_clinvar").select(
+            *_KEYS, "name", "geneinfo", F.array("sig").alias("clin_sig"), F.array("condition").alias("conditions"),
+        )
+
+    def _build_hgmd(self) -> DataFrame:
+        return self._fv("f_hgmd").select(*_KEYS, "id", "symbol", "variant_class", "phen")
+
+    def _build_occurrences(self) -> DataFrame:
+        return self._fv("f_occ").select(
+            *_KEYS,
+            F.array("ad0", "ad1").alias("ad"), "dp", F.array("call0", "call1").alias("calls"), "filter",
+            "is_lo_conf_denovo", "is_hi_conf_denovo", "is_proband", "affected_status", "gender", "study_id",
+            "biospecimen_id", "participant_id", "mother_id", "father_id", "family_id", "is_multi_allelic",
+            "has_alt",
+        )
+
+    def _build_diagnoses(self) -> DataFrame:
+        return self._fv("f_diagnoses")
+
+    def _build_phenotypes(self) -> DataFrame:
+        # Each event carries exactly the two codings of the f_codings union, so the coding array is
+        # built per row (no grouping needed); the oracle keeps the flat union.
+        events = _read(self._spark, self._sf_dir, "events")
+        eid = F.col("event_id")
+        coding = F.array(
+            F.struct(F.when(eid % 3 == 0, F.lit("HPO")).otherwise(F.lit("ICD")).alias("category"),
+                     F.concat(F.lit("HP:"), (eid % 50).cast("string")).alias("code")),
+            F.struct(F.when((eid + 1) % 3 == 0, F.lit("HPO")).otherwise(F.lit("ICD")).alias("category"),
+                     F.concat(F.lit("HP:"), ((eid + 1) % 50).cast("string")).alias("code")),
+        )
+        return events.select(
+            eid.alias("phenotype_id"),
+            F.concat(F.lit("pt-"), (F.col("user_id") % 90).cast("string")).alias("participant_fhir_id"),
+            F.col("event_type").alias("source_text"),
+            F.when(eid % 4 == 0, F.lit("negative")).otherwise(F.lit("confirmed")).alias("observed"),
+            coding.alias("condition_coding"),
+        )
+
+    def _build_studies(self) -> DataFrame:
+        return self._fv("f_studies")
+
+
+_MAPPED: dict[tuple[int, str], MappedTables] = {}
 
 
 def mapped_tables(spark: SparkSession, sf_dir: str) -> MappedTables:
-    """Wrap the flat views into the nested layout the library reads in production."""
-    fv = lambda v: flat_view(spark, sf_dir, v)
-
-    variants = fv("f_variants").select(
-        *_KEYS,
-        F.struct(
-            F.struct(F.col("topmed_af").alias("af")).alias("topmed_bravo"),
-            F.struct(F.col("gnomad_af").alias("af")).alias("gnomad_genomes_2_1_1"),
-            F.struct(F.col("exomes_af").alias("af")).alias("gnomad_exomes_2_1_1"),
-            F.when(F.col("gnomad_af").isNotNull(), F.struct(F.col("gnomad_af").alias("af")))
-            .alias("gnomad_genomes_3"),
-        ).alias("external_frequencies"),
-        F.array(F.struct(F.col("study").alias("study_id"))).alias("studies"),
-    )
-    consequences = fv("f_consequences").select(
-        *_KEYS, "original_canonical", F.array("consequence").alias("consequence"), "vep_impact", "symbol",
-        "ensembl_gene_id", "refseq_mrna_id", "hgvsc", "hgvsp",
-    )
-    dbnsfp = fv("f_dbnsfp").select(
-        *_KEYS, F.col("damage").alias("DamagePredCount"), F.col("twinsuk_af").alias("TWINSUK_AF"),
-        F.col("alspac_af").alias("ALSPAC_AF"), F.col("uk10k_af").alias("UK10K_AF"),
-    )
-    clinvar = fv("f_clinvar").select(
-        *_KEYS, "name", "geneinfo", F.array("sig").alias("clin_sig"), F.array("condition").alias("conditions"),
-    )
-    hgmd = fv("f_hgmd").select(*_KEYS, "id", "symbol", "variant_class", "phen")
-    occurrences = fv("f_occ").select(
-        *_KEYS,
-        F.array("ad0", "ad1").alias("ad"), "dp", F.array("call0", "call1").alias("calls"), "filter",
-        "is_lo_conf_denovo", "is_hi_conf_denovo", "is_proband", "affected_status", "gender", "study_id",
-        "biospecimen_id", "participant_id", "mother_id", "father_id", "family_id", "is_multi_allelic", "has_alt",
-    )
-    diagnoses = fv("f_diagnoses")
-    # Each event carries exactly the two codings of the f_codings union, so the coding array is
-    # built per row (no grouping needed); the oracle keeps the flat union.
-    events = _read(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    coding = F.array(
-        F.struct(F.when(eid % 3 == 0, F.lit("HPO")).otherwise(F.lit("ICD")).alias("category"),
-                 F.concat(F.lit("HP:"), (eid % 50).cast("string")).alias("code")),
-        F.struct(F.when((eid + 1) % 3 == 0, F.lit("HPO")).otherwise(F.lit("ICD")).alias("category"),
-                 F.concat(F.lit("HP:"), ((eid + 1) % 50).cast("string")).alias("code")),
-    )
-    phenotypes = events.select(
-        eid.alias("phenotype_id"),
-        F.concat(F.lit("pt-"), (F.col("user_id") % 90).cast("string")).alias("participant_fhir_id"),
-        F.col("event_type").alias("source_text"),
-        F.when(eid % 4 == 0, F.lit("negative")).otherwise(F.lit("confirmed")).alias("observed"),
-        coding.alias("condition_coding"),
-    )
-    studies = fv("f_studies")
-    return MappedTables(consequences, variants, dbnsfp, clinvar, hgmd, occurrences, diagnoses, phenotypes,
-                        studies)
+    """The mapped tables of ``sf_dir`` for this session (definitions shared between queries)."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _MAPPED:
+        _MAPPED[key] = MappedTables(spark, sf_dir)
+    return _MAPPED[key]
