@@ -107,7 +107,7 @@ def read_result(spark: SparkSession, path: str, options: ResultReadOptions = Res
     schema-inference pass over the data is made.
     """
     df = (spark.read.option("sep", options.sep).option("header", True).option("nullValue", options.null_value)
-          .option("inferSchema", False).csv(path))
+          .option("quote", '"').option("escape", '"').option("inferSchema", False).csv(path))
     return _typed(df)
 
 

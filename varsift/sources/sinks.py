@@ -54,6 +54,9 @@ def write_tsv(df: DataFrame, path: str, compression: str = "gzip", single_file:
         out = out.coalesce(1)
     writer = (out.write.mode(mode).option("sep", SEPARATOR).option("header", True)
               .option("nullValue", NULL_TEXT).option("emptyValue", "").option("compression", compression))
-    if not quote:
+    if quote:
+        # RFC 4180 quoting (inner quotes doubled), as pandas and R read it.
+        writer = writer.option("quote", '"').option("escape", '"')
+    else:
         writer = writer.option("quote", "").option("escape", "")
     writer.csv(path)
