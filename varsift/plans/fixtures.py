@@ -42,11 +42,12 @@ SELECT {_key('p_partkey')}, p_brand AS symbol, p_type AS consequence, p_size % 5
   concat('NM_', CAST(p_partkey AS STRING)) AS refseq_mrna_id,
   concat('c.', CAST(p_size AS STRING), substr('ACGT', CAST(p_partkey % 4 + 1 AS INT), 1), '>',
          substr('ACGT', CAST((p_partkey + 1) % 4 + 1 AS INT), 1)) AS hgvsc,
-  CASE WHEN p_size % 3 = 0 THEN NULL ELSE concat('p.', CAST(p_size AS STRING), 'X') END AS hgvsp
+  CASE WHEN p_size % 3 = 0 THEN NULL ELSE concat('p.', CAST(p_size AS STRING), 'X') END AS hgvsp,
+  CASE WHEN p_size % 10 = 0 THEN 'SD_B' ELSE 'SD_A' END AS study
 FROM {{part}}
 UNION ALL
 SELECT {_key('p_partkey')}, p_brand, 'UPSTREAM', false, 'MODIFIER', concat('ENSG', CAST(p_partkey AS STRING)),
-  NULL, NULL, NULL
+  NULL, NULL, NULL, CASE WHEN p_size % 10 = 0 THEN 'SD_B' ELSE 'SD_A' END
 FROM {{part}}""",
     "f_dbnsfp": f"""
 SELECT {_key('p_partkey')},
@@ -155,7 +156,7 @@ class MappedTables:
     """
 
     NAMES = ("consequences", "variants", "dbnsfp", "clinvar", "hgmd", "occurrences", "diagnoses", "phenotypes",
-             "studies")
+             "studies", "old_consequences", "old_variants", "old_diagnoses", "old_phenotypes")
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark = spark
@@ -240,6 +241,37 @@ class MappedTables:
         return self._fv("f_studies")
 
 
+    # --- the earlier ("old") layout --------------------------------------------------------
+
+    def _build_old_consequences(self) -> DataFrame:
+        return self._fv("f_consequences").select(
+            *_KEYS, "original_canonical", F.array("consequence").alias("consequences"),
+            F.col("refseq_mrna_id").alias("name"), F.lit("SNV").alias("variant_class"),
+            F.col("vep_impact").alias("impact"), "symbol", "ensembl_gene_id", "refseq_mrna_id",
+            F.col("hgvsc").alias("hgvsg"), "hgvsc", "hgvsp", F.array("study").alias("study_ids"),
+        )
+
+    def _build_old_variants(self) -> DataFrame:
+        af = lambda c: F.struct(F.col(c).alias("af"))
+        return self._fv("f_variants").select(
+            *_KEYS, af("topmed_af").alias("topmed"), af("gnomad_af").alias("gnomad_genomes_2_1"),
+            af("exomes_af").alias("gnomad_exomes_2_1"), F.lit(None).cast("struct<af:double>").alias("gnomad_genomes_3_0"),
+            af("gnomad_af").alias("gnomad_genomes_3_1_1"), F.array("study").alias("studies"),
+        )
+
+    def _build_old_diagnoses(self) -> DataFrame:
+        return self._fv("f_diagnoses").select(
+            F.translate(F.upper("participant_fhir_id"), "-", "_").alias("participant_id"),
+            F.col("source_text").alias("source_text_diagnosis"))
+
+    def _build_old_phenotypes(self) -> DataFrame:
+        hpo = F.filter("condition_coding", lambda c: c["category"] == "HPO")
+        return self.phenotypes.select(
+            F.translate(F.upper("participant_fhir_id"), "-", "_").alias("participant_id"),
+            F.col("source_text").alias("source_text_phenotype"),
+            F.explode_outer(F.transform(hpo, lambda c: c["code"])).alias("hpo_id_phenotype"))
+
+
 _MAPPED: dict[tuple[int, str], MappedTables] = {}
 
 
@@ -249,3 +281,4 @@ def mapped_tables(spark: SparkSession, sf_dir: str) -> MappedTables:
     if key not in _MAPPED:
         _MAPPED[key] = MappedTables(spark, sf_dir)
     return _MAPPED[key]
+

@@ -236,3 +236,47 @@ SQL: dict[str, str] = {
         f"UNION ALL SELECT {K}, biospecimen_id, study_id FROM f_occ WHERE study_id IN ('SD_B')"),
     "gene_based_filter": _with(*FLAGSHIP_CTES) + "SELECT * FROM res",
 }
+
+
+# --- the earlier ("old") layout -------------------------------------------------------------
+_OLD_CSQ = (f"csq_o AS (SELECT {K}, consequence AS consequences, refseq_mrna_id AS rsID, vep_impact AS impact, "
+            "symbol, ensembl_gene_id, refseq_mrna_id, hgvsc AS hgvsg, hgvsc, hgvsp, study AS study_ids "
+            f"FROM f_consequences WHERE original_canonical AND symbol IN ({GENES}) AND study IN ('SD_A'))")
+_OLD_VRT = (f"vrt_o AS (SELECT topmed_af, gnomad_af AS gnomad_genomes_2_1_af, exomes_af AS gnomad_exomes_2_1_af, "
+            f"CAST(NULL AS DOUBLE) AS gnomad_genomes_3_0_af, gnomad_af AS gnomad_genomes_3_1_1_af, {K}, "
+            "greatest(CAST(0 AS DOUBLE), topmed_af, gnomad_af, exomes_af) AS max_gnomad_topmed "
+            "FROM f_variants WHERE study = 'SD_A')")
+_OLD_CAND = (
+    f"cand_o AS (SELECT {_k('c')}, c.consequences, c.rsID, c.impact, c.symbol, c.ensembl_gene_id, c.refseq_mrna_id, "
+    "c.hgvsg, c.hgvsc, c.hgvsp, c.study_ids, v.topmed_af, v.gnomad_genomes_2_1_af, v.gnomad_exomes_2_1_af, "
+    "v.gnomad_genomes_3_0_af, v.gnomad_genomes_3_1_1_af, v.max_gnomad_topmed, d.DamagePredCount, "
+    "d.PredCountRatio_D2T, d.TWINSUK_AF, d.ALSPAC_AF, d.UK10K_AF, "
+    f"{FLAG.replace('max_gnomad_topmed', 'v.max_gnomad_topmed').replace('PredCountRatio_D2T', 'd.PredCountRatio_D2T')}"
+    f" AS flag FROM csq_o c JOIN vrt_o v ON {_on('c', 'v')} LEFT JOIN dbn d ON {_on('c', 'd')})")
+_OLD_OVER = (
+    f"over_o AS (SELECT c.*, k1.VariationID, k1.clin_sig, k1.conditions, k2.HGMDID, k2.variant_class, k2.phen, "
+    "CASE WHEN k2.HGMDID IS NOT NULL OR k1.VariationID IS NOT NULL THEN 1 ELSE c.flag END AS flag2 "
+    f"FROM cand_o c LEFT JOIN clv_o k1 ON {_on('c', 'k1')} LEFT JOIN hgm_o k2 ON {_on('c', 'k2')})")
+_OLD_PHT = ("pht_o AS (SELECT participant_id, "
+            "coalesce(string_agg(text, '|' ORDER BY text NULLS FIRST, code NULLS FIRST), '') AS phenotypes_combined, "
+            "coalesce(string_agg(code, '|' ORDER BY text NULLS FIRST, code NULLS FIRST), '') AS hpos_combined "
+            "FROM (SELECT DISTINCT replace(upper(p.participant_fhir_id), '-', '_') AS participant_id, "
+            "p.source_text AS text, h.code FROM f_phenotypes p LEFT JOIN hpo h ON p.phenotype_id = h.phenotype_id) "
+            "GROUP BY participant_id)")
+_OLD_RESULT = (
+    f"SELECT o.participant_id, {_k('f')}, f.consequences, f.rsID, f.impact, f.symbol, f.ensembl_gene_id, "
+    "f.refseq_mrna_id, f.hgvsg, f.hgvsc, f.hgvsp, f.study_ids, f.topmed_af, f.gnomad_genomes_2_1_af, "
+    "f.gnomad_exomes_2_1_af, f.gnomad_genomes_3_0_af, f.gnomad_genomes_3_1_1_af, f.max_gnomad_topmed, "
+    "f.DamagePredCount, f.PredCountRatio_D2T, f.TWINSUK_AF, f.ALSPAC_AF, f.UK10K_AF, f.VariationID, f.clin_sig, "
+    "f.conditions, f.HGMDID, f.variant_class, f.phen, "
+    "CAST(o.ad0 AS VARCHAR) || '|' || CAST(o.ad1 AS VARCHAR) AS ad, o.dp, o.vaf AS variant_allele_fraction, "
+    "CAST(o.call0 AS VARCHAR) || '|' || CAST(o.call1 AS VARCHAR) AS calls, "
+    "CAST(o.adj0 AS VARCHAR) || '|' || CAST(o.adj1 AS VARCHAR) AS adjusted_calls, o.filter, o.is_lo_conf_denovo, "
+    "o.is_hi_conf_denovo, o.is_proband, o.affected_status, o.gender, o.biospecimen_id, o.mother_id, o.father_id, "
+    "o.family_id, g.diagnoses_combined, p.phenotypes_combined, p.hpos_combined "
+    f"FROM over_o f JOIN carriers o ON {_on('f', 'o')} LEFT JOIN dgn g ON o.participant_id = g.participant_id "
+    "LEFT JOIN pht_o p ON o.participant_id = p.participant_id WHERE f.flag2 = 1")
+
+SQL["gene_based_filter_old"] = _with(
+    _OLD_CSQ, _OLD_VRT, DBN, _OLD_CAND, _clv("clv_o", "vrt_o"), _hgm("hgm_o", "vrt_o"), _OLD_OVER, OCC, CARRIERS,
+    DGN, HPO, _OLD_PHT) + _OLD_RESULT

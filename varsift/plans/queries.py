@@ -266,6 +266,16 @@ def q_gene_based_filter(spark, sf_dir):
     return render(res)
 
 
+def q_gene_based_filter_old(spark, sf_dir):
+    """P1 on the earlier table layout (top-level frequency structs, study list on consequences, flat
+    clinical tables, no study codes, unsorted)."""
+    t = _tables(spark, sf_dir)
+    vt = VariantTables(t.old_consequences, t.old_variants, t.dbnsfp, t.occurrences, t.old_diagnoses,
+                       t.old_phenotypes, t.clinvar, t.hgmd, None)
+    res = plan_gene_filter(vt, GENES, STUDIES, FilterParams(profile="old")).result
+    return render(res)
+
+
 QUERIES: dict[str, Query] = {
     "gene_list_clean": q_gene_list_clean,
     "canonical_gene_filter": q_canonical_gene_filter,
@@ -298,4 +308,5 @@ QUERIES: dict[str, Query] = {
     "combined_results": q_combined_results,
     "multi_study_union": q_multi_study_union,
     "gene_based_filter": q_gene_based_filter,
+    "gene_based_filter_old": q_gene_based_filter_old,
 }
