@@ -133,14 +133,25 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
         candidates = FL.override_with_hgmd(candidates, A.seen_in_variants(hgmd, variants))
     flagged = FL.keep_flagged(candidates)
 
-    carriers = O.credible_carriers(tables.occurrences, params.aaf, prof,
-                                   studies if restrict_occurrences_to_studies else None)
     measured_flagged = None
     if params.key_reduction:
         # The flagged rows are measured too: their exact count bounds the build side of J7.
         measured_flagged = measure(flagged, params.broadcast_max_rows)
         flagged = measured_flagged.df
         variants.unpersist()
+    joined, result = attach_carriers(tables.occurrences, flagged, tables, params, measured_flagged, measured_csq,
+                                     studies if restrict_occurrences_to_studies else None)
+    return GeneFilterPlan(result, csq, variants, candidates, flagged, joined,
+                          [m for m in (measured_csq, measured_flagged) if m is not None])
+
+
+def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantTables, params: FilterParams,
+                    measured_flagged: Measured | None = None, measured_csq: Measured | None = None,
+                    studies: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """J7 + J10-J12: credible carriers of the flagged variants, decorated; works on a batch or a
+    streaming ``occurrences`` frame (stream-static joins). Returns (carriers, final result)."""
+    prof = params.profile
+    carriers = O.credible_carriers(occurrences, params.aaf, prof, studies)
     if measured_flagged is not None and measured_flagged.fits():
         # Broadcast hash join: the genotype table is streamed once, filtered where it is read.
         joined = O.join_carriers(measured_flagged.side(), carriers)
@@ -151,9 +162,7 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
         joined = O.join_carriers(flagged, carriers)
     enriched = C.enrich(joined, tables.diagnoses, tables.phenotypes,
                         tables.studies if prof.has_studies_table else None, prof.clinical_layout)
-    result = enriched.select(*output_columns(params))
-    return GeneFilterPlan(result, csq, variants, candidates, flagged, joined,
-                          [m for m in (measured_csq, measured_flagged) if m is not None])
+    return joined, enriched.select(*output_columns(params))
 
 
 def filter_variants(tables: VariantTables, genes: Sequence[str] | DataFrame | GeneSet, studies: Sequence[str],
