@@ -106,7 +106,7 @@ class FilterParams:
     profile: Profile = NEW_PROFILE
     # Broadcast bounds, checked against measured row counts (above them: shuffle joins + AQE).
     # Key sets are four narrow columns (~50 bytes a row); annotated rows carry ~30 columns.
-    broadcast_max_keys: int = 4_000_000
+    broadcast_max_keys: int = 2_000_000
     broadcast_max_rows: int = 500_000
     # Restrict the annotation tables to the variant keys of the listed genes before joining.
     key_reduction: bool = True
