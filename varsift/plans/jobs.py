@@ -41,7 +41,7 @@ def combine_results(spark: SparkSession, paths: Sequence[str],
         "chromosome", X.chromosome_level("chromosome"))
     order = [ranked["__rank"].asc_nulls_last(), ranked["start"].asc_nulls_last()] + [
         ranked[c].asc_nulls_last() for c in tie_columns]
-    return ranked.orderBy(*order).drop("__rank")
+    return ranked.orderBy(*R.with_tie_breakers(merged, order, nulls_first=False)).drop("__rank")
 
 
 def write_combined(df: DataFrame, out_dir: str, run_date: _dt.date | None = None, single_file: bool = True) -> str:

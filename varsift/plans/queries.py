@@ -168,7 +168,7 @@ def q_study_from_path(spark, sf_dir):
 def q_sorted_result(spark, sf_dir):
     """F1 as a rank column (the comparison is order-insensitive)."""
     res = plan_gene_filter(_variant_tables(_tables(spark, sf_dir)), GENES, STUDIES, PARAMS).result
-    ranked = R.global_rank(res, R.result_order(), "result_rank")
+    ranked = R.global_rank(res, R.result_keys(), "result_rank")
     return ranked.select("result_rank", "chromosome", "start", "study_code", "family_id", "is_proband",
                          "participant_id", "biospecimen_id")
 
@@ -249,7 +249,7 @@ def q_combined_results(spark, sf_dir):
     keep = ["study_id", "participant_id", "biospecimen_id", "chromosome", "start", "family_id", "is_proband",
             "study_code"]
     merged = R.union_by_name([run_a.select(*keep, "VariationID"), run_b.select(*keep, "HGMDID")])
-    ranked = R.global_rank(merged, R.combined_order(["study_code", "family_id", "is_proband"]), "combined_rank")
+    ranked = R.global_rank(merged, R.combined_keys(["study_code", "family_id", "is_proband"]), "combined_rank")
     return ranked.select(*keep, "VariationID", "HGMDID", X.chromosome_level("chromosome").alias("chromosome_level"),
                          "combined_rank")
 
