@@ -114,21 +114,6 @@ def is_called(adjusted: str | Column) -> Column:
     return _col(adjusted) != F.array(F.lit(0), F.lit(0))
 
 
-# --- B9 / B10 / S2 --------------------------------------------------------------------------
-def is_false(c: str | Column) -> Column:
-    """``c == 'false'`` for boolean or string columns; null rejects."""
-    return _col(c).cast("string") == F.lit("false")
-
-
-def is_true(c: str | Column) -> Column:
-    return _col(c).cast("string") == F.lit("true")
-
-
-def equals_one(c: str | Column) -> Column:
-    """``c == 1`` for integer, boolean or string flags, valid under ANSI."""
-    return _col(c).cast("string").isin("1", "true")
-
-
 # --- C8 -------------------------------------------------------------------------------------
 def rare_damaging_flag(max_af: str | Column, ratio: str | Column, maf: float, dpc_l: float,
                        dpc_u: float) -> Column:

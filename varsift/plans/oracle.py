@@ -280,3 +280,12 @@ _OLD_RESULT = (
 SQL["gene_based_filter_old"] = _with(
     _OLD_CSQ, _OLD_VRT, DBN, _OLD_CAND, _clv("clv_o", "vrt_o"), _hgm("hgm_o", "vrt_o"), _OLD_OVER, OCC, CARRIERS,
     DGN, HPO, _OLD_PHT) + _OLD_RESULT
+
+
+# --- several studies at once (A5) -----------------------------------------------------------
+SQL["gene_based_filter_multi_study"] = _with(
+    CSQ, _vrt("vrt", "study IN ('SD_A', 'SD_Q')"), DBN, _cand("cand", "vrt"), _clv("clv", "vrt"), _hgm("hgm", "vrt"),
+    _over("over", "cand", "clv", "hgm"), OCC,
+    "carriers AS (SELECT * FROM occ WHERE study_id IN ('SD_A', 'SD_Q') AND NOT is_multi_allelic AND has_alt = 1 "
+    "AND NOT (adj0 = 0 AND adj1 = 0))",
+    DGN, HPO, PHT, STD, _result("res", "over", True, True)) + "SELECT * FROM res"

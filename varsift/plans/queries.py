@@ -276,6 +276,14 @@ def q_gene_based_filter_old(spark, sf_dir):
     return render(res)
 
 
+def q_gene_based_filter_multi_study(spark, sf_dir):
+    """P1 for several studies at once (A5): variants of any listed study; genotype rows restricted to
+    the listed studies (partition pruning on a study-partitioned table)."""
+    vt = _variant_tables(_tables(spark, sf_dir))
+    res = plan_gene_filter(vt, GENES, ["SD_A", "SD_Q"], PARAMS, restrict_occurrences_to_studies=True).result
+    return render(res)
+
+
 QUERIES: dict[str, Query] = {
     "gene_list_clean": q_gene_list_clean,
     "canonical_gene_filter": q_canonical_gene_filter,
@@ -309,4 +317,5 @@ QUERIES: dict[str, Query] = {
     "multi_study_union": q_multi_study_union,
     "gene_based_filter": q_gene_based_filter,
     "gene_based_filter_old": q_gene_based_filter_old,
+    "gene_based_filter_multi_study": q_gene_based_filter_multi_study,
 }
