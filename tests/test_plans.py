@@ -73,3 +73,17 @@ def test_two_measurements_then_one_final_job(spark, vt):
     assert all(m.df.is_cached for m in plan.measured)
     plan.release()
     assert not any(m.df.is_cached for m in plan.measured)
+
+
+def test_stored_flags_pushed_to_parquet(spark, tmp_path):
+    import golden as G
+    from varsift.operators.occurrences import credible_carriers
+
+    G.tables(spark).occurrences.write.parquet(str(tmp_path / "occ"))
+    occ = spark.read.parquet(str(tmp_path / "occ"))
+    text = explain(credible_carriers(occ, 0.2))
+    pushed = text[text.index("PushedFilters"):].split("\n")[0]
+    assert ("EqualTo(is_multi_allelic,false)" in pushed or "Not(EqualTo(is_multi_allelic,true))" in pushed)
+    assert "IsNotNull(is_multi_allelic)" in pushed and "EqualTo(has_alt,1)" in pushed
+    read_schema = text[text.index("ReadSchema"):].split("\n")[0]
+    assert "ad:" in read_schema and "calls:" in read_schema
