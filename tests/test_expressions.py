@@ -52,8 +52,8 @@ def test_disease_causing_class(spark, ansi):
 
 
 def test_allele_fraction(spark, ansi):
-    rows = [([8, 2],), ([0, 0],), ([3],), (None,), ([None, 2],), ([1, 1, 5],)]
-    assert values(spark, rows, "ad array<int>", X.allele_fraction("ad")) == [0.2, None, None, None, None, 0.5]
+    rows = [([8, 2],), ([0, 0],), ([3],), (None,), ([None, 2],), ([1, 1, 5],), ([2147483647, 1],)]
+    assert values(spark, rows, "ad array<int>", X.allele_fraction("ad")) == [0.2, None, None, None, None, 0.5, None]
 
 
 def test_adjusted_calls_and_called(spark, ansi):

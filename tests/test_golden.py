@@ -27,7 +27,7 @@ def run(tables, params=FilterParams(), genes=G.GENES):
     return plan.result.columns, rows
 
 
-def test_expected_rows_and_columns(tables):
+def test_expected_rows_and_columns(tables, ansi):
     cols, rows = run(tables)
     assert cols == NEW_COLUMNS
     assert len(NEW_COLUMNS) == 48
@@ -35,7 +35,7 @@ def test_expected_rows_and_columns(tables):
     assert len(rows) == len(G.EXPECTED)
 
 
-def test_row_values(tables):
+def test_row_values(tables, ansi):
     _, rows = run(tables)
     by = {r["biospecimen_id"]: r for r in rows}
     s1 = by["s1"]

@@ -98,9 +98,10 @@ def is_disease_causing_class(c: str | Column = "variant_class") -> Column:
 
 # --- C6 / S4 --------------------------------------------------------------------------------
 def allele_fraction(ad: str | Column = "ad") -> Column:
-    """``ad[1] / (ad[0] + ad[1])``; null for zero depth, a short array or a null array."""
+    """``ad[1] / (ad[0] + ad[1])``; null for zero depth, a short array, a null array or an
+    overflowing sum (never raises, in either ANSI mode)."""
     a = _col(ad)
-    return F.try_divide(F.get(a, 1), F.get(a, 0) + F.get(a, 1))
+    return F.try_divide(F.get(a, 1), F.try_add(F.get(a, 0), F.get(a, 1)))
 
 
 # --- C7 -------------------------------------------------------------------------------------
