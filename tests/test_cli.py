@@ -38,3 +38,23 @@ def test_filter_and_combine_commands(spark, tmp_path):
     part = [p for p in os.listdir(merged / name) if p.startswith("part-")][0]
     merged_lines = (merged / name / part).read_text().splitlines()
     assert len(merged_lines) == 1 + 2 * len(G.EXPECTED)
+
+
+def test_filter_database_name_case_and_explicit_study(spark, tmp_path):
+    tables = G.tables(spark)
+    argv = ["filter", "--gene-list", str(tmp_path / "genes.txt"), "--out", str(tmp_path / "out"),
+            "--known-variants", "Clinvar", "--study", G.STUDY, "--single-file", "--output-basename", "run"]
+    (tmp_path / "genes.txt").write_text("GENE1\nGENE2\n")
+    for name in ("consequences", "variants", "dbnsfp", "clinvar", "occurrences", "diagnoses", "phenotypes",
+                 "studies"):
+        p = str(tmp_path / "t" / name)
+        getattr(tables, name).write.parquet(p)
+        argv += [f"--{name}", p]
+    assert cli.main(argv) == 0
+    out = tmp_path / "out" / f"{dt.date.today().isoformat()}_run_{G.STUDY}.tsv.gz"
+    part = [p for p in os.listdir(out) if p.startswith("part-")][0]
+    with gzip.open(out / part, "rt") as fh:
+        lines = fh.read().splitlines()
+    header = lines[0].split("\t")
+    assert "VariationID" in header and "HGMDID" not in header
+    assert len(lines) == 1 + len(G.EXPECTED) - 1  # the HGMD-only row is gone

@@ -65,12 +65,23 @@ def study_codes(studies: DataFrame) -> DataFrame:
     return studies.select("study_id", "study_code").distinct()
 
 
-def enrich(carriers: DataFrame, diagnoses: DataFrame, phenotypes: DataFrame, studies: DataFrame | None,
-           layout: str = "fhir") -> DataFrame:
+def clinical_lists(diagnoses: DataFrame, phenotypes: DataFrame, studies: DataFrame | None,
+                   layout: str = "fhir") -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Per-participant diagnosis lists, phenotype/HPO lists and distinct study codes."""
+    return (diagnoses_combined(diagnoses, layout), phenotypes_combined(phenotypes, layout),
+            study_codes(studies) if studies is not None else None)
+
+
+def join_lists(carriers: DataFrame, lists: tuple[DataFrame, DataFrame, DataFrame | None]) -> DataFrame:
     """Left joins of the per-participant lists and the study codes."""
-    out = (carriers
-           .join(diagnoses_combined(diagnoses, layout), "participant_id", "left")
-           .join(phenotypes_combined(phenotypes, layout), "participant_id", "left"))
-    if studies is not None:
-        out = out.join(study_codes(studies), "study_id", "left")
+    dgn, pht, std = lists
+    out = carriers.join(dgn, "participant_id", "left").join(pht, "participant_id", "left")
+    if std is not None:
+        out = out.join(std, "study_id", "left")
     return out
+
+
+def enrich(carriers: DataFrame, diagnoses: DataFrame, phenotypes: DataFrame, studies: DataFrame | None,
+           layout: str = "fhir") -> DataFrame:
+    """E1-E3 + J10-J12."""
+    return join_lists(carriers, clinical_lists(diagnoses, phenotypes, studies, layout))

@@ -147,9 +147,11 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
 
 def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantTables, params: FilterParams,
                     measured_flagged: Measured | None = None, measured_csq: Measured | None = None,
-                    studies: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                    studies: Sequence[str] | None = None,
+                    lists: tuple[DataFrame, DataFrame, DataFrame | None] | None = None) -> tuple[DataFrame, DataFrame]:
     """J7 + J10-J12: credible carriers of the flagged variants, decorated; works on a batch or a
-    streaming ``occurrences`` frame (stream-static joins). Returns (carriers, final result)."""
+    streaming ``occurrences`` frame (stream-static joins). ``lists`` are precomputed clinical lists
+    (default: built from ``tables``). Returns (carriers, final result)."""
     prof = params.profile
     carriers = O.credible_carriers(occurrences, params.aaf, prof, studies)
     if measured_flagged is not None and measured_flagged.fits():
@@ -160,9 +162,10 @@ def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantT
         joined = O.join_carriers(flagged, carriers, measured_csq.side(flagged.select(*KEY).distinct()))
     else:
         joined = O.join_carriers(flagged, carriers)
-    enriched = C.enrich(joined, tables.diagnoses, tables.phenotypes,
-                        tables.studies if prof.has_studies_table else None, prof.clinical_layout)
-    return joined, enriched.select(*output_columns(params))
+    if lists is None:
+        lists = C.clinical_lists(tables.diagnoses, tables.phenotypes,
+                                 tables.studies if prof.has_studies_table else None, prof.clinical_layout)
+    return joined, C.join_lists(joined, lists).select(*output_columns(params))
 
 
 def filter_variants(tables: VariantTables, genes: Sequence[str] | DataFrame | GeneSet, studies: Sequence[str],

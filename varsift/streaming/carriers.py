@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from varsift.operators import clinical as C
 from varsift.operators.annotations import GeneSet
 from varsift.params import FilterParams
 from varsift.plans.gene_filter import GeneFilterPlan, VariantTables, attach_carriers, plan_gene_filter
@@ -38,20 +39,21 @@ def carrier_stream(spark: SparkSession, tables: VariantTables, genes: Sequence[s
 
     ``tables.occurrences`` is not read; the annotation side runs once as a batch plan (its
     flagged rows are measured and cached, so the per-batch join is a broadcast join when small),
-    and the per-participant lists are cached for the life of the stream.
+    and the per-participant lists are aggregated once and cached for the life of the stream.
     """
     batch = plan_gene_filter(tables, genes, studies, params)
-    diagnoses = tables.diagnoses.persist(StorageLevel.MEMORY_AND_DISK)
-    phenotypes = tables.phenotypes.persist(StorageLevel.MEMORY_AND_DISK)
-    static = VariantTables(tables.consequences, tables.variants, tables.dbnsfp, tables.occurrences, diagnoses,
-                           phenotypes, tables.clinvar, tables.hgmd, tables.studies)
+    prof = params.profile
+    lists = C.clinical_lists(tables.diagnoses, tables.phenotypes,
+                             tables.studies if prof.has_studies_table else None, prof.clinical_layout)
+    lists = tuple(df.persist(StorageLevel.MEMORY_AND_DISK) if df is not None else None for df in lists)
     reader = spark.readStream.schema(occurrences_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     occurrences = reader.parquet(occurrences_dir)
     measured_csq, measured_flagged = (batch.measured + [None, None])[:2]
-    _, result = attach_carriers(occurrences, batch.flagged, static, params, measured_flagged, measured_csq)
-    return CarrierStream(result, batch, [diagnoses, phenotypes])
+    _, result = attach_carriers(occurrences, batch.flagged, tables, params, measured_flagged, measured_csq,
+                                lists=lists)
+    return CarrierStream(result, batch, [df for df in lists if df is not None])
 
 
 def start_carrier_stream(stream: CarrierStream, output_dir: str, checkpoint_location: str | None = None,
