@@ -87,3 +87,21 @@ def test_stored_flags_pushed_to_parquet(spark, tmp_path):
     assert "IsNotNull(is_multi_allelic)" in pushed and "EqualTo(has_alt,1)" in pushed
     read_schema = text[text.index("ReadSchema"):].split("\n")[0]
     assert "ad:" in read_schema and "calls:" in read_schema
+
+
+def test_region_cut_when_keys_do_not_fit(spark):
+    import golden as G
+
+    tables = G.tables(spark)
+    base = plan_gene_filter(tables, G.GENES, [G.STUDY], FilterParams())
+    want = sorted(tuple(str(v) for v in r) for r in base.result.collect())
+    base.release()
+    # 11 gene consequences > 5 keys, 6 flagged rows > 0 rows, 4 regions <= 5: region semi-join path.
+    params = FilterParams(broadcast_max_keys=5, broadcast_max_rows=0)
+    plan = plan_gene_filter(tables, G.GENES, [G.STUDY], params)
+    assert [m.rows for m in plan.measured] == [11, 6]
+    text = explain(plan.carriers)
+    assert "LeftSemi" in text and "__region" in text  # genotype rows cut to flagged regions
+    got = sorted(tuple(str(v) for v in r) for r in plan.result.collect())
+    assert got == want
+    plan.release()

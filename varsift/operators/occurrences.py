@@ -45,3 +45,19 @@ def join_carriers(flagged: DataFrame, carriers: DataFrame, flagged_keys: DataFra
     if flagged_keys is not None:
         carriers = carriers.join(flagged_keys, KEY, "left_semi")
     return flagged.join(carriers, KEY)
+
+
+def region_of(start: str = "start", bin_size: int = 10_000):
+    """Genome region index of a position (``start // bin_size``)."""
+    return F.floor(F.col(start) / F.lit(bin_size)).cast("long")
+
+
+def flagged_regions(flagged: DataFrame, bin_size: int) -> DataFrame:
+    """Distinct (chromosome, region) pairs of the flagged variants."""
+    return flagged.select("chromosome", region_of("start", bin_size).alias("__region")).distinct()
+
+
+def keep_regions(carriers: DataFrame, regions: DataFrame, bin_size: int) -> DataFrame:
+    """Genotype rows inside the given regions (a superset of the flagged keys; the key join follows)."""
+    tagged = carriers.withColumn("__region", region_of("start", bin_size))
+    return tagged.join(regions, ["chromosome", "__region"], "left_semi").drop("__region")

@@ -108,6 +108,10 @@ class FilterParams:
     # Key sets are four narrow columns (~50 bytes a row); annotated rows carry ~30 columns.
     broadcast_max_keys: int = 2_000_000
     broadcast_max_rows: int = 500_000
+    # When even the flagged keys are too many to broadcast, the genotype rows are first cut to the
+    # genome regions (chromosome, start // region_bin_size) of the flagged variants. Coordinates
+    # bound the number of regions (~310k for a 3.1 Gb genome at 10 kb); it is measured as well.
+    region_bin_size: int = 10_000
     # Restrict the annotation tables to the variant keys of the listed genes before joining.
     key_reduction: bool = True
     output_basename: str = DEFAULT_BASENAME
@@ -124,6 +128,8 @@ class FilterParams:
             object.__setattr__(self, "profile", PROFILES[self.profile])
         if self.broadcast_max_rows < 0 or self.broadcast_max_keys < 0:
             raise ValueError("broadcast bounds must be >= 0")
+        if self.region_bin_size <= 0:
+            raise ValueError("region_bin_size must be > 0")
 
     @property
     def use_clinvar(self) -> bool:
