@@ -99,7 +99,7 @@ def test_region_cut_when_keys_do_not_fit(spark):
     # 11 gene consequences > 5 keys, 6 flagged rows > 0 rows, 4 regions <= 5: region semi-join path.
     params = FilterParams(broadcast_max_keys=5, broadcast_max_rows=0)
     plan = plan_gene_filter(tables, G.GENES, [G.STUDY], params)
-    assert [m.rows for m in plan.measured] == [11, 6]
+    assert [m.rows for m in plan.measured] == [11, 6, 4]  # consequences, flagged, regions
     text = explain(plan.carriers)
     assert "LeftSemi" in text and "__region" in text  # genotype rows cut to flagged regions
     got = sorted(tuple(str(v) for v in r) for r in plan.result.collect())

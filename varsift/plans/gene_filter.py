@@ -139,19 +139,22 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
         measured_flagged = measure(flagged, params.broadcast_max_rows)
         flagged = measured_flagged.df
         variants.unpersist()
+    extra: list[Measured] = []
     joined, result = attach_carriers(tables.occurrences, flagged, tables, params, measured_flagged, measured_csq,
-                                     studies if restrict_occurrences_to_studies else None)
+                                     studies if restrict_occurrences_to_studies else None, measured_out=extra)
     return GeneFilterPlan(result, csq, variants, candidates, flagged, joined,
-                          [m for m in (measured_csq, measured_flagged) if m is not None])
+                          [m for m in (measured_csq, measured_flagged) if m is not None] + extra)
 
 
 def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantTables, params: FilterParams,
                     measured_flagged: Measured | None = None, measured_csq: Measured | None = None,
                     studies: Sequence[str] | None = None,
-                    lists: tuple[DataFrame, DataFrame, DataFrame | None] | None = None) -> tuple[DataFrame, DataFrame]:
+                    lists: tuple[DataFrame, DataFrame, DataFrame | None] | None = None,
+                    measured_out: list[Measured] | None = None) -> tuple[DataFrame, DataFrame]:
     """J7 + J10-J12: credible carriers of the flagged variants, decorated; works on a batch or a
     streaming ``occurrences`` frame (stream-static joins). ``lists`` are precomputed clinical lists
-    (default: built from ``tables``). Returns (carriers, final result)."""
+    (default: built from ``tables``); measurements made here are appended to ``measured_out``.
+    Returns (carriers, final result)."""
     prof = params.profile
     carriers = O.credible_carriers(occurrences, params.aaf, prof, studies)
     if measured_flagged is not None and measured_flagged.fits():
@@ -164,6 +167,8 @@ def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantT
         # Too many flagged keys for a broadcast: cut the genotype rows to the flagged genome regions
         # first (a bounded, measured set), so only rows near flagged variants are shuffled.
         regions = measure(O.flagged_regions(flagged, params.region_bin_size), params.broadcast_max_keys)
+        if measured_out is not None:
+            measured_out.append(regions)
         if regions.fits():
             carriers = O.keep_regions(carriers, regions.side(), params.region_bin_size)
         joined = O.join_carriers(flagged, carriers)
