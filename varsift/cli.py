@@ -16,7 +16,15 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from varsift.params import DEFAULT_AAF, DEFAULT_BASENAME, DEFAULT_DPC_L, DEFAULT_DPC_U, DEFAULT_MAF, FilterParams
+from varsift.params import (
+    CLINVAR_SIGNIFICANCE,
+    DEFAULT_AAF,
+    DEFAULT_BASENAME,
+    DEFAULT_DPC_L,
+    DEFAULT_DPC_U,
+    DEFAULT_MAF,
+    FilterParams,
+)
 from varsift.plans.gene_filter import VariantTables, plan_gene_filter
 from varsift.plans.jobs import combine_results, write_combined, write_result
 from varsift.session import ensure_checkpoint_dir
@@ -40,6 +48,13 @@ def build_parser() -> argparse.ArgumentParser:
     f.add_argument("--dpc-u", default=DEFAULT_DPC_U)
     f.add_argument("--aaf", default=DEFAULT_AAF)
     f.add_argument("--known-variants", nargs="+", default=["ClinVar", "HGMD"])
+    f.add_argument("--clinvar-significance", nargs="+", default=list(CLINVAR_SIGNIFICANCE),
+                   help="ClinVar levels that count as known (add Uncertain_significance for VUS)")
+    f.add_argument("--restrict-occurrences-to-study", action="store_true",
+                   help="keep only genotype rows of the listed studies (prunes a study-partitioned table)")
+    f.add_argument("--broadcast-max-keys", type=int, default=FilterParams.broadcast_max_keys)
+    f.add_argument("--broadcast-max-rows", type=int, default=FilterParams.broadcast_max_rows)
+    f.add_argument("--region-bin-size", type=int, default=FilterParams.region_bin_size)
     f.add_argument("--profile", default="new", choices=["new", "old"])
     f.add_argument("--output-basename", default=DEFAULT_BASENAME)
     f.add_argument("--out", required=True, help="output directory")
@@ -54,7 +69,9 @@ def build_parser() -> argparse.ArgumentParser:
 def run_filter(spark: SparkSession, args: argparse.Namespace) -> str:
     params = FilterParams(maf=args.maf, dpc_l=args.dpc_l, dpc_u=args.dpc_u, aaf=args.aaf,
                           known_variants=tuple(args.known_variants), profile=args.profile,
-                          output_basename=args.output_basename)
+                          clinvar_significance=tuple(args.clinvar_significance),
+                          broadcast_max_keys=args.broadcast_max_keys, broadcast_max_rows=args.broadcast_max_rows,
+                          region_bin_size=args.region_bin_size, output_basename=args.output_basename)
     needed = {"consequences", "variants", "dbnsfp", "occurrences", "diagnoses", "phenotypes"}
     needed |= {"clinvar"} if params.use_clinvar else set()
     needed |= {"hgmd"} if params.use_hgmd else set()
@@ -66,7 +83,7 @@ def run_filter(spark: SparkSession, args: argparse.Namespace) -> str:
               for t in TABLES}
     studies = args.study or [RD.study_from_path(args.occurrences)]
     genes = RD.gene_values(RD.read_gene_list(spark, args.gene_list))
-    plan = plan_gene_filter(VariantTables(**frames), genes, studies, params)
+    plan = plan_gene_filter(VariantTables(**frames), genes, studies, params, args.restrict_occurrences_to_study)
     try:
         return write_result(plan.result, args.out, studies, params, single_file=args.single_file)
     finally:
