@@ -10,10 +10,6 @@ from varsift.plans.fixtures import FLAGSHIP_GENES, FLAGSHIP_STUDIES, mapped_tabl
 from varsift.plans.gene_filter import VariantTables, plan_gene_filter
 
 
-def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString() + df._jdf.queryExecution().optimizedPlan().toString()
-
-
 def explain(df) -> str:
     import contextlib
     import io
