@@ -15,10 +15,10 @@ def values(spark, rows, schema, expr):
 
 def test_damage_ratio(spark, ansi):
     rows = [("3_5",), ("0_5",), ("0_0",), (".",), ("a_b",), (None,), ("3_0.5",), ("3_-0.5",), ("3_1.5",),
-            ("3_-1",), ("3_",), ("_5",), ("1_2_9",), ("4_4",)]
+            ("3_-1",), ("3_",), ("_5",), ("1_2_9",), ("4_4",), ("3_1e-1",), ("3_0e0",), ("3_.",), ("3_-.5",)]
     got = values(spark, rows, "d string", X.damage_ratio("d"))
     assert got == [pytest.approx(0.6), 0.0, None, None, None, None, None, None, pytest.approx(2.0), -3.0, None,
-                   None, 0.5, 1.0]
+                   None, 0.5, 1.0, pytest.approx(30.0), None, None, None]
 
 
 def test_max_population_af(spark, ansi):

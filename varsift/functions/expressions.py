@@ -43,18 +43,23 @@ def study_id_from_path(c: str | Column) -> Column:
 
 
 # --- C1 / S1 --------------------------------------------------------------------------------
+# Fixed value: text that reads as the integer 0 (optional sign, zeros, optional fraction), the
+# test the original applies to the total before dividing.
+INTEGER_ZERO_TEXT = r"^\s*[+-]?(0+(\.[0-9]*)?|\.[0-9]*)\s*$"
+
+
 def damage_ratio(c: str | Column = "DamagePredCount") -> Column:
     """``"<damaging>_<total>"`` -> damaging / total.
 
-    Null when the string has no second part, a part is not a number, or the total's integer
-    part is zero (so totals strictly between -1 and 1 are null, like the original integer
-    comparison). Never raises, in either ANSI mode.
+    Null when the string has no second part, when the total reads as the integer 0 (so ``0``,
+    ``0.5`` and ``-.9`` give null, like the original's integer comparison), or when a part is not a
+    number. Never raises, in either ANSI mode.
     """
     parts = F.split(_col(c), "_")
     num = F.get(parts, 0).try_cast("double")
-    den = F.get(parts, 1).try_cast("double")
-    usable_den = F.when(F.abs(den) >= F.lit(1), den)
-    return F.try_divide(num, usable_den)
+    den_text = F.get(parts, 1)
+    den = den_text.try_cast("double")
+    return F.when(den_text.rlike(INTEGER_ZERO_TEXT), F.lit(None).cast("double")).otherwise(F.try_divide(num, den))
 
 
 # --- C2 / C3 --------------------------------------------------------------------------------

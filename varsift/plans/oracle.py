@@ -37,8 +37,8 @@ def _vrt(name: str, study_filter: str | None) -> str:
 
 
 DBN = (f"dbn AS (SELECT {K}, damage AS DamagePredCount, "
-       "CASE WHEN abs(TRY_CAST(split_part(damage, '_', 2) AS DOUBLE)) >= 1 "
-       "THEN TRY_CAST(split_part(damage, '_', 1) AS DOUBLE) / TRY_CAST(split_part(damage, '_', 2) AS DOUBLE) "
+       "CASE WHEN regexp_matches(split_part(damage, '_', 2), '^\\s*[+-]?(0+(\\.[0-9]*)?|\\.[0-9]*)\\s*$') THEN NULL "
+       "ELSE TRY_CAST(split_part(damage, '_', 1) AS DOUBLE) / NULLIF(TRY_CAST(split_part(damage, '_', 2) AS DOUBLE), 0) "
        "END AS PredCountRatio_D2T, twinsuk_af AS TWINSUK_AF, alspac_af AS ALSPAC_AF, uk10k_af AS UK10K_AF "
        "FROM f_dbnsfp)")
 
