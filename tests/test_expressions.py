@@ -119,5 +119,8 @@ def test_flag_predicates_by_type(spark, ansi):
                                "b boolean, s string, i int, bo boolean, t string")
     got = df.select(equals_bool_text(df, "b", False), equals_bool_text(df, "s", False), equals_one(df, "i"),
                     equals_one(df, "bo"), equals_one(df, "t")).collect()
-    assert [tuple(r) for r in got] == [(True, True, True, True, True), (False, False, False, False, None),
+    assert [tuple(r) for r in got] == [(True, True, True, True, True), (False, False, False, False, False),
                                        (None, None, None, None, None)]
+    texts = spark.createDataFrame([(" 1",), ("1.0",), ("+01",), ("1e0",), ("-1",), ("11",), ("true",)], "t string")
+    assert [r[0] for r in texts.select(equals_one(texts, "t")).collect()] == [True, True, True, False, False,
+                                                                               False, False]

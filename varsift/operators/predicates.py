@@ -24,11 +24,17 @@ def equals_bool_text(df: DataFrame, name: str, value: bool) -> Column:
     return F.col(name).cast("string") == F.lit("true" if value else "false")
 
 
+# Fixed value: text that reads as the integer 1 (optional '+', leading zeros, optional fraction).
+INTEGER_ONE_TEXT = r"^\s*\+?0*1(\.[0-9]*)?\s*$"
+
+
 def equals_one(df: DataFrame, name: str) -> Column:
-    """``name == 1`` for integral, boolean or textual flags."""
+    """``name == 1`` for integral, boolean or textual flags (text is read as an integer)."""
     dt = _dtype(df, name)
     if isinstance(dt, T.BooleanType):
         return F.col(name) == F.lit(True)
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return F.col(name) == F.lit(1)
+    if isinstance(dt, T.StringType):
+        return F.col(name).rlike(INTEGER_ONE_TEXT)
     return F.col(name).try_cast("double") == F.lit(1.0)
