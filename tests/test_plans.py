@@ -101,3 +101,23 @@ def test_region_cut_when_keys_do_not_fit(spark):
     got = sorted(tuple(str(v) for v in r) for r in plan.result.collect())
     assert got == want
     plan.release()
+
+
+def test_nested_frequency_fields_pruned(spark, tmp_path):
+    from varsift.operators.annotations import variant_frequencies
+
+    af = "struct<af:double, ac:int, hom:int>"
+    schema = (f"chromosome string, start long, reference string, alternate string, "
+              f"external_frequencies struct<topmed_bravo:{af}, gnomad_genomes_2_1_1:{af}, "
+              f"gnomad_exomes_2_1_1:{af}, gnomad_genomes_3:{af}, other_db:{af}>, "
+              "studies array<struct<study_id:string, study_code:string, n:int>>, annotation string")
+    row = ("1", 5, "A", "G", ((0.1, 1, 0), (0.2, 2, 0), None, (0.3, 3, 1), (0.9, 9, 9)),
+           [("SD_A", "A", 1)], "x" * 50)
+    spark.createDataFrame([row], schema).write.parquet(str(tmp_path / "v"))
+    df = variant_frequencies(spark.read.parquet(str(tmp_path / "v")), ["SD_A"])
+    text = explain(df)
+    read_schema = text[text.index("ReadSchema"):].split("\n")[0]
+    assert "af:double" in read_schema and "study_id:string" in read_schema
+    for pruned in ("ac:", "hom:", "other_db", "study_code", "annotation"):
+        assert pruned not in read_schema, (pruned, read_schema)
+    assert df.first()["max_gnomad_topmed"] == 0.3
