@@ -121,3 +121,19 @@ def test_nested_frequency_fields_pruned(spark, tmp_path):
     for pruned in ("ac:", "hom:", "other_db", "study_code", "annotation"):
         assert pruned not in read_schema, (pruned, read_schema)
     assert df.first()["max_gnomad_topmed"] == 0.3
+
+
+def test_consequence_and_hgmd_predicates_pushed(spark, tmp_path):
+    import golden as G
+    from varsift.operators.annotations import GeneSet, canonical_consequences, hgmd_candidates
+
+    t = G.tables(spark)
+    t.consequences.write.parquet(str(tmp_path / "c"))
+    t.hgmd.write.parquet(str(tmp_path / "h"))
+    genes = GeneSet(G.GENES)
+    text = explain(canonical_consequences(spark.read.parquet(str(tmp_path / "c")), genes, [G.STUDY]))
+    pushed = text[text.index("PushedFilters"):].split("\n")[0]
+    assert "EqualTo(original_canonical,true)" in pushed and "In(symbol, [GENE1,GENE2])" in pushed
+    text = explain(hgmd_candidates(spark.read.parquet(str(tmp_path / "h")), genes))
+    pushed = text[text.index("PushedFilters"):].split("\n")[0]
+    assert "StringStartsWith(variant_class,DM)" in pushed and "In(symbol, [GENE1,GENE2])" in pushed
