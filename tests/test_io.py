@@ -106,3 +106,13 @@ def test_combine_missing_sort_column(spark, tmp_path):
     SK.write_tsv(df, p)
     with pytest.raises(ValueError, match="study_short_name"):
         combine_results(spark, [p], tie_columns=("study_short_name",))
+
+
+def test_expand_result_paths(spark, tmp_path):
+    df = spark.createDataFrame([("1", 5)], "chromosome string, start long")
+    SK.write_tsv(df, str(tmp_path / "r" / "2024-01-01_x_SD_A.tsv.gz"))
+    SK.write_tsv(df, str(tmp_path / "r" / "2024-01-02_x_SD_B.tsv.gz"))
+    SK.write_tsv(df, str(tmp_path / "r" / "other_dir"))
+    runs = RD.expand_result_paths(spark, [str(tmp_path / "r" / "*.tsv.gz")])
+    assert [r.rsplit("/", 1)[-1] for r in runs] == ["2024-01-01_x_SD_A.tsv.gz", "2024-01-02_x_SD_B.tsv.gz"]
+    assert combine_results(spark, runs, tie_columns=()).count() == 2

@@ -60,7 +60,7 @@ def build_parser() -> argparse.ArgumentParser:
     f.add_argument("--out", required=True, help="output directory")
     f.add_argument("--single-file", action="store_true", help="write one part file (small results)")
     c = sub.add_parser("combine", help="merge the results of many runs")
-    c.add_argument("paths", nargs="+")
+    c.add_argument("paths", nargs="+", help="run outputs or glob patterns (e.g. results/*.tsv.gz)")
     c.add_argument("--sort-column", action="append", help="tie columns after chromosome and start")
     c.add_argument("--out", required=True)
     return p
@@ -92,7 +92,10 @@ def run_filter(spark: SparkSession, args: argparse.Namespace) -> str:
 
 def run_combine(spark: SparkSession, args: argparse.Namespace) -> str:
     ties = tuple(args.sort_column) if args.sort_column else None
-    df = combine_results(spark, args.paths, ties) if ties else combine_results(spark, args.paths)
+    paths = RD.expand_result_paths(spark, args.paths)
+    if not paths:
+        raise SystemExit(f"no result files match {args.paths}")
+    df = combine_results(spark, paths, ties) if ties else combine_results(spark, paths)
     return write_combined(df, args.out)
 
 

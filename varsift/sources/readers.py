@@ -3,6 +3,7 @@ multi-study genotype reads (A5) and result TSV files (A6)."""
 
 from __future__ import annotations
 
+import fnmatch
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -115,3 +116,20 @@ def read_results(spark: SparkSession, paths: Sequence[str], options: ResultReadO
                  ) -> DataFrame:
     """A6 + F3: several runs' outputs, each read with its own header, row-bound by column name."""
     return union_by_name([read_result(spark, p, options) for p in paths])
+
+
+def expand_result_paths(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
+    """Glob patterns (e.g. ``results/*.tsv.gz``) -> the run outputs they match, on any file system.
+
+    The listing is done by Spark's file source (only the ``path`` column is read, never the file
+    contents; hidden ``_``/``.`` files are skipped). A listed file whose name matches the pattern's
+    last part is a run by itself; otherwise it is a part file and its directory is the run. Only
+    the run paths reach the driver.
+    """
+    runs: set[str] = set()
+    for pattern in patterns:
+        last = pattern.rstrip("/").rsplit("/", 1)[-1]
+        for row in spark.read.format("binaryFile").load(pattern).select("path").collect():
+            parent, _, name = row.path.rstrip("/").rpartition("/")
+            runs.add(row.path if fnmatch.fnmatch(name, last) else parent)
+    return sorted(runs)
