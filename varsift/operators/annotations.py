@@ -79,6 +79,7 @@ def variant_frequencies(variants: DataFrame, studies: Sequence[str] | None,
     )
 
 
+# Annotation columns carried into the result, in output order.
 DAMAGE_COLUMNS = ["DamagePredCount", "PredCountRatio_D2T", "TWINSUK_AF", "ALSPAC_AF", "UK10K_AF"]
 
 
@@ -88,6 +89,7 @@ def damage_predictions(dbnsfp: DataFrame) -> DataFrame:
                          "TWINSUK_AF", "ALSPAC_AF", "UK10K_AF")
 
 
+# Curated-database columns carried into the result, in output order.
 CLINVAR_COLUMNS = ["VariationID", "clin_sig", "conditions"]
 HGMD_COLUMNS = ["HGMDID", "variant_class", "phen"]
 

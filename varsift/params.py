@@ -37,6 +37,7 @@ class Profile:
     sorted_output: bool
 
 
+# Column names of the two table generations (inputs and output files use them).
 _OCC_BASE = (
     "ad", "dp", "variant_allele_fraction", "calls", "adjusted_calls", "filter",
     "is_lo_conf_denovo", "is_hi_conf_denovo", "is_proband", "affected_status", "gender",

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The TSV layout of result files.
+# The TSV layout of result files and the merged file's name prefix.
 NULL_TEXT = "-"
 SEPARATOR = "\t"
+COMBINED_PREFIX = "MMC_all_families_variants_"
 
 
 def output_name(basename: str, studies: Sequence[str], run_date: _dt.date | None = None, suffix: str = ".tsv.gz"
@@ -26,7 +27,7 @@ def output_name(basename: str, studies: Sequence[str], run_date: _dt.date | None
     return f"{day}_{basename}_{'_'.join(studies)}{suffix}"
 
 
-def combined_name(run_date: _dt.date | None = None, prefix: str = "MMC_all_families_variants_") -> str:
+def combined_name(run_date: _dt.date | None = None, prefix: str = COMBINED_PREFIX) -> str:
     """A9 for the merged file: ``<prefix><yyyy-mm-dd>.tsv``."""
     return f"{prefix}{(run_date or _dt.date.today()).isoformat()}.tsv"
 
