@@ -58,3 +58,23 @@ def test_filter_database_name_case_and_explicit_study(spark, tmp_path):
     header = lines[0].split("\t")
     assert "VariationID" in header and "HGMDID" not in header
     assert len(lines) == 1 + len(G.EXPECTED) - 1  # the HGMD-only row is gone
+
+
+def test_filter_old_layout(spark, tmp_path):
+    import test_old_profile as OP
+
+    old = OP.make_old_tables(spark)
+    argv = ["filter", "--gene-list", str(tmp_path / "genes.txt"), "--out", str(tmp_path / "out"),
+            "--profile", "old", "--study", G.STUDY, "--single-file"]
+    (tmp_path / "genes.txt").write_text("GENE1\nGENE2\n")
+    for name in ("consequences", "variants", "dbnsfp", "clinvar", "hgmd", "occurrences", "diagnoses", "phenotypes"):
+        p = str(tmp_path / "t" / name)
+        getattr(old, name).write.parquet(p)
+        argv += [f"--{name}", p]
+    assert cli.main(argv) == 0
+    out = tmp_path / "out" / f"{dt.date.today().isoformat()}_gene-based-variant-filtering_{G.STUDY}.tsv.gz"
+    part = [p for p in os.listdir(out) if p.startswith("part-")][0]
+    with gzip.open(out / part, "rt") as fh:
+        lines = fh.read().splitlines()
+    assert lines[0].split("\t") == OP.OLD_COLUMNS
+    assert len(lines) == 1 + len(G.EXPECTED)

@@ -18,6 +18,11 @@ OLD_COLUMNS = (
 
 @pytest.fixture(scope="module")
 def old_tables(spark):
+    return make_old_tables(spark)
+
+
+def make_old_tables(spark) -> VariantTables:
+    """The hand-made tables reshaped into the earlier layout."""
     t = G.tables(spark)
     studies = t.variants.select("chromosome", "start", "reference", "alternate",
                                 F.col("studies.study_id").alias("study_ids"))
