@@ -116,3 +116,16 @@ def test_expand_result_paths(spark, tmp_path):
     runs = RD.expand_result_paths(spark, [str(tmp_path / "r" / "*.tsv.gz")])
     assert [r.rsplit("/", 1)[-1] for r in runs] == ["2024-01-01_x_SD_A.tsv.gz", "2024-01-02_x_SD_B.tsv.gz"]
     assert combine_results(spark, runs, tie_columns=()).count() == 2
+
+
+def test_read_study_partitions(spark, tmp_path):
+    df = spark.createDataFrame([("1", 5, "SD_A"), ("2", 6, "SD_B"), ("3", 7, "SD_A"), ("4", 8, "SD_C")],
+                               "chromosome string, start long, study_id string")
+    parent = tmp_path / "parent"
+    df.where("study_id IN ('SD_A', 'SD_B')").write.partitionBy("study_id").parquet(str(parent / "occurrences_sd_a_re_1"))
+    df.where("study_id IN ('SD_A', 'SD_C')").write.partitionBy("study_id").parquet(str(parent / "occurrences_sd_c_re_2"))
+    got = RD.read_study_partitions(spark, str(parent), ["SD_A", "SD_B"])
+    rows = sorted((r.chromosome, r.study_id) for r in got.collect())
+    assert rows == [("1", "SD_A"), ("1", "SD_A"), ("2", "SD_B"), ("3", "SD_A"), ("3", "SD_A")]
+    with pytest.raises(ValueError):
+        RD.read_study_partitions(spark, str(parent), ["SD_Z"])

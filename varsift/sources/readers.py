@@ -66,9 +66,23 @@ def occurrences_for_studies(occurrences: DataFrame, studies: Sequence[str]) -> D
 
 def read_study_partitions(spark: SparkSession, parent: str, studies: Sequence[str], fmt: str = "parquet"
                           ) -> DataFrame:
-    """A5 over a directory tree ``<parent>/occurrences_*/study_id=<id>``: one read, partition-pruned."""
-    df = spark.read.format(fmt).option("basePath", parent).load(f"{parent.rstrip('/')}/occurrences_*")
-    return occurrences_for_studies(df, studies)
+    """A5 over ``<parent>/occurrences_*/study_id=<id>``: the genotype rows of several studies.
+
+    Each ``occurrences_*`` directory is its own partitioned table, so the roots holding a wanted
+    study are found with Spark's file listing (only the distinct root paths reach the driver), each
+    root is read with a ``study_id`` partition filter (pruned to the listed partitions) and the
+    reads are row-bound by name (F4).
+    """
+    base = parent.rstrip("/")
+    listed = spark.read.format("binaryFile").load(f"{base}/occurrences_*/study_id=*").select("path")
+    roots = (listed
+             .where(F.regexp_extract("path", r"/study_id=([^/]*)/", 1).isin(list(studies)))
+             .select(F.regexp_extract("path", r"^(.*)/study_id=[^/]*/", 1).alias("root"))
+             .distinct().collect())
+    if not roots:
+        raise ValueError(f"no genotype partitions for studies {list(studies)} under {parent!r}")
+    frames = [occurrences_for_studies(spark.read.format(fmt).load(r.root), studies) for r in sorted(roots)]
+    return union_by_name(frames)
 
 
 # Types of result columns written by the filter; any other column is read as text.
