@@ -78,3 +78,12 @@ def test_filter_old_layout(spark, tmp_path):
         lines = fh.read().splitlines()
     assert lines[0].split("\t") == OP.OLD_COLUMNS
     assert len(lines) == 1 + len(G.EXPECTED)
+
+
+def test_filter_reports_missing_tables(tmp_path):
+    import pytest
+
+    argv = ["filter", "--gene-list", str(tmp_path / "g.txt"), "--out", str(tmp_path / "o"),
+            "--consequences", "c", "--variants", "v", "--dbnsfp", "d", "--occurrences", "occurrences_sd_x_re_1"]
+    with pytest.raises(SystemExit, match="clinvar, diagnoses, hgmd, phenotypes, studies"):
+        cli.main(argv)
