@@ -160,20 +160,23 @@ def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantT
     if measured_flagged is not None and measured_flagged.fits():
         # Broadcast hash join: the genotype table is streamed once, filtered where it is read.
         joined = O.join_carriers(measured_flagged.side(), carriers)
-    elif measured_csq is not None and measured_csq.fits():
-        # Many flagged rows per key: semi-join by the (bounded) distinct keys, then shuffle only carriers.
-        joined = O.join_carriers(flagged, carriers, measured_csq.side(flagged.select(*KEY).distinct()))
-    elif measured_flagged is not None:
-        # Too many flagged keys for a broadcast: cut the genotype rows to the flagged genome regions
-        # first (a bounded, measured set), so only rows near flagged variants are shuffled.
-        regions = measure(O.flagged_regions(flagged, params.region_bin_size), params.broadcast_max_keys)
-        if measured_out is not None:
-            measured_out.append(regions)
-        if regions.fits():
-            carriers = O.keep_regions(carriers, regions.side(), params.region_bin_size)
-        joined = O.join_carriers(flagged, carriers)
     else:
-        joined = O.join_carriers(flagged, carriers)
+        shuffled_flagged = O.skew_splittable(flagged)
+        if measured_csq is not None and measured_csq.fits():
+            # Many flagged rows per key: semi-join by the (bounded) distinct keys, then shuffle only carriers.
+            joined = O.join_carriers(shuffled_flagged, carriers,
+                                     measured_csq.side(flagged.select(*KEY).distinct()))
+        elif measured_flagged is not None:
+            # Too many flagged keys for a broadcast: cut the genotype rows to the flagged genome regions
+            # first (a bounded, measured set), so only rows near flagged variants are shuffled.
+            regions = measure(O.flagged_regions(flagged, params.region_bin_size), params.broadcast_max_keys)
+            if measured_out is not None:
+                measured_out.append(regions)
+            if regions.fits():
+                carriers = O.keep_regions(carriers, regions.side(), params.region_bin_size)
+            joined = O.join_carriers(shuffled_flagged, carriers)
+        else:
+            joined = O.join_carriers(shuffled_flagged, carriers)
     if lists is None:
         lists = C.clinical_lists(tables.diagnoses, tables.phenotypes,
                                  tables.studies if prof.has_studies_table else None, prof.clinical_layout)
