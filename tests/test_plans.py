@@ -1,5 +1,6 @@
 """Physical-plan checks: pushdown, pruning, broadcast vs shuffle fallbacks."""
 
+import contextlib
 import re
 
 import pytest
@@ -139,6 +140,27 @@ def test_consequence_and_hgmd_predicates_pushed(spark, tmp_path):
     assert "StringStartsWith(variant_class,DM)" in pushed and "In(symbol, [GENE1,GENE2])" in pushed
 
 
+@contextlib.contextmanager
+def skew_settings(spark):
+    """No broadcasts and tiny skew thresholds, so AQE's skew handling shows on small data."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_hot_variant_key_is_split_by_aqe(spark):
     """One variant key holding most genotype rows: the shuffle join is marked skewed and split."""
     import golden as G
@@ -152,18 +174,7 @@ def test_hot_variant_key_is_split_by_aqe(spark):
             .withColumn("biospecimen_id", F.concat(F.col("biospecimen_id"), F.lit("_"), F.col("copy").cast("string")))
             .drop("copy"))
     skewed = replace(tables, occurrences=tables.occurrences.unionByName(many))
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
+    with skew_settings(spark):
         plan = plan_gene_filter(skewed, G.GENES, [G.STUDY],
                                 FilterParams(broadcast_max_keys=0, broadcast_max_rows=0))
         joined = plan.carriers
@@ -171,6 +182,22 @@ def test_hot_variant_key_is_split_by_aqe(spark):
         text = explain(joined)  # after execution: the final adaptive plan
         assert "SortMergeJoin(skew=true)" in text  # the hot key's genotype rows are split over tasks
         plan.release()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_participant_is_split_by_aqe(spark):
+    """One participant holding most result rows: the clinical-list join is marked skewed and split."""
+    import golden as G
+    from pyspark.sql import functions as F
+
+    from varsift.operators import clinical as C
+
+    t = G.tables(spark)
+    rows = (spark.range(20000).select(F.lit("PT_1").alias("participant_id"), F.col("id").alias("n"))
+            .unionByName(spark.createDataFrame([("PT_3", -1)], "participant_id string, n long")))
+    with skew_settings(spark):
+        lists = C.clinical_lists(t.diagnoses, t.phenotypes, None)
+        out = C.join_lists(rows, lists)
+        got = out.collect()
+        assert len(got) == 20001
+        assert next(r for r in got if r.participant_id == "PT_3").diagnoses_combined == ["c"]
+        assert "SortMergeJoin(skew=true)" in explain(out)

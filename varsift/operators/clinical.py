@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varsift.functions import expressions as X
+from varsift.operators.sizing import skew_splittable
 from varsift.params import CONFIRMED, HPO_CATEGORY
 
 
@@ -73,9 +74,15 @@ def clinical_lists(diagnoses: DataFrame, phenotypes: DataFrame, studies: DataFra
 
 
 def join_lists(carriers: DataFrame, lists: tuple[DataFrame, DataFrame, DataFrame | None]) -> DataFrame:
-    """Left joins of the per-participant lists and the study codes."""
+    """Left joins of the per-participant lists and the study codes.
+
+    Both list tables have one row per participant, so they are combined first (full outer join) and
+    joined to the carriers once; the combined lists are made skew-splittable so AQE can split a
+    participant holding a large share of the carrier rows.
+    """
     dgn, pht, std = lists
-    out = carriers.join(dgn, "participant_id", "left").join(pht, "participant_id", "left")
+    per_participant = skew_splittable(dgn.join(pht, "participant_id", "full"))
+    out = carriers.join(per_participant, "participant_id", "left")
     if std is not None:
         out = out.join(std, "study_id", "left")
     return out

@@ -47,18 +47,6 @@ def join_carriers(flagged: DataFrame, carriers: DataFrame, flagged_keys: DataFra
     return flagged.join(carriers, KEY)
 
 
-def skew_splittable(flagged: DataFrame) -> DataFrame:
-    """The flagged rows for a shuffle join in which AQE can split a hot variant key.
-
-    The flagged rows arrive already hash-partitioned by the key (cached, or from the joins that made
-    them); a shuffle join would reuse that partitioning and AQE's skew-join rule, which only splits
-    joins whose both sides it shuffled itself, would leave a key holding a third of the genotype rows
-    in one task. A round-robin repartition of the (comparatively small) flagged rows hands the
-    partitioning back to the join.
-    """
-    return flagged.repartition(int(flagged.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def region_of(start: str = "start", bin_size: int = 10_000):
     """Genome region index of a position (``start // bin_size``)."""
     return F.floor(F.col(start) / F.lit(bin_size)).cast("long")

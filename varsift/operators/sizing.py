@@ -52,3 +52,15 @@ def measure(df: DataFrame, max_rows: int) -> Measured:
     """
     persisted = df.persist(StorageLevel.MEMORY_AND_DISK)
     return Measured(persisted, persisted.count(), max_rows)
+
+
+def skew_splittable(df: DataFrame) -> DataFrame:
+    """``df`` for a shuffle join in which AQE can split a hot key.
+
+    A side that is already hash-partitioned by the join key (a cached frame, the output of an
+    earlier join or aggregation) is reused as is, and AQE's skew-join rule, which only splits joins
+    whose both sides it shuffled itself, then leaves a key holding a third of the other side's rows
+    in one task. A round-robin repartition of the (comparatively small) side hands the partitioning
+    back to the join. Broadcast of a side measured small at run time is unaffected.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -31,7 +31,7 @@ from varsift.operators import clinical as C
 from varsift.operators import flags as FL
 from varsift.operators import occurrences as O
 from varsift.operators.annotations import KEY, GeneSet
-from varsift.operators.sizing import Measured, measure
+from varsift.operators.sizing import Measured, measure, skew_splittable
 from varsift.params import FilterParams
 
 
@@ -161,7 +161,7 @@ def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantT
         # Broadcast hash join: the genotype table is streamed once, filtered where it is read.
         joined = O.join_carriers(measured_flagged.side(), carriers)
     else:
-        shuffled_flagged = O.skew_splittable(flagged)
+        shuffled_flagged = skew_splittable(flagged)
         if measured_csq is not None and measured_csq.fits():
             # Many flagged rows per key: semi-join by the (bounded) distinct keys, then shuffle only carriers.
             joined = O.join_carriers(shuffled_flagged, carriers,
