@@ -31,12 +31,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a scratch folder is set only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The cluster's ``spark.checkpoint.dir``; a scratch folder is set only where none is configured.
+
+    On a client without a SparkContext (Spark Connect) the session's setting is used as it is.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect clients have no SparkContext
+        sc = None
+    if sc is None:
+        return configured
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        sc.setCheckpointDir(configured)
         return configured
     path = tempfile.mkdtemp(prefix="varsift-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path

@@ -65,7 +65,12 @@ def start_carrier_stream(stream: CarrierStream, output_dir: str, checkpoint_loca
     until stopped.
     """
     spark = stream.result.sparkSession
-    location = checkpoint_location or os.path.join(ensure_checkpoint_dir(spark), query_name)
+    if checkpoint_location is None:
+        base = ensure_checkpoint_dir(spark)
+        if base is None:
+            raise ValueError("set spark.checkpoint.dir or pass checkpoint_location")
+        checkpoint_location = os.path.join(base, query_name)
+    location = checkpoint_location
     writer = (stream.result.writeStream.format("parquet").outputMode("append").queryName(query_name)
               .option("checkpointLocation", location).option("path", output_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
