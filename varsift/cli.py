@@ -12,6 +12,7 @@ session it is given.
 from __future__ import annotations
 
 import argparse
+import logging
 import sys
 
 from pyspark.sql import SparkSession
@@ -59,6 +60,7 @@ def build_parser() -> argparse.ArgumentParser:
     f.add_argument("--output-basename", default=DEFAULT_BASENAME)
     f.add_argument("--out", required=True, help="output directory")
     f.add_argument("--single-file", action="store_true", help="write one part file (small results)")
+    f.add_argument("--explain", action="store_true", help="print the physical plan before writing")
     c = sub.add_parser("combine", help="merge the results of many runs")
     c.add_argument("paths", nargs="+", help="run outputs or glob patterns (e.g. results/*.tsv.gz)")
     c.add_argument("--sort-column", action="append", help="tie columns after chromosome and start")
@@ -84,6 +86,8 @@ def run_filter(spark: SparkSession, args: argparse.Namespace) -> str:
     studies = args.study or [RD.study_from_path(args.occurrences)]
     genes = RD.gene_values(RD.read_gene_list(spark, args.gene_list))
     plan = plan_gene_filter(VariantTables(**frames), genes, studies, params, args.restrict_occurrences_to_study)
+    if args.explain:
+        plan.result.explain("formatted")
     try:
         return write_result(plan.result, args.out, studies, params, single_file=args.single_file)
     finally:
@@ -101,6 +105,7 @@ def run_combine(spark: SparkSession, args: argparse.Namespace) -> str:
 
 def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = SparkSession.builder.appName(f"varsift-{args.command}").getOrCreate()
     ensure_checkpoint_dir(spark)
     out = run_filter(spark, args) if args.command == "filter" else run_combine(spark, args)

@@ -20,6 +20,7 @@ broadcast; above ``FilterParams.broadcast_max_keys`` / ``broadcast_max_rows`` th
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -34,6 +35,8 @@ from varsift.operators.annotations import KEY, GeneSet
 from varsift.operators.sizing import Measured, measure, skew_splittable
 from varsift.params import FilterParams
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class VariantTables:
@@ -111,6 +114,8 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
     if params.key_reduction:
         measured_csq = measure(csq, params.broadcast_max_keys)
         csq = measured_csq.df
+        log.info("gene consequences: %d rows; key semi-joins %s", measured_csq.rows,
+                 "broadcast" if measured_csq.fits() else "shuffled")
         keys = measured_csq.side(csq.select(*KEY))
 
     def reduce_to_genes(df: DataFrame) -> DataFrame:
@@ -138,6 +143,8 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
         # The flagged rows are measured too: their exact count bounds the build side of J7.
         measured_flagged = measure(flagged, params.broadcast_max_rows)
         flagged = measured_flagged.df
+        log.info("flagged variant rows: %d; genotype join %s", measured_flagged.rows,
+                 "broadcast" if measured_flagged.fits() else "shuffled")
         variants.unpersist()
     extra: list[Measured] = []
     joined, result = attach_carriers(tables.occurrences, flagged, tables, params, measured_flagged, measured_csq,
@@ -172,6 +179,8 @@ def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantT
             regions = measure(O.flagged_regions(flagged, params.region_bin_size), params.broadcast_max_keys)
             if measured_out is not None:
                 measured_out.append(regions)
+            log.info("flagged genome regions: %d; genotype rows %s", regions.rows,
+                     "cut to them before the shuffle" if regions.fits() else "shuffled whole")
             if regions.fits():
                 carriers = O.keep_regions(carriers, regions.side(), params.region_bin_size)
             joined = O.join_carriers(shuffled_flagged, carriers)
