@@ -128,6 +128,9 @@ def _result(name: str, over: str, clinvar: bool, hgmd: bool) -> str:
 
 
 def _with(*ctes: str) -> str:
+    """``WITH`` clause: the fixture views followed by ``ctes``."""
+    if not ctes:
+        return oracle_ctes(*ALL_VIEWS)
     return oracle_ctes(*ALL_VIEWS).rstrip("\n") + ",\n" + ",\n".join(ctes) + "\n"
 
 
@@ -152,19 +155,19 @@ SQL: dict[str, str] = {
         "CASE WHEN p_partkey % 4 = 1 THEN chr(160) WHEN p_partkey % 4 = 2 THEN chr(10) "
         "WHEN p_partkey % 4 = 3 THEN ' ' ELSE '' END) AS line FROM part)"),
     "canonical_gene_filter": _with(CSQ) + "SELECT * FROM csq",
-    "study_overlap": _with() .rstrip(",\n") + "\nSELECT " + K + ", study IN ('SD_B', 'SD_Z') AS in_study FROM f_variants",
+    "study_overlap": _with() + "SELECT " + K + ", study IN ('SD_B', 'SD_Z') AS in_study FROM f_variants",
     "chromosome_restrict": _with(CSQ) + (
         f"SELECT {K}, damage AS DamagePredCount FROM f_dbnsfp WHERE chromosome IN (SELECT chromosome FROM csq)"),
     "damage_ratio": _with(DBN) + f"SELECT {K}, DamagePredCount, PredCountRatio_D2T FROM dbn",
     "max_population_af": _with(_vrt("vrt_all", None)) + "SELECT * FROM vrt_all",
-    "clinvar_first_gene": _with() .rstrip(",\n") + (
-        f"\nSELECT {K}, name AS VariationID, split_part(split_part(geneinfo, '|', 1), ':', 1) AS first_gene "
+    "clinvar_first_gene": _with() + (
+        f"SELECT {K}, name AS VariationID, split_part(split_part(geneinfo, '|', 1), ':', 1) AS first_gene "
         "FROM f_clinvar"),
-    "clinvar_significance": _with() .rstrip(",\n") + (
-        f"\nSELECT {K}, name AS VariationID, sig AS clin_sig FROM f_clinvar "
+    "clinvar_significance": _with() + (
+        f"SELECT {K}, name AS VariationID, sig AS clin_sig FROM f_clinvar "
         "WHERE sig IN ('Pathogenic', 'Likely_pathogenic')"),
-    "hgmd_class": _with() .rstrip(",\n") + (
-        f"\nSELECT {K}, id AS HGMDID, variant_class FROM f_hgmd WHERE starts_with(variant_class, 'DM')"),
+    "hgmd_class": _with() + (
+        f"SELECT {K}, id AS HGMDID, variant_class FROM f_hgmd WHERE starts_with(variant_class, 'DM')"),
     "allele_fraction": _with(OCC) + (
         f"SELECT {K}, biospecimen_id, CAST(ad0 AS VARCHAR) || '|' || CAST(ad1 AS VARCHAR) AS ad, "
         "vaf AS variant_allele_fraction FROM occ"),
@@ -172,16 +175,16 @@ SQL: dict[str, str] = {
         f"SELECT {K}, biospecimen_id, CAST(call0 AS VARCHAR) || '|' || CAST(call1 AS VARCHAR) AS calls, "
         "vaf AS variant_allele_fraction, CAST(adj0 AS VARCHAR) || '|' || CAST(adj1 AS VARCHAR) AS adjusted_calls "
         "FROM occ"),
-    "participant_id_norm": _with() .rstrip(",\n") + (
-        "\nSELECT participant_fhir_id, replace(upper(participant_fhir_id), '-', '_') AS participant_id "
+    "participant_id_norm": _with() + (
+        "SELECT participant_fhir_id, replace(upper(participant_fhir_id), '-', '_') AS participant_id "
         "FROM f_diagnoses"),
-    "chromosome_sort_key": _with() .rstrip(",\n") + (
-        f"\nSELECT {K}, CASE WHEN chromosome IN ('X', 'Y', 'x', 'y') THEN lpad(chromosome, 2, '2') "
+    "chromosome_sort_key": _with() + (
+        f"SELECT {K}, CASE WHEN chromosome IN ('X', 'Y', 'x', 'y') THEN lpad(chromosome, 2, '2') "
         "ELSE lpad(chromosome, 2, '0') END AS chromosome_key, "
         f"CASE WHEN chromosome IN ({LEVELS}) THEN chromosome END AS chromosome_level, "
         f"CAST({RANK_EXPR} AS INTEGER) AS chromosome_rank FROM f_variants"),
-    "study_from_path": _with() .rstrip(",\n") + (
-        "\nSELECT biospecimen_id, path, CASE WHEN regexp_extract(path, 'occurrences_(sd.*?)_re_', 1) <> '' "
+    "study_from_path": _with() + (
+        "SELECT biospecimen_id, path, CASE WHEN regexp_extract(path, 'occurrences_(sd.*?)_re_', 1) <> '' "
         "THEN upper(regexp_extract(path, 'occurrences_(sd.*?)_re_', 1)) END AS study_id FROM ("
         "SELECT biospecimen_id, concat('s3a://lake/genotypes/occurrences_', lower(study_id), "
         "CASE WHEN is_hi_conf_denovo THEN '_v' ELSE '_re_' END, lpad(CAST(dp % 100 AS VARCHAR), 3, '0'), "
@@ -231,8 +234,8 @@ SQL: dict[str, str] = {
         f"UNION ALL SELECT {COMBINED_KEEP}, CAST(NULL AS VARCHAR) AS VariationID, HGMDID FROM res_b)") + (
         f"SELECT {COMBINED_KEEP}, VariationID, HGMDID, CASE WHEN chromosome IN ({LEVELS}) THEN chromosome END "
         f"AS chromosome_level, rank() OVER (ORDER BY {F2_ORDER}) AS combined_rank FROM merged"),
-    "multi_study_union": _with() .rstrip(",\n") + (
-        f"\nSELECT {K}, biospecimen_id, study_id FROM f_occ WHERE study_id IN ('SD_A') "
+    "multi_study_union": _with() + (
+        f"SELECT {K}, biospecimen_id, study_id FROM f_occ WHERE study_id IN ('SD_A') "
         f"UNION ALL SELECT {K}, biospecimen_id, study_id FROM f_occ WHERE study_id IN ('SD_B')"),
     "gene_based_filter": _with(*FLAGSHIP_CTES) + "SELECT * FROM res",
 }
