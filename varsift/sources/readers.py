@@ -115,21 +115,32 @@ class ResultReadOptions:
     null_value: str = "-"
 
 
+def _result_reader(spark: SparkSession, options: ResultReadOptions):
+    return (spark.read.option("sep", options.sep).option("header", True).option("nullValue", options.null_value)
+            .option("quote", '"').option("escape", '"').option("inferSchema", False))
+
+
 def read_result(spark: SparkSession, path: str, options: ResultReadOptions = ResultReadOptions()) -> DataFrame:
     """A6 for one run's output (a file or a directory of part files): header row, ``-`` is null.
 
     Columns are read as text and known result columns are cast to their types, so no extra
     schema-inference pass over the data is made.
     """
-    df = (spark.read.option("sep", options.sep).option("header", True).option("nullValue", options.null_value)
-          .option("quote", '"').option("escape", '"').option("inferSchema", False).csv(path))
-    return _typed(df)
+    return _typed(_result_reader(spark, options).csv(path))
 
 
 def read_results(spark: SparkSession, paths: Sequence[str], options: ResultReadOptions = ResultReadOptions()
                  ) -> DataFrame:
-    """A6 + F3: several runs' outputs, each read with its own header, row-bound by column name."""
-    return union_by_name([read_result(spark, p, options) for p in paths])
+    """A6 + F3: several runs' outputs, row-bound by column name.
+
+    Runs are grouped by their header (read from each run's first line), and each group is read
+    with one reader, so the union has one branch per distinct column layout rather than per run.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in paths:
+        header = tuple(_result_reader(spark, options).csv(p).columns)
+        groups.setdefault(header, []).append(p)
+    return union_by_name([_typed(_result_reader(spark, options).csv(list(ps))) for ps in groups.values()])
 
 
 def expand_result_paths(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
