@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from varsift.functions import expressions as X
@@ -24,8 +25,16 @@ def write_result(df: DataFrame, out_dir: str, studies: Sequence[str], params: Fi
     Returns the output path (a directory of part files, ordered by part number).
     """
     path = f"{out_dir.rstrip('/')}/{SK.output_name(params.output_basename, studies, run_date)}"
-    out = R.sort_result(df) if params.profile.sorted_output else df
-    SK.write_tsv(out, path, compression="gzip", single_file=single_file)
+    if not params.profile.sorted_output:
+        SK.write_tsv(df, path, compression="gzip", single_file=single_file)
+        return path
+    # The range partitioner of the global sort samples its input in a separate job; persisting the
+    # result first keeps that pass from recomputing the filter (and re-reading the genotype table).
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        SK.write_tsv(R.sort_result(staged), path, compression="gzip", single_file=single_file)
+    finally:
+        staged.unpersist()
     return path
 
 
