@@ -36,3 +36,27 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 45  # FIXTURES.md: result rows at sf0.001
     assert len(df.columns) == 48
+
+
+@pytest.mark.parametrize("keys,rows", [(0, 0), (100, 0), (10**9, 0)], ids=["shuffle", "regions", "key-semi-join"])
+def test_fallback_paths_match_default_on_test_tables(spark, keys, rows):
+    """Every broadcast / shuffle branch of the genotype join gives the default result (sf0.01)."""
+    from conftest import SF01
+    from varsift.params import FilterParams
+    from varsift.plans.fixtures import FLAGSHIP_GENES, FLAGSHIP_STUDIES, mapped_tables
+    from varsift.plans.gene_filter import VariantTables, plan_gene_filter
+    from varsift.plans.queries import render
+
+    t = mapped_tables(spark, SF01)
+    vt = VariantTables(t.consequences, t.variants, t.dbnsfp, t.occurrences, t.diagnoses, t.phenotypes, t.clinvar,
+                       t.hgmd, t.studies)
+
+    def rows_of(params):
+        plan = plan_gene_filter(vt, FLAGSHIP_GENES, FLAGSHIP_STUDIES, params)
+        out = sorted(tuple(str(v) for v in r) for r in render(plan.result).collect())
+        plan.release()
+        return out
+
+    base = rows_of(FilterParams())
+    assert len(base) == 315  # FIXTURES.md: result rows at sf0.01
+    assert rows_of(FilterParams(broadcast_max_keys=keys, broadcast_max_rows=rows)) == base
