@@ -87,66 +87,78 @@ def q_gene_list_clean(spark, sf_dir):
 
 
 def q_canonical_gene_filter(spark, sf_dir):
+    """Canonical consequences of the listed genes."""
     return render(_gene_consequences(_tables(spark, sf_dir)))
 
 
 def q_study_overlap(spark, sf_dir):
+    """Study overlap of every variant (never null)."""
     t = _tables(spark, sf_dir)
     return t.variants.select(*KEY, X.overlaps_any("studies.study_id", ["SD_B", "SD_Z"]).alias("in_study"))
 
 
 def q_chromosome_restrict(spark, sf_dir):
+    """B4 + E4: dbNSFP rows on the chromosomes of the gene consequences (semi-join, no collect)."""
     t = _tables(spark, sf_dir)
     chroms = A.chromosomes_of(_gene_consequences(t))
     return A.restrict_to_chromosomes(t.dbnsfp, chroms).select(*KEY, "DamagePredCount")
 
 
 def q_damage_ratio(spark, sf_dir):
+    """Damaging-to-total prediction ratio of every dbNSFP row."""
     t = _tables(spark, sf_dir)
     return A.damage_predictions(t.dbnsfp).select(*KEY, "DamagePredCount", "PredCountRatio_D2T")
 
 
 def q_max_population_af(spark, sf_dir):
+    """C2 + C3: flattened frequencies and their maximum for every variant."""
     t = _tables(spark, sf_dir)
     return A.variant_frequencies(t.variants, None)
 
 
 def q_clinvar_first_gene(spark, sf_dir):
+    """First gene of every ClinVar record."""
     t = _tables(spark, sf_dir)
     return t.clinvar.select(*KEY, F.col("name").alias("VariationID"), X.first_gene("geneinfo").alias("first_gene"))
 
 
 def q_clinvar_significance(spark, sf_dir):
+    """ClinVar records with a pathogenic / likely pathogenic element."""
     t = _tables(spark, sf_dir)
     df = t.clinvar.where(X.has_significance("clin_sig"))
     return render(df.select(*KEY, F.col("name").alias("VariationID"), "clin_sig"))
 
 
 def q_hgmd_class(spark, sf_dir):
+    """HGMD records of a disease-causing class."""
     t = _tables(spark, sf_dir)
     return t.hgmd.where(X.is_disease_causing_class("variant_class")).select(
         *KEY, F.col("id").alias("HGMDID"), "variant_class")
 
 
 def q_allele_fraction(spark, sf_dir):
+    """Variant allele fraction of every genotype row."""
     t = _tables(spark, sf_dir)
     return render(t.occurrences.select(*KEY, "biospecimen_id", "ad",
                                        X.allele_fraction("ad").alias("variant_allele_fraction")))
 
 
 def q_adjusted_calls(spark, sf_dir):
+    """Adjusted calls of every genotype row."""
     t = _tables(spark, sf_dir)
     df = O.with_adjusted_calls(t.occurrences, PARAMS.aaf)
     return render(df.select(*KEY, "biospecimen_id", "calls", "variant_allele_fraction", "adjusted_calls"))
 
 
 def q_participant_id_norm(spark, sf_dir):
+    """Normalised participant ids of every diagnosis row."""
     t = _tables(spark, sf_dir)
     return t.diagnoses.select("participant_fhir_id",
                               X.normalise_participant("participant_fhir_id").alias("participant_id"))
 
 
 def q_chromosome_sort_key(spark, sf_dir):
+    """C11 + C12: sort key, level and rank of every variant's chromosome."""
     t = _tables(spark, sf_dir)
     return t.variants.select(
         *KEY, X.chromosome_sort_key("chromosome").alias("chromosome_key"),
@@ -174,24 +186,29 @@ def q_sorted_result(spark, sf_dir):
 
 
 def q_join_consequence_variant(spark, sf_dir):
+    """J1 (+ D5): gene consequences x the study's variants."""
     t = _tables(spark, sf_dir)
     return render(FL.gene_variants(_gene_consequences(t), _study_variants(t)))
 
 
 def q_join_damage_left(spark, sf_dir):
+    """J2 + C1 + C8: left join of damage predictions and the rarity flag."""
     t = _tables(spark, sf_dir)
     return _candidates(t).select(*KEY, "max_gnomad_topmed", *A.DAMAGE_COLUMNS, "flag")
 
 
 def q_clinvar_seen(spark, sf_dir):
+    """J3 + B5 + B6 + C4: ClinVar records of the genes seen in the study's variants."""
     return render(_clinvar_seen(_tables(spark, sf_dir)))
 
 
 def q_hgmd_seen(spark, sf_dir):
+    """J4 + B8 + C4: HGMD records of the genes seen in the study's variants."""
     return _hgmd_seen(_tables(spark, sf_dir))
 
 
 def q_clinvar_seen_with_vus(spark, sf_dir):
+    """As clinvar_seen, with uncertain significance counted as known."""
     return render(_clinvar_seen(_tables(spark, sf_dir), CLINVAR_SIGNIFICANCE_WITH_VUS))
 
 
@@ -204,16 +221,19 @@ def q_rare_damaging_flag(spark, sf_dir):
 
 
 def q_known_variant_override(spark, sf_dir):
+    """J5 + J6 + C9 + B15: flags after the ClinVar and HGMD overrides."""
     return _overridden(_tables(spark, sf_dir)).select(*KEY, "VariationID", "HGMDID", "flag")
 
 
 def q_carrier_calls(spark, sf_dir):
+    """C6 + C7 + B9-B11: credible carriers among all genotype rows."""
     t = _tables(spark, sf_dir)
     df = O.credible_carriers(t.occurrences, PARAMS.aaf)
     return render(df.select(*KEY, "biospecimen_id", "participant_id", "variant_allele_fraction", "adjusted_calls"))
 
 
 def q_flagged_carriers(spark, sf_dir):
+    """J7 + B12 + C5: carriers of the flagged variants."""
     t = _tables(spark, sf_dir)
     flagged = FL.keep_flagged(_overridden(t))
     joined = O.join_carriers(flagged, O.credible_carriers(t.occurrences, PARAMS.aaf))
@@ -222,14 +242,17 @@ def q_flagged_carriers(spark, sf_dir):
 
 
 def q_diagnoses_combined(spark, sf_dir):
+    """E1 + C10: sorted distinct diagnosis texts per participant."""
     return render(C.diagnoses_combined(_tables(spark, sf_dir).diagnoses))
 
 
 def q_hpo_codes(spark, sf_dir):
+    """E6 + E7 + B14: HPO codes of every phenotype row."""
     return C.hpo_codes(_tables(spark, sf_dir).phenotypes)
 
 
 def q_phenotypes_combined(spark, sf_dir):
+    """E2 + J9 + B13: phenotype texts and HPO codes per participant."""
     return render(C.phenotypes_combined(_tables(spark, sf_dir).phenotypes))
 
 
@@ -255,6 +278,7 @@ def q_combined_results(spark, sf_dir):
 
 
 def q_multi_study_union(spark, sf_dir):
+    """A5 + F4: genotype rows of two studies read per study and row-bound by name."""
     t = _tables(spark, sf_dir)
     per_study = [RD.occurrences_for_studies(t.occurrences, [s]) for s in ("SD_A", "SD_B")]
     return R.union_by_name([df.select(*KEY, "biospecimen_id", "study_id") for df in per_study])
