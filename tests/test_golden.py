@@ -96,3 +96,8 @@ def test_missing_table_rejected(tables):
 def test_string_thresholds_are_numeric():
     p = FilterParams(maf="0.0001", dpc_l="0.5", dpc_u="1", aaf="0.2")
     assert (p.maf, p.dpc_l, p.dpc_u, p.aaf) == (0.0001, 0.5, 1.0, 0.2)
+
+
+def test_empty_gene_list_gives_empty_result(tables):
+    cols, rows = run(tables, genes=[])
+    assert cols == NEW_COLUMNS and rows == []
