@@ -96,7 +96,8 @@ def test_region_cut_when_keys_do_not_fit(spark):
     # 11 gene consequences > 5 keys, 6 flagged rows > 0 rows, 4 regions <= 5: region semi-join path.
     params = FilterParams(broadcast_max_keys=5, broadcast_max_rows=0)
     plan = plan_gene_filter(tables, G.GENES, [G.STUDY], params)
-    assert [m.rows for m in plan.measured] == [11, 6, 4]  # consequences, flagged, regions
+    # consequences, flagged, gene regions (8 > 5: annotation tables not cut), flagged regions (4 <= 5)
+    assert [m.rows for m in plan.measured] == [11, 6, 8, 4]
     text = explain(plan.carriers)
     assert "LeftSemi" in text and "__region" in text  # genotype rows cut to flagged regions
     got = sorted(tuple(str(v) for v in r) for r in plan.result.collect())
@@ -201,3 +202,18 @@ def test_hot_participant_is_split_by_aqe(spark):
         assert len(got) == 20001
         assert next(r for r in got if r.participant_id == "PT_3").diagnoses_combined == ["c"]
         assert "SortMergeJoin(skew=true)" in explain(out)
+
+
+def test_gene_regions_cut_annotation_tables_when_keys_do_not_fit(spark):
+    import golden as G
+
+    tables = G.tables(spark)
+    base = plan_gene_filter(tables, G.GENES, [G.STUDY], FilterParams())
+    want = sorted(tuple(str(v) for v in r) for r in base.result.collect())
+    base.release()
+    # 11 gene consequences > 10 keys, 8 gene regions <= 10: region semi-joins on the annotation tables.
+    plan = plan_gene_filter(tables, G.GENES, [G.STUDY], FilterParams(broadcast_max_keys=10))
+    assert [m.rows for m in plan.measured][:3] == [11, 6, 8]
+    assert "__region" in explain(plan.study_variants)
+    assert sorted(tuple(str(v) for v in r) for r in plan.result.collect()) == want
+    plan.release()

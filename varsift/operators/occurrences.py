@@ -52,12 +52,16 @@ def region_of(start: str = "start", bin_size: int = 10_000):
     return F.floor(F.col(start) / F.lit(bin_size)).cast("long")
 
 
-def flagged_regions(flagged: DataFrame, bin_size: int) -> DataFrame:
-    """Distinct (chromosome, region) pairs of the flagged variants."""
-    return flagged.select("chromosome", region_of("start", bin_size).alias("__region")).distinct()
+def genome_regions(variants: DataFrame, bin_size: int) -> DataFrame:
+    """Distinct (chromosome, region) pairs of a set of variants."""
+    return variants.select("chromosome", region_of("start", bin_size).alias("__region")).distinct()
 
 
-def keep_regions(carriers: DataFrame, regions: DataFrame, bin_size: int) -> DataFrame:
-    """Genotype rows inside the given regions (a superset of the flagged keys; the key join follows)."""
-    tagged = carriers.withColumn("__region", region_of("start", bin_size))
+# The flagged variants' regions (J7 fallback).
+flagged_regions = genome_regions
+
+
+def keep_regions(rows: DataFrame, regions: DataFrame, bin_size: int) -> DataFrame:
+    """Rows inside the given regions (a superset of the wanted keys; an exact key join follows)."""
+    tagged = rows.withColumn("__region", region_of("start", bin_size))
     return tagged.join(regions, ["chromosome", "__region"], "left_semi").drop("__region")

@@ -111,15 +111,30 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
     csq = A.canonical_consequences(tables.consequences, gene_set, studies, prof)
     measured_csq = None
     keys = None
+    gene_regions = None
+    extra: list[Measured] = []
     if params.key_reduction:
         measured_csq = measure(csq, params.broadcast_max_keys)
         csq = measured_csq.df
         log.info("gene consequences: %d rows; key semi-joins %s", measured_csq.rows,
                  "broadcast" if measured_csq.fits() else "shuffled")
         keys = measured_csq.side(csq.select(*KEY))
+        if not measured_csq.fits():
+            # Too many keys to broadcast: the genes' genome regions (a bounded, measured set) still
+            # cut the annotation tables where they are read, before the exact key semi-joins shuffle.
+            regions = measure(O.genome_regions(csq, params.region_bin_size), params.broadcast_max_keys)
+            extra.append(regions)
+            log.info("gene regions: %d; annotation tables %s", regions.rows,
+                     "cut to them before the shuffle" if regions.fits() else "shuffled whole")
+            if regions.fits():
+                gene_regions = regions.side()
 
     def reduce_to_genes(df: DataFrame) -> DataFrame:
-        return df if keys is None else df.join(keys, KEY, "left_semi")
+        if keys is None:
+            return df
+        if gene_regions is not None:
+            df = O.keep_regions(df, gene_regions, params.region_bin_size)
+        return df.join(keys, KEY, "left_semi")
 
     variants = A.variant_frequencies(reduce_to_genes(tables.variants), studies, prof)
     if params.key_reduction:
@@ -146,7 +161,6 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
         log.info("flagged variant rows: %d; genotype join %s", measured_flagged.rows,
                  "broadcast" if measured_flagged.fits() else "shuffled")
         variants.unpersist()
-    extra: list[Measured] = []
     joined, result = attach_carriers(tables.occurrences, flagged, tables, params, measured_flagged, measured_csq,
                                      studies if restrict_occurrences_to_studies else None, measured_out=extra)
     return GeneFilterPlan(result, csq, variants, candidates, flagged, joined,
