@@ -57,10 +57,6 @@ def genome_regions(variants: DataFrame, bin_size: int) -> DataFrame:
     return variants.select("chromosome", region_of("start", bin_size).alias("__region")).distinct()
 
 
-# The flagged variants' regions (J7 fallback).
-flagged_regions = genome_regions
-
-
 def keep_regions(rows: DataFrame, regions: DataFrame, bin_size: int) -> DataFrame:
     """Rows inside the given regions (a superset of the wanted keys; an exact key join follows)."""
     tagged = rows.withColumn("__region", region_of("start", bin_size))

@@ -45,10 +45,6 @@ def result_order(tie_columns: Sequence[str] = RESULT_TIE_COLUMNS) -> list[Column
     return [k.column() for k in result_keys(tie_columns)]
 
 
-def combined_order(tie_columns: Sequence[str]) -> list[Column]:
-    return [k.column() for k in combined_keys(tie_columns)]
-
-
 def with_tie_breakers(df: DataFrame, order: list[Column], nulls_first: bool = True) -> list[Column]:
     """``order`` plus row-identifying columns present in ``df`` and a hash of the whole row, so
     range partitioning can split a sort key shared by very many rows."""

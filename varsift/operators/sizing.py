@@ -22,10 +22,6 @@ class Measured:
     rows: int
     max_rows: int
 
-    @property
-    def small(self) -> bool:
-        return self.rows <= self.max_rows
-
     def fits(self, max_rows: int | None = None) -> bool:
         return self.rows <= (self.max_rows if max_rows is None else max_rows)
 

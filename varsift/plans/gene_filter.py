@@ -190,7 +190,7 @@ def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantT
         elif measured_flagged is not None:
             # Too many flagged keys for a broadcast: cut the genotype rows to the flagged genome regions
             # first (a bounded, measured set), so only rows near flagged variants are shuffled.
-            regions = measure(O.flagged_regions(flagged, params.region_bin_size), params.broadcast_max_keys)
+            regions = measure(O.genome_regions(flagged, params.region_bin_size), params.broadcast_max_keys)
             if measured_out is not None:
                 measured_out.append(regions)
             log.info("flagged genome regions: %d; genotype rows %s", regions.rows,
