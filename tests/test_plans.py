@@ -217,3 +217,19 @@ def test_gene_regions_cut_annotation_tables_when_keys_do_not_fit(spark):
     assert "__region" in explain(plan.study_variants)
     assert sorted(tuple(str(v) for v in r) for r in plan.result.collect()) == want
     plan.release()
+
+
+def test_chromosome_partitions_pruned(spark, tmp_path):
+    """A chromosome-partitioned genotype table is read only for the genes' chromosomes."""
+    import golden as G
+    from dataclasses import replace
+
+    tables = G.tables(spark)
+    tables.occurrences.write.partitionBy("chromosome").parquet(str(tmp_path / "occ"))
+    occ = spark.read.parquet(str(tmp_path / "occ"))
+    plan = plan_gene_filter(replace(tables, occurrences=occ), G.GENES, [G.STUDY], FilterParams())
+    assert len(plan.carriers.collect()) == len(G.EXPECTED)
+    text = explain(plan.carriers)
+    part_filters = [ln for ln in text.splitlines() if ln.startswith("PartitionFilters") and "chromosome" in ln]
+    assert part_filters and all(" IN (" in ln for ln in part_filters)  # e.g. chromosome IN (1,2,3,5,6,7,8,X)
+    plan.release()

@@ -120,3 +120,16 @@ def chromosomes_of(gene_consequences: DataFrame) -> DataFrame:
 def restrict_to_chromosomes(df: DataFrame, chromosomes: DataFrame) -> DataFrame:
     """Rows on a chromosome of ``chromosomes`` (semi-join; AQE broadcasts the measured tiny side)."""
     return df.join(chromosomes, "chromosome", "left_semi")
+
+
+def chromosome_values(gene_consequences: DataFrame, max_values: int = 5_000) -> list[str] | None:
+    """The distinct chromosomes of the gene consequences as literal values, or None if more than
+    ``max_values`` (at most ``max_values + 1`` short values are fetched).
+
+    Used as a ``chromosome IN (...)`` filter on the large tables: redundant with the key joins, but it
+    reaches the scan, where it prunes chromosome partitions and row groups.
+    """
+    rows = gene_consequences.select("chromosome").distinct().limit(max_values + 1).collect()
+    if len(rows) > max_values:
+        return None
+    return sorted(r[0] for r in rows if r[0] is not None)

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from varsift.operators import annotations as A
 from varsift.operators import clinical as C
@@ -112,6 +113,7 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
     measured_csq = None
     keys = None
     gene_regions = None
+    chromosomes = None
     extra: list[Measured] = []
     if params.key_reduction:
         measured_csq = measure(csq, params.broadcast_max_keys)
@@ -119,6 +121,7 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
         log.info("gene consequences: %d rows; key semi-joins %s", measured_csq.rows,
                  "broadcast" if measured_csq.fits() else "shuffled")
         keys = measured_csq.side(csq.select(*KEY))
+        chromosomes = A.chromosome_values(csq)
         if not measured_csq.fits():
             # Too many keys to broadcast: the genes' genome regions (a bounded, measured set) still
             # cut the annotation tables where they are read, before the exact key semi-joins shuffle.
@@ -129,9 +132,13 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
             if regions.fits():
                 gene_regions = regions.side()
 
+    def on_gene_chromosomes(df: DataFrame) -> DataFrame:
+        return df if chromosomes is None else df.where(F.col("chromosome").isin(chromosomes))
+
     def reduce_to_genes(df: DataFrame) -> DataFrame:
         if keys is None:
             return df
+        df = on_gene_chromosomes(df)
         if gene_regions is not None:
             df = O.keep_regions(df, gene_regions, params.region_bin_size)
         return df.join(keys, KEY, "left_semi")
@@ -161,7 +168,8 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
         log.info("flagged variant rows: %d; genotype join %s", measured_flagged.rows,
                  "broadcast" if measured_flagged.fits() else "shuffled")
         variants.unpersist()
-    joined, result = attach_carriers(tables.occurrences, flagged, tables, params, measured_flagged, measured_csq,
+    joined, result = attach_carriers(on_gene_chromosomes(tables.occurrences), flagged, tables, params,
+                                     measured_flagged, measured_csq,
                                      studies if restrict_occurrences_to_studies else None, measured_out=extra)
     return GeneFilterPlan(result, csq, variants, candidates, flagged, joined,
                           [m for m in (measured_csq, measured_flagged) if m is not None] + extra)
