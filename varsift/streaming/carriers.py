@@ -8,9 +8,11 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from varsift.operators import annotations as A
 from varsift.operators import clinical as C
 from varsift.operators.annotations import GeneSet
 from varsift.params import FilterParams
@@ -50,6 +52,10 @@ def carrier_stream(spark: SparkSession, tables: VariantTables, genes: Sequence[s
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     occurrences = reader.parquet(occurrences_dir)
+    if params.key_reduction:
+        chromosomes = A.chromosome_values(batch.gene_consequences)
+        if chromosomes is not None:
+            occurrences = occurrences.where(F.col("chromosome").isin(chromosomes))
     measured_csq, measured_flagged = (batch.measured + [None, None])[:2]
     _, result = attach_carriers(occurrences, batch.flagged, tables, params, measured_flagged, measured_csq,
                                 lists=lists)
