@@ -36,6 +36,7 @@ def filter_and_write(spark, sf_dir: str, out_dir: str) -> None:
     finally:
         plan.release()
 
+
 WARMUP_DIR = "/root/testdata/sf0.001"
 HEADLINE = [
     "gene_based_filter",
