@@ -27,21 +27,22 @@ TRAIN_DOCS, TRAIN_BYTES = 3000, 32_768
 ROUNDS = 60
 GOOD, BAD, NONE = 1, 0, 2
 
-#: Labellers: statistic, bad from this value on, good up to this value (between them no vote).
+#: Labellers: statistic, bad from this value on, good up to this value (otherwise no vote; below 0: never good).
 LABELLERS = (
-    ("repeated_words", 0.25, 0.02),
-    ("repeated_lines", 0.30, 0.0),
-    ("symbols_per_word", 0.30, 0.02),
-    ("upper_share", 0.45, 0.15),
-    ("marks_per_word", 0.80, 0.35),
-    ("few_kinds", 0.70, 0.50),
-    ("short_lines", 0.80, 0.20),
-    ("short_text", 0.95, 0.60),
+    ("repeated_words", 0.30, -1.0),
+    ("repeated_lines", 0.40, -1.0),
+    ("few_kinds", 0.60, -1.0),
+    ("symbols_per_word", 0.30, -1.0),
+    ("marks_per_word", 0.35, -1.0),
+    ("odd_words", 0.25, -1.0),
+    ("upper_share", 0.45, 0.12),
+    ("not_letters", 0.20, 0.09),
+    ("worst", 1.0, 0.5),
 )
 
 
 def statistics(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """(row, labeller) values, each between 0 and about 1, larger for worse texts."""
+    """(row, labeller) values, larger for worse texts."""
     n = len(at) - 1
     words, _, symbols, dup, repeat = base_stats(data, at)
     start, end, row = ta.word_spans(data, at, ta.NON_SPACE)
@@ -57,11 +58,16 @@ def statistics(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     hashes = ta.span_hashes(ta.prefix_sums(data), start, end)
     kinds = np.bincount(row[np.unique(ta.mix(hashes + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)[1]], minlength=n)
     lines = np.bincount(row_of[data == 0x0A], minlength=n) + 1
-    repeated = 1 - kinds / some - 0.15 * np.log10(np.maximum(some / 100, 1))
-    return np.stack([
-        repeat / some, dup / np.maximum(lines, 1), symbols / some, share(upper, upper | lower),
-        np.bincount(row_of[marks[data]], minlength=n) / some, np.where(words > 0, repeated, 0),
-        np.where(lines > 3, 1 - np.minimum(words / lines, 10) / 10, 0), 1 - np.minimum(words, 200) / 200], 1)
+    repeated = np.where(words > 0, 1 - kinds / some - 0.15 * np.log10(np.maximum(some / 100, 1)), 0)
+    with_mark = np.add.reduceat(np.append(marks[data], False), start) > 0 if len(start) else np.zeros(0, bool)
+    odd = np.bincount(row[with_mark], minlength=n) / some
+    visible = ta.NON_SPACE[data]
+    letter = upper | lower | (data >= 0x80) | (data >= 0x30) & (data <= 0x39)
+    out = np.stack([repeat / some, np.where(lines > 3, dup / lines, 0), repeated, symbols / some,
+                    np.bincount(row_of[marks[data]], minlength=n) / some, odd, share(upper, upper | lower),
+                    share(visible & ~letter, visible)], 1)
+    scaled = out / np.array([x[1] for x in LABELLERS[:-1]])
+    return np.concatenate([out, scaled.max(1, keepdims=True)], 1)
 
 
 def votes(values: np.ndarray) -> np.ndarray:
@@ -82,7 +88,7 @@ class LabelModel:
         vote = patterns[:, None] // 3 ** np.arange(k) % 3
         one_hot = (vote[:, :, None] == np.arange(3)).astype(float)
         bad, good = (vote == BAD).sum(1), (vote == GOOD).sum(1)
-        post = np.clip((good - 2 * bad + 1) / (k + 1) + 0.3, 0.05, 0.95)
+        post = np.clip(0.5 + (good - bad) / 4, 0.05, 0.95)
         for _ in range(rounds):
             w = np.stack([(1 - post) * counts, post * counts])
             self.prior = (w.sum(1) + 1) / (counts.sum() + 2)
