@@ -75,17 +75,22 @@ def test_combine_round_trip(spark, tmp_path):
     p_all = plan_gene_filter(tables, G.GENES, [G.STUDY], FilterParams())
     a = write_result(p_all.result, str(tmp_path / "a"), [G.STUDY])
     p_h = plan_gene_filter(tables, G.GENES, [G.STUDY], FilterParams(known_variants=("HGMD",)))
-    b = write_result(p_h.result.drop("study_code"), str(tmp_path / "b"), [G.STUDY])
+    b = write_result(p_h.result.drop("study_code"), str(tmp_path / "b"), [G.STUDY], tie_columns=("family_id", "is_proband"))
+    with pytest.raises(ValueError, match="study_code"):
+        write_result(p_h.result.drop("study_code"), str(tmp_path / "c"), [G.STUDY])
     merged = combine_results(spark, [a, b], tie_columns=("family_id", "is_proband"))
     rows = merged.collect()
     assert len(rows) == 2 * len(G.EXPECTED) - 1
     assert merged.columns.index("VariationID") < merged.columns.index("HGMDID")
     assert [r["chromosome"] for r in rows] == ["1", "1", "1", "2", "2", "6", "6", "X", "X", "X", "X"]
     assert sum(r["VariationID"] is None for r in rows) == len(G.EXPECTED) - 1 + (len(G.EXPECTED) - 1)
-    out = write_combined(merged, str(tmp_path / "m"), run_date=dt.date(2024, 9, 30))
+    ties = ("family_id", "is_proband")
+    out = write_combined(merged, str(tmp_path / "m"), run_date=dt.date(2024, 9, 30), single_file=True, tie_columns=ties)
     lines = _part_lines(out, gz=False)
     assert lines[0].startswith("study_id\tparticipant_id\tchromosome")
     assert len(lines) == 1 + len(rows)
+    at = lines[0].split("\t").index("chromosome")
+    assert [x.split("\t")[at] for x in lines[1:]] == [r["chromosome"] for r in rows]
     p_all.release()
     p_h.release()
 
@@ -100,6 +105,32 @@ def test_combine_nonstandard_chromosome_last(spark, tmp_path):
                                                                    (None, 5, "F1")]
 
 
+def test_combined_part_files_are_in_order(spark, tmp_path):
+    """By default the merge is written as several part files, one after the other in global order."""
+    df = spark.range(4000).selectExpr("cast(id % 22 + 1 as string) chromosome", "id * 7919 % 4000 AS start", "'F' family_id")
+    p = str(tmp_path / "r")
+    SK.write_tsv(df, p)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = write_combined(combine_results(spark, [p], tie_columns=("family_id",)), str(tmp_path / "m"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(f.startswith("part-") for f in os.listdir(out)) > 1
+    rows = [(int(x.split("\t")[0]), int(x.split("\t")[1])) for x in _part_lines(out, gz=False) if not x.startswith("chromosome")]
+    assert len(rows) == 4000 and rows == sorted(rows)
+
+
+def test_result_reader_keeps_values_and_rows(spark, tmp_path):
+    """A file as another program writes it: whole numbers as 30.0 and 1e3, quoted line breaks, empty cells."""
+    p = tmp_path / "run.tsv"
+    p.write_text('chromosome\tstart\tdp\tphen\tgnomad_af\n1\t1e3\t30.0\t"two\nlines"\t0.5\n2\t7\t-\t\t-\nX\t8.0\t\t"a ""b"""\t\n')
+    rows = [tuple(r) for r in RD.read_result(spark, str(p)).collect()]
+    assert rows == [("1", 1000, 30, "two\nlines", 0.5), ("2", 7, None, "", None), ("X", 8, None, 'a "b"', None)]
+    p.write_text("chromosome\tdp\n1\t30.5\n")
+    with pytest.raises(Exception, match="unreadable value in column dp: 30.5"):
+        RD.read_result(spark, str(p)).collect()
+
+
 def test_combine_missing_sort_column(spark, tmp_path):
     df = spark.createDataFrame([("1", 5)], "chromosome string, start long")
     p = str(tmp_path / "r")
@@ -127,5 +158,7 @@ def test_read_study_partitions(spark, tmp_path):
     got = RD.read_study_partitions(spark, str(parent), ["SD_A", "SD_B"])
     rows = sorted((r.chromosome, r.study_id) for r in got.collect())
     assert rows == [("1", "SD_A"), ("1", "SD_A"), ("2", "SD_B"), ("3", "SD_A"), ("3", "SD_A")]
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="SD_Z"):
         RD.read_study_partitions(spark, str(parent), ["SD_Z"])
+    with pytest.raises(ValueError, match="SD_MISSING"):  # also when the others have partitions
+        RD.read_study_partitions(spark, str(parent), ["SD_A", "SD_MISSING"])

@@ -48,7 +48,7 @@ def test_genotype_scan_pruned_and_filtered(vt):
 def test_small_flagged_set_is_broadcast_into_genotype_join(vt):
     plan = plan_gene_filter(vt, FLAGSHIP_GENES, FLAGSHIP_STUDIES)
     tree = explain(plan.carriers).split("\n\n")[0]
-    top = tree.split("InMemoryTableScan")[0]  # J7 itself, above the cached flagged rows
+    top = tree.split("InMemoryTableScan")[1]  # J7 as it filled the carriers' cache, above the cached flagged rows
     assert "BroadcastHashJoin Inner BuildLeft" in top
     assert "SortMergeJoin" not in top
     assert re.search(r"(?<!Broadcast)Exchange", top) is None  # no shuffle of the genotype rows
@@ -60,13 +60,14 @@ def test_large_sets_fall_back_to_shuffle(vt):
     plan = plan_gene_filter(vt, FLAGSHIP_GENES, FLAGSHIP_STUDIES, params)
     text = explain(plan.carriers)
     assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
-    assert plan.result.count() == 45
+    assert plan.result.count() == 36
     plan.release()
 
 
-def test_two_measurements_then_one_final_job(spark, vt):
+def test_measurements_then_one_final_job(spark, vt):
     plan = plan_gene_filter(vt, FLAGSHIP_GENES, FLAGSHIP_STUDIES)
-    assert [m.rows for m in plan.measured] == [18, 11]  # FIXTURES.md: consequences / flagged at sf0.001
+    # FIXTURES.md: consequences / flagged / carriers / their participants at sf0.001
+    assert [m.rows for m in plan.measured] == [18, 8, 36, 10]
     assert all(m.df.is_cached for m in plan.measured)
     plan.release()
     assert not any(m.df.is_cached for m in plan.measured)
@@ -96,8 +97,9 @@ def test_region_cut_when_keys_do_not_fit(spark):
     # 11 gene consequences > 5 keys, 6 flagged rows > 0 rows, 4 regions <= 5: region semi-join path.
     params = FilterParams(broadcast_max_keys=5, broadcast_max_rows=0)
     plan = plan_gene_filter(tables, G.GENES, [G.STUDY], params)
-    # consequences, flagged, gene regions (8 > 5: annotation tables not cut), flagged regions (4 <= 5)
-    assert [m.rows for m in plan.measured] == [11, 6, 8, 4]
+    # consequences, flagged, gene regions (8 > 5: annotation tables not cut), flagged regions (4 <= 5),
+    # carriers, participants
+    assert [m.rows for m in plan.measured] == [11, 6, 8, 4, 6, 5]
     text = explain(plan.carriers)
     assert "LeftSemi" in text and "__region" in text  # genotype rows cut to flagged regions
     got = sorted(tuple(str(v) for v in r) for r in plan.result.collect())
@@ -233,3 +235,35 @@ def test_chromosome_partitions_pruned(spark, tmp_path):
     part_filters = [ln for ln in text.splitlines() if ln.startswith("PartitionFilters") and "chromosome" in ln]
     assert part_filters and all(" IN (" in ln for ln in part_filters)  # e.g. chromosome IN (1,2,3,5,6,7,8,X)
     plan.release()
+
+
+def test_few_but_wide_rows_are_not_broadcast(vt):
+    """The bound on bytes, not only the one on rows, decides on a broadcast."""
+    wide = plan_gene_filter(vt, FLAGSHIP_GENES, FLAGSHIP_STUDIES, FilterParams(broadcast_max_bytes=16))
+    flagged = next(m for m in wide.measured if m.rows == 8)
+    assert flagged.size > 16 and not flagged.fits()
+    assert wide.result.count() == 36
+    wide.release()
+    base = plan_gene_filter(vt, FLAGSHIP_GENES, FLAGSHIP_STUDIES)
+    assert all(m.fits() for m in base.measured)
+    base.release()
+
+
+def test_many_chromosomes_are_a_semi_join(vt):
+    """Beyond the literal list the chromosome filter stays, as a semi-join."""
+    few = plan_gene_filter(vt, FLAGSHIP_GENES, FLAGSHIP_STUDIES, FilterParams(max_literal_chromosomes=1))
+    assert few.result.count() == 36
+    few.release()
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from unittest import mock
+
+    from varsift.session import ensure_checkpoint_dir
+
+    session = mock.Mock()
+    session.conf.get.return_value = None
+    session.sparkContext.getCheckpointDir.return_value = None
+    session.sparkContext.master = "yarn"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)

@@ -27,7 +27,7 @@ from varsift.params import (
     FilterParams,
 )
 from varsift.plans.gene_filter import VariantTables, plan_gene_filter
-from varsift.plans.jobs import combine_results, write_combined, write_result
+from varsift.plans.jobs import COMBINED_TIE_COLUMNS, combine_results, write_combined, write_result
 from varsift.session import ensure_checkpoint_dir
 from varsift.sources import readers as RD
 
@@ -51,8 +51,10 @@ def build_parser() -> argparse.ArgumentParser:
     f.add_argument("--known-variants", nargs="+", default=["ClinVar", "HGMD"])
     f.add_argument("--clinvar-significance", nargs="+", default=list(CLINVAR_SIGNIFICANCE),
                    help="ClinVar levels that count as known (add Uncertain_significance for VUS)")
-    f.add_argument("--restrict-occurrences-to-study", action="store_true",
-                   help="keep only genotype rows of the listed studies (prunes a study-partitioned table)")
+    f.add_argument("--occurrences-parent", help="folder of occurrences_*/study_id=<id> tables, instead of --occurrences")
+    f.add_argument("--restrict-occurrences-to-study", action=argparse.BooleanOptionalAction, default=None,
+                   help="keep only genotype rows of the listed studies (prunes a study-partitioned table); "
+                        "default: if --study is given and the genotype table has a study_id column")
     f.add_argument("--broadcast-max-keys", type=int, default=FilterParams.broadcast_max_keys)
     f.add_argument("--broadcast-max-rows", type=int, default=FilterParams.broadcast_max_rows)
     f.add_argument("--region-bin-size", type=int, default=FilterParams.region_bin_size)
@@ -65,6 +67,7 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("paths", nargs="+", help="run outputs or glob patterns (e.g. results/*.tsv.gz)")
     c.add_argument("--sort-column", action="append", help="tie columns after chromosome and start")
     c.add_argument("--out", required=True)
+    c.add_argument("--single-file", action="store_true", help="write one part file in one task (small merges)")
     return p
 
 
@@ -78,14 +81,23 @@ def run_filter(spark: SparkSession, args: argparse.Namespace) -> str:
     needed |= {"clinvar"} if params.use_clinvar else set()
     needed |= {"hgmd"} if params.use_hgmd else set()
     needed |= {"studies"} if params.profile.has_studies_table else set()
+    if args.occurrences_parent:
+        needed -= {"occurrences"}
+        if not args.study:
+            raise SystemExit("--occurrences-parent needs --study")
     missing = sorted(t for t in needed if not getattr(args, t))
     if missing:
         raise SystemExit(f"missing table locations: {', '.join(missing)}")
     frames = {t: RD.read_table(spark, getattr(args, t), getattr(args, f"{t}_format")) if getattr(args, t) else None
               for t in TABLES}
     studies = args.study or [RD.study_from_path(args.occurrences)]
+    if args.occurrences_parent:
+        frames["occurrences"] = RD.read_study_partitions(spark, args.occurrences_parent, studies, args.occurrences_format)
+    restrict = args.restrict_occurrences_to_study
+    if restrict is None:
+        restrict = bool(args.study) and "study_id" in frames["occurrences"].columns
     genes = RD.gene_values(RD.read_gene_list(spark, args.gene_list))
-    plan = plan_gene_filter(VariantTables(**frames), genes, studies, params, args.restrict_occurrences_to_study)
+    plan = plan_gene_filter(VariantTables(**frames), genes, studies, params, restrict)
     if args.explain:
         plan.result.explain("formatted")
     try:
@@ -99,8 +111,8 @@ def run_combine(spark: SparkSession, args: argparse.Namespace) -> str:
     paths = RD.expand_result_paths(spark, args.paths)
     if not paths:
         raise SystemExit(f"no result files match {args.paths}")
-    df = combine_results(spark, paths, ties) if ties else combine_results(spark, paths)
-    return write_combined(df, args.out)
+    ties = ties or COMBINED_TIE_COLUMNS
+    return write_combined(combine_results(spark, paths, ties), args.out, single_file=args.single_file, tie_columns=ties)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -6,7 +6,7 @@ Plain column predicates come first so that Parquet receives them as pushed filte
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,23 +113,20 @@ def seen_in_variants(candidates: DataFrame, study_variants: DataFrame) -> DataFr
 
 
 def chromosomes_of(gene_consequences: DataFrame) -> DataFrame:
-    """Distinct chromosomes of the gene-restricted consequences (kept as a frame, not collected)."""
+    """Distinct chromosomes of the gene-restricted consequences."""
     return gene_consequences.select("chromosome").distinct()
 
 
-def restrict_to_chromosomes(df: DataFrame, chromosomes: DataFrame) -> DataFrame:
-    """Rows on a chromosome of ``chromosomes`` (semi-join; AQE broadcasts the measured tiny side)."""
-    return df.join(chromosomes, "chromosome", "left_semi")
+def chromosome_filter(gene_consequences: DataFrame, max_literal: int = 5_000) -> Callable[[DataFrame], DataFrame]:
+    """A filter to the rows on a chromosome of the gene consequences.
 
-
-def chromosome_values(gene_consequences: DataFrame, max_values: int = 5_000) -> list[str] | None:
-    """The distinct chromosomes of the gene consequences as literal values, or None if more than
-    ``max_values`` (at most ``max_values + 1`` short values are fetched).
-
-    Used as a ``chromosome IN (...)`` filter on the large tables: redundant with the key joins, but it
-    reaches the scan, where it prunes chromosome partitions and row groups.
+    Up to ``max_literal`` distinct values (at most one more is fetched) become a ``chromosome IN (...)`` filter,
+    which reaches the scan and prunes chromosome partitions and row groups; more of them stay a frame and
+    a semi-join. Either way the same rows are kept.
     """
-    rows = gene_consequences.select("chromosome").distinct().limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        return None
-    return sorted(r[0] for r in rows if r[0] is not None)
+    chromosomes = chromosomes_of(gene_consequences)
+    rows = chromosomes.limit(max_literal + 1).collect()
+    if len(rows) > max_literal:
+        return lambda df: df.join(chromosomes, "chromosome", "left_semi")
+    values = sorted(r[0] for r in rows if r[0] is not None)
+    return lambda df: df.where(F.col("chromosome").isin(values))

@@ -22,14 +22,14 @@ def diagnoses_combined(diagnoses: DataFrame, layout: str = "fhir") -> DataFrame:
                               F.col("source_text").alias("text"))
     else:
         df = diagnoses.select("participant_id", F.col("source_text_diagnosis").alias("text"))
-    return df.groupBy("participant_id").agg(F.sort_array(F.collect_set("text")).alias("diagnoses_combined"))
+    return df.where(F.col("participant_id").isNotNull()).groupBy("participant_id").agg(
+        F.sort_array(F.collect_set("text")).alias("diagnoses_combined"))
 
 
 def hpo_codes(phenotypes: DataFrame) -> DataFrame:
     """E6 + E7 + B14: ``(phenotype_id, code)`` for every HPO coding of every phenotype row."""
-    exploded = phenotypes.select("phenotype_id", F.explode("condition_coding").alias("coding"))
-    return exploded.where(F.col("coding.category") == HPO_CATEGORY).select(
-        "phenotype_id", F.col("coding.code").alias("code"))
+    hpo = F.filter("condition_coding", lambda c: c["category"] == HPO_CATEGORY)
+    return phenotypes.select("phenotype_id", F.explode(F.transform(hpo, lambda c: c["code"])).alias("code"))
 
 
 def _pairs_to_lists(grouped: DataFrame) -> DataFrame:
@@ -56,19 +56,31 @@ def phenotypes_combined(phenotypes: DataFrame, layout: str = "fhir") -> DataFram
     else:
         df = phenotypes.select("participant_id", F.col("source_text_phenotype").alias("text"),
                                F.col("hpo_id_phenotype").alias("code"))
-    grouped = df.groupBy("participant_id").agg(
+    grouped = df.where(F.col("participant_id").isNotNull()).groupBy("participant_id").agg(
         F.sort_array(F.collect_set(F.struct("text", "code"))).alias("pairs"))
     return _pairs_to_lists(grouped)
 
 
+def of_participants(rows: DataFrame, participants: DataFrame, layout: str = "fhir") -> DataFrame:
+    """The clinical rows of ``participants`` only, so that lists are built for them and nobody else."""
+    own = X.normalise_participant("participant_fhir_id") if layout == "fhir" else F.col("participant_id")
+    wanted = participants.select(F.col("participant_id").alias("__participant"))
+    return rows.withColumn("__own", own).join(wanted, F.col("__own") == F.col("__participant"), "left_semi").drop("__own")
+
+
 def study_codes(studies: DataFrame) -> DataFrame:
     """Distinct ``(study_id, study_code)`` pairs."""
     return studies.select("study_id", "study_code").distinct()
 
 
 def clinical_lists(diagnoses: DataFrame, phenotypes: DataFrame, studies: DataFrame | None,
-                   layout: str = "fhir") -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """Per-participant diagnosis lists, phenotype/HPO lists and distinct study codes."""
+                   layout: str = "fhir", participants: DataFrame | None = None
+                   ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Per-participant diagnosis lists, phenotype/HPO lists and distinct study codes, of the given
+    participants (default: all). Rows without a participant join nobody and are left out."""
+    if participants is not None:
+        diagnoses = of_participants(diagnoses, participants, layout)
+        phenotypes = of_participants(phenotypes, participants, layout)
     return (diagnoses_combined(diagnoses, layout), phenotypes_combined(phenotypes, layout),
             study_codes(studies) if studies is not None else None)
 

@@ -52,10 +52,28 @@ def with_tie_breakers(df: DataFrame, order: list[Column], nulls_first: bool = Tr
     return order + [e.asc_nulls_first() if nulls_first else e.asc_nulls_last() for e in extra]
 
 
+def check_columns(df: DataFrame, columns: Sequence[str]) -> None:
+    """A sort column that the frame lacks is an error."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"sort columns not in the results: {missing}")
+
+
+def result_row_order(df: DataFrame, tie_columns: Sequence[str] = RESULT_TIE_COLUMNS) -> list[Column]:
+    """F1 with row tie-breakers, for a global sort."""
+    check_columns(df, tie_columns)
+    return with_tie_breakers(df, result_order(tie_columns))
+
+
 def sort_result(df: DataFrame, tie_columns: Sequence[str] = RESULT_TIE_COLUMNS) -> DataFrame:
     """F1 globally sorted (range partitioned; part files are in order)."""
-    present = [c for c in tie_columns if c in df.columns]
-    return df.orderBy(*with_tie_breakers(df, result_order(present)))
+    return df.orderBy(*result_row_order(df, tie_columns))
+
+
+def combined_row_order(df: DataFrame, tie_columns: Sequence[str]) -> list[Column]:
+    """F2 with row tie-breakers, for a global sort."""
+    check_columns(df, tie_columns)
+    return with_tie_breakers(df, [k.column() for k in combined_keys(tie_columns)], nulls_first=False)
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

@@ -21,9 +21,12 @@ class Measured:
     df: DataFrame
     rows: int
     max_rows: int
+    size: int = 0
+    max_bytes: int | None = None
 
     def fits(self, max_rows: int | None = None) -> bool:
-        return self.rows <= (self.max_rows if max_rows is None else max_rows)
+        return (self.rows <= (self.max_rows if max_rows is None else max_rows)
+                and (self.max_bytes is None or self.size <= self.max_bytes))
 
     def side(self, df: DataFrame | None = None, max_rows: int | None = None) -> DataFrame:
         """``df`` (default: the measured frame) with a broadcast hint when the measurement allows it.
@@ -39,15 +42,21 @@ class Measured:
         self.df.unpersist()
 
 
-def measure(df: DataFrame, max_rows: int) -> Measured:
-    """Persist ``df`` (memory, spilling to disk) and count it once.
+def cached_bytes(persisted: DataFrame) -> int:
+    """Bytes of a persisted and materialised frame, as Spark's own statistics have them."""
+    return int(str(persisted.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def measure(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> Measured:
+    """Persist ``df`` (memory, spilling to disk), count it once and take its size in bytes.
 
     The count materialises the cache, so later plans reuse the rows instead of scanning the
     inputs again. Lost cache blocks are recomputed from lineage, so the job survives the loss
     of an executor.
     """
     persisted = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return Measured(persisted, persisted.count(), max_rows)
+    rows = persisted.count()
+    return Measured(persisted, rows, max_rows, cached_bytes(persisted) if max_bytes is not None else 0, max_bytes)
 
 
 def skew_splittable(df: DataFrame) -> DataFrame:
@@ -56,7 +65,7 @@ def skew_splittable(df: DataFrame) -> DataFrame:
     A side that is already hash-partitioned by the join key (a cached frame, the output of an
     earlier join or aggregation) is reused as is, and AQE's skew-join rule, which only splits joins
     whose both sides it shuffled itself, then leaves a key holding a third of the other side's rows
-    in one task. A round-robin repartition of the (comparatively small) side hands the partitioning
-    back to the join. Broadcast of a side measured small at run time is unaffected.
+    in one task. A rebalance of the (comparatively small) side, whose partitions AQE sizes, hands the
+    partitioning back to the join. Broadcast of a side measured small at run time is unaffected.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.hint("rebalance")

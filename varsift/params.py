@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Fixed values that must match the reference behaviour.
 VARIANT_KEY = ("chromosome", "start", "reference", "alternate")
@@ -109,6 +109,8 @@ class FilterParams:
     # Key sets are four narrow columns (~50 bytes a row); annotated rows carry ~30 columns.
     broadcast_max_keys: int = 2_000_000
     broadcast_max_rows: int = 500_000
+    # Bytes of the measured (cached) rows: wide rows are not broadcast even when few.
+    broadcast_max_bytes: int = 256 << 20
     # When even the flagged keys are too many to broadcast, the genotype rows are first cut to the
     # genome regions (chromosome, start // region_bin_size) of the flagged variants. Coordinates
     # bound the number of regions (~310k for a 3.1 Gb genome at 10 kb); it is measured as well.
@@ -116,8 +118,8 @@ class FilterParams:
     # Restrict the annotation tables to the variant keys of the listed genes before joining.
     key_reduction: bool = True
     output_basename: str = DEFAULT_BASENAME
-    studies_sort_column: str = "study_code"
-    extra: dict = field(default_factory=dict, compare=False)
+    # Literal chromosomes of the genes reach the scans as an IN filter; more distinct ones are a semi-join.
+    max_literal_chromosomes: int = 5_000
 
     def __post_init__(self):
         for name in ("maf", "dpc_l", "dpc_u", "aaf"):
@@ -127,7 +129,7 @@ class FilterParams:
         object.__setattr__(self, "clinvar_significance", tuple(self.clinvar_significance))
         if isinstance(self.profile, str):
             object.__setattr__(self, "profile", PROFILES[self.profile])
-        if self.broadcast_max_rows < 0 or self.broadcast_max_keys < 0:
+        if min(self.broadcast_max_rows, self.broadcast_max_keys, self.broadcast_max_bytes) < 0:
             raise ValueError("broadcast bounds must be >= 0")
         if self.region_bin_size <= 0:
             raise ValueError("region_bin_size must be > 0")

@@ -12,20 +12,25 @@ texts) that the library's own predicates then filter.
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Four variant-key columns derived from an integer column.
+# Four variant-key columns derived from an integer column: one in 50 repeats its neighbour's key, a few lie on
+# MT or lack their alternate.
 _KEY = (
-    "CASE WHEN {x} % 24 = 22 THEN 'X' WHEN {x} % 24 = 23 THEN 'Y' "
+    "CASE WHEN {x} % 240 = 5 THEN 'MT' WHEN {x} % 24 = 22 THEN 'X' WHEN {x} % 24 = 23 THEN 'Y' "
     "ELSE CAST({x} % 24 + 1 AS STRING) END AS chromosome, "
     "{x} * 10 AS start, substr('ACGT', CAST({x} % 4 + 1 AS INT), 1) AS reference, "
-    "substr('ACGT', CAST(({x} + 1) % 4 + 1 AS INT), 1) AS alternate"
+    "CASE WHEN {x} % 233 <> 7 THEN substr('ACGT', CAST(({x} + 1) % 4 + 1 AS INT), 1) END AS alternate"
 )
+_STUDY = ("CASE WHEN p_partkey % 97 = 3 THEN NULL WHEN p_partkey % 10 = 5 THEN 'SD_A|SD_B' "
+          "WHEN p_partkey % 10 = 0 THEN 'SD_B' ELSE 'SD_A' END")
 
 
 def _key(x: str) -> str:
-    return _KEY.replace("{x}", x)
+    return _KEY.replace("{x}", f"({x} - CASE WHEN {x} % 50 = 1 THEN 1 ELSE 0 END)")
 
 
 # View text; ``{table}`` marks a test table.
@@ -35,7 +40,7 @@ SELECT {_key('p_partkey')},
   CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_partkey % 20 AS DOUBLE) / 100000 END AS topmed_af,
   CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CAST(p_partkey % 30 AS DOUBLE) / 200000 END AS gnomad_af,
   CASE WHEN p_partkey % 9 = 0 THEN CAST(p_partkey % 4 AS DOUBLE) / 50000 ELSE NULL END AS exomes_af,
-  CASE WHEN p_size % 10 = 0 THEN 'SD_B' ELSE 'SD_A' END AS study
+  {_STUDY} AS study
 FROM {{part}}""",
     "f_consequences": f"""
 SELECT {_key('p_partkey')}, p_brand AS symbol, p_type AS consequence, p_size % 5 <> 0 AS original_canonical,
@@ -45,15 +50,16 @@ SELECT {_key('p_partkey')}, p_brand AS symbol, p_type AS consequence, p_size % 5
   concat('c.', CAST(p_size AS STRING), substr('ACGT', CAST(p_partkey % 4 + 1 AS INT), 1), '>',
          substr('ACGT', CAST((p_partkey + 1) % 4 + 1 AS INT), 1)) AS hgvsc,
   CASE WHEN p_size % 3 = 0 THEN NULL ELSE concat('p.', CAST(p_size AS STRING), 'X') END AS hgvsp,
-  CASE WHEN p_size % 10 = 0 THEN 'SD_B' ELSE 'SD_A' END AS study
+  {_STUDY} AS study
 FROM {{part}}
 UNION ALL
 SELECT {_key('p_partkey')}, p_brand, 'UPSTREAM', false, 'MODIFIER', concat('ENSG', CAST(p_partkey AS STRING)),
-  NULL, NULL, NULL, CASE WHEN p_size % 10 = 0 THEN 'SD_B' ELSE 'SD_A' END
+  NULL, NULL, NULL, {_STUDY}
 FROM {{part}}""",
     "f_dbnsfp": f"""
 SELECT {_key('p_partkey')},
   CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 11 = 0 THEN '.'
+       WHEN p_partkey % 7 = 1 THEN '1_5' WHEN p_partkey % 7 = 2 THEN '7_4'
        ELSE concat(CAST(p_partkey % 6 AS STRING), '_', CAST((p_partkey % 6) * (p_size % 3) AS STRING)) END AS damage,
   CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_partkey % 13 AS DOUBLE) / 1000 END AS twinsuk_af,
   CASE WHEN p_partkey % 3 = 0 OR p_partkey % 2 = 0 THEN NULL ELSE CAST(p_partkey % 17 AS DOUBLE) / 1000 END
@@ -63,7 +69,8 @@ FROM {{part}}""",
     "f_clinvar": f"""
 SELECT {_key('p_partkey')}, CAST(1000 + p_partkey AS STRING) AS name,
   concat(p_brand, ':', CAST(p_partkey AS STRING), '|OTHER:1') AS geneinfo,
-  CASE WHEN p_partkey % 13 <> 0 THEN 'not_provided' WHEN p_size % 4 = 0 THEN 'Pathogenic'
+  CASE WHEN p_partkey % 29 = 0 THEN NULL WHEN p_partkey % 13 <> 0 THEN 'not_provided'
+       WHEN p_size % 8 = 0 THEN 'Benign|Pathogenic' WHEN p_size % 4 = 0 THEN 'Pathogenic'
        WHEN p_size % 4 = 1 THEN 'Likely_pathogenic' WHEN p_size % 4 = 2 THEN 'Uncertain_significance'
        ELSE 'Benign' END AS sig,
   concat('COND_', CAST(p_size % 7 AS STRING)) AS condition
@@ -75,7 +82,8 @@ SELECT {_key('p_partkey')}, concat('CM', CAST(p_partkey AS STRING)) AS id, p_bra
   concat('PHEN_', CAST(p_size % 5 AS STRING)) AS phen
 FROM {{part}}""",
     "f_occ": f"""
-SELECT {_key('l_partkey')}, CAST(l_quantity AS INT) AS ad0, l_linenumber AS ad1,
+SELECT {_key('l_partkey')}, CASE WHEN l_orderkey % 101 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END AS ad0,
+  CASE WHEN l_orderkey % 101 = 0 THEN 0 ELSE l_linenumber END AS ad1,
   CASE l_returnflag WHEN 'R' THEN 1 ELSE 0 END AS call0,
   CASE l_returnflag WHEN 'N' THEN 0 ELSE 1 END AS call1,
   l_linenumber = 2 AS is_multi_allelic,
@@ -95,11 +103,11 @@ SELECT {_key('l_partkey')}, CAST(l_quantity AS INT) AS ad0, l_linenumber AS ad1,
   concat('PT_F', CAST(l_suppkey % 30 AS STRING)) AS father_id
 FROM {{lineitem}}""",
     "f_diagnoses": """
-SELECT concat('pt-', CAST(o_custkey % 90 AS STRING)) AS participant_fhir_id,
+SELECT concat('pt-', CAST(o_custkey AS STRING)) AS participant_fhir_id,
   CASE WHEN o_orderkey % 10 = 0 THEN o_orderpriority END AS source_text
 FROM {orders}""",
     "f_phenotypes": """
-SELECT event_id AS phenotype_id, concat('pt-', CAST(user_id % 90 AS STRING)) AS participant_fhir_id,
+SELECT event_id AS phenotype_id, concat('pt-', CAST(user_id AS STRING)) AS participant_fhir_id,
   event_type AS source_text, CASE WHEN event_id % 4 = 0 THEN 'negative' ELSE 'confirmed' END AS observed
 FROM {events}""",
     "f_codings": """
@@ -151,6 +159,11 @@ def flat_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     return spark.sql(VIEW_SQL[view], **tables)
 
 
+def _list(column: str):
+    """``|``-joined text as an array; null stays null."""
+    return F.split(column, r"\|")
+
+
 _KEYS = ["chromosome", "start", "reference", "alternate"]
 
 
@@ -176,6 +189,10 @@ class MappedTables:
             self._built[name] = getattr(self, f"_build_{name}")()
         return self._built[name]
 
+    def stopped(self) -> bool:
+        """Whether the session's context is no longer the one these definitions were made with."""
+        return self._spark._jsc.sc().isStopped()
+
     def _fv(self, view: str) -> DataFrame:
         return flat_view(self._spark, self._sf_dir, view)
 
@@ -189,7 +206,7 @@ class MappedTables:
                 F.when(F.col("gnomad_af").isNotNull(), F.struct(F.col("gnomad_af").alias("af")))
                 .alias("gnomad_genomes_3"),
             ).alias("external_frequencies"),
-            F.array(F.struct(F.col("study").alias("study_id"))).alias("studies"),
+            F.transform(_list("study"), lambda s: F.struct(s.alias("study_id"))).alias("studies"),
         )
 
     def _build_consequences(self) -> DataFrame:
@@ -206,7 +223,7 @@ class MappedTables:
 
     def _build_clinvar(self) -> DataFrame:
         return self._fv("f_clinvar").select(
-            *_KEYS, "name", "geneinfo", F.array("sig").alias("clin_sig"), F.array("condition").alias("conditions"),
+            *_KEYS, "name", "geneinfo", _list("sig").alias("clin_sig"), F.array("condition").alias("conditions"),
         )
 
     def _build_hgmd(self) -> DataFrame:
@@ -237,7 +254,7 @@ class MappedTables:
         )
         return events.select(
             eid.alias("phenotype_id"),
-            F.concat(F.lit("pt-"), (F.col("user_id") % 90).cast("string")).alias("participant_fhir_id"),
+            F.concat(F.lit("pt-"), F.col("user_id").cast("string")).alias("participant_fhir_id"),
             F.col("event_type").alias("source_text"),
             F.when(eid % 4 == 0, F.lit("negative")).otherwise(F.lit("confirmed")).alias("observed"),
             coding.alias("condition_coding"),
@@ -254,7 +271,7 @@ class MappedTables:
             *_KEYS, "original_canonical", F.array("consequence").alias("consequences"),
             F.col("refseq_mrna_id").alias("name"), F.lit("SNV").alias("variant_class"),
             F.col("vep_impact").alias("impact"), "symbol", "ensembl_gene_id", "refseq_mrna_id",
-            F.col("hgvsc").alias("hgvsg"), "hgvsc", "hgvsp", F.array("study").alias("study_ids"),
+            F.col("hgvsc").alias("hgvsg"), "hgvsc", "hgvsp", _list("study").alias("study_ids"),
         )
 
     def _build_old_variants(self) -> DataFrame:
@@ -262,7 +279,7 @@ class MappedTables:
         return self._fv("f_variants").select(
             *_KEYS, af("topmed_af").alias("topmed"), af("gnomad_af").alias("gnomad_genomes_2_1"),
             af("exomes_af").alias("gnomad_exomes_2_1"), F.lit(None).cast("struct<af:double>").alias("gnomad_genomes_3_0"),
-            af("gnomad_af").alias("gnomad_genomes_3_1_1"), F.array("study").alias("studies"),
+            af("gnomad_af").alias("gnomad_genomes_3_1_1"), _list("study").alias("studies"),
         )
 
     def _build_old_diagnoses(self) -> DataFrame:
@@ -278,13 +295,14 @@ class MappedTables:
             F.explode_outer(F.transform(hpo, lambda c: c["code"])).alias("hpo_id_phenotype"))
 
 
-_MAPPED: dict[tuple[int, str], MappedTables] = {}
+_MAPPED: WeakKeyDictionary[SparkSession, dict[str, MappedTables]] = WeakKeyDictionary()
 
 
 def mapped_tables(spark: SparkSession, sf_dir: str) -> MappedTables:
     """The mapped tables of ``sf_dir`` for this session (definitions shared between queries)."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _MAPPED:
-        _MAPPED[key] = MappedTables(spark, sf_dir)
-    return _MAPPED[key]
+    own = _MAPPED.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in own or own[key].stopped():
+        own[key] = MappedTables(spark, sf_dir)
+    return own[key]
 

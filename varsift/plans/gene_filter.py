@@ -1,4 +1,4 @@
-"""The gene-based variant filter as one lazy DataFrame plan.
+"""The gene-based variant filter as a DataFrame plan with measured stages.
 
 Plan shape (new layout, default parameters)::
 
@@ -13,7 +13,9 @@ Plan shape (new layout, default parameters)::
 
 Every annotation table and the genotype table are cut down to the variant keys of the listed genes
 where they are read: with a small key set the semi-joins are broadcast hash joins, so the large
-tables are filtered in place and never shuffled whole. The key set is measured before it is
+tables are filtered in place and never shuffled whole. Building the plan runs the small measuring jobs
+(counts of the gene consequences, their chromosomes, the flagged rows, the carriers' participants); the
+caches they fill are part of the plan until ``release``. The key set is measured before it is
 broadcast; above ``FilterParams.broadcast_max_keys`` / ``broadcast_max_rows`` the same plan runs with shuffle joins and AQE
 (skew splitting, run-time broadcast of small sides).
 """
@@ -73,15 +75,29 @@ class GeneFilterPlan:
     result: DataFrame
     gene_consequences: DataFrame
     study_variants: DataFrame
+    gene_variants: DataFrame
+    annotated: DataFrame
+    clinvar_seen: DataFrame | None
+    hgmd_seen: DataFrame | None
     candidates: DataFrame
     flagged: DataFrame
     carriers: DataFrame
     measured: list[Measured]
+    cached: list[DataFrame]
 
     def release(self) -> None:
-        """Drop the cached gene-restricted consequences and flagged variants."""
+        """Drop everything the plan has cached."""
         for m in self.measured:
             m.release()
+        for df in self.cached:
+            df.unpersist()
+
+    def detached(self, frame: DataFrame) -> DataFrame:
+        """``frame`` (of this plan) written to the shared checkpoint folder; the plan's caches are dropped."""
+        try:
+            return frame.checkpoint(eager=True)
+        finally:
+            self.release()
 
 
 def output_columns(params: FilterParams) -> list[str]:
@@ -113,27 +129,26 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
     measured_csq = None
     keys = None
     gene_regions = None
-    chromosomes = None
     extra: list[Measured] = []
     if params.key_reduction:
-        measured_csq = measure(csq, params.broadcast_max_keys)
+        measured_csq = measure(csq, params.broadcast_max_keys, params.broadcast_max_bytes)
         csq = measured_csq.df
         log.info("gene consequences: %d rows; key semi-joins %s", measured_csq.rows,
                  "broadcast" if measured_csq.fits() else "shuffled")
         keys = measured_csq.side(csq.select(*KEY))
-        chromosomes = A.chromosome_values(csq)
         if not measured_csq.fits():
             # Too many keys to broadcast: the genes' genome regions (a bounded, measured set) still
             # cut the annotation tables where they are read, before the exact key semi-joins shuffle.
-            regions = measure(O.genome_regions(csq, params.region_bin_size), params.broadcast_max_keys)
+            regions = measure(O.genome_regions(csq, params.region_bin_size), params.broadcast_max_keys,
+                              params.broadcast_max_bytes)
             extra.append(regions)
             log.info("gene regions: %d; annotation tables %s", regions.rows,
                      "cut to them before the shuffle" if regions.fits() else "shuffled whole")
             if regions.fits():
                 gene_regions = regions.side()
 
-    def on_gene_chromosomes(df: DataFrame) -> DataFrame:
-        return df if chromosomes is None else df.where(F.col("chromosome").isin(chromosomes))
+    on_gene_chromosomes = (A.chromosome_filter(csq, params.max_literal_chromosomes) if params.key_reduction
+                           else lambda df: df)
 
     def reduce_to_genes(df: DataFrame) -> DataFrame:
         if keys is None:
@@ -151,28 +166,31 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
     gene_variants = FL.gene_variants(csq_side, variants)
 
     damage = A.damage_predictions(reduce_to_genes(tables.dbnsfp))
-    candidates = FL.annotate_candidates(gene_variants, damage, params.maf, params.dpc_l, params.dpc_u)
+    candidates = annotated = FL.annotate_candidates(gene_variants, damage, params.maf, params.dpc_l, params.dpc_u)
+    clinvar_seen = hgmd_seen = None
     if params.use_clinvar:
         clinvar = A.clinvar_candidates(reduce_to_genes(tables.clinvar), gene_set, params.clinvar_significance)
-        candidates = FL.override_with_clinvar(candidates, A.seen_in_variants(clinvar, variants))
+        clinvar_seen = A.seen_in_variants(clinvar, variants)
+        candidates = FL.override_with_clinvar(candidates, clinvar_seen)
     if params.use_hgmd:
         hgmd = A.hgmd_candidates(reduce_to_genes(tables.hgmd), gene_set)
-        candidates = FL.override_with_hgmd(candidates, A.seen_in_variants(hgmd, variants))
+        hgmd_seen = A.seen_in_variants(hgmd, variants)
+        candidates = FL.override_with_hgmd(candidates, hgmd_seen)
     flagged = FL.keep_flagged(candidates)
 
     measured_flagged = None
     if params.key_reduction:
         # The flagged rows are measured too: their exact count bounds the build side of J7.
-        measured_flagged = measure(flagged, params.broadcast_max_rows)
+        measured_flagged = measure(flagged, params.broadcast_max_rows, params.broadcast_max_bytes)
         flagged = measured_flagged.df
         log.info("flagged variant rows: %d; genotype join %s", measured_flagged.rows,
                  "broadcast" if measured_flagged.fits() else "shuffled")
-        variants.unpersist()
     joined, result = attach_carriers(on_gene_chromosomes(tables.occurrences), flagged, tables, params,
                                      measured_flagged, measured_csq,
                                      studies if restrict_occurrences_to_studies else None, measured_out=extra)
-    return GeneFilterPlan(result, csq, variants, candidates, flagged, joined,
-                          [m for m in (measured_csq, measured_flagged) if m is not None] + extra)
+    return GeneFilterPlan(result, csq, variants, gene_variants, annotated, clinvar_seen, hgmd_seen, candidates, flagged,
+                          joined, [m for m in (measured_csq, measured_flagged) if m is not None] + extra,
+                          [variants] if params.key_reduction else [])
 
 
 def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantTables, params: FilterParams,
@@ -198,7 +216,8 @@ def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantT
         elif measured_flagged is not None:
             # Too many flagged keys for a broadcast: cut the genotype rows to the flagged genome regions
             # first (a bounded, measured set), so only rows near flagged variants are shuffled.
-            regions = measure(O.genome_regions(flagged, params.region_bin_size), params.broadcast_max_keys)
+            regions = measure(O.genome_regions(flagged, params.region_bin_size), params.broadcast_max_keys,
+                              params.broadcast_max_bytes)
             if measured_out is not None:
                 measured_out.append(regions)
             log.info("flagged genome regions: %d; genotype rows %s", regions.rows,
@@ -209,8 +228,17 @@ def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantT
         else:
             joined = O.join_carriers(shuffled_flagged, carriers)
     if lists is None:
-        lists = C.clinical_lists(tables.diagnoses, tables.phenotypes,
-                                 tables.studies if prof.has_studies_table else None, prof.clinical_layout)
+        participants = None
+        if params.key_reduction and not joined.isStreaming:
+            # The carriers are kept, so that finding their participants does not read the genotypes twice.
+            kept = measure(joined, params.broadcast_max_rows)
+            joined = kept.df
+            people = measure(joined.select("participant_id").distinct(), params.broadcast_max_keys, params.broadcast_max_bytes)
+            participants = people.side()
+            if measured_out is not None:
+                measured_out += [kept, people]
+        lists = C.clinical_lists(tables.diagnoses, tables.phenotypes, tables.studies if prof.has_studies_table else None,
+                                 prof.clinical_layout, participants)
     return joined, C.join_lists(joined, lists).select(*output_columns(params))
 
 
@@ -218,5 +246,7 @@ def filter_variants(tables: VariantTables, genes: Sequence[str] | DataFrame | Ge
                     params: FilterParams = FilterParams(), restrict_occurrences_to_studies: bool = False
                     ) -> DataFrame:
     """Every (variant, sample) pair of the listed genes that is rare-and-damaging or known
-    disease-causing and credibly carried, decorated with clinical lists and the study code."""
+    disease-causing and credibly carried, decorated with clinical lists and the study code.
+
+    The plan's caches live as long as the session; use ``plan_gene_filter`` to release them."""
     return plan_gene_filter(tables, genes, studies, params, restrict_occurrences_to_studies).result

@@ -19,12 +19,14 @@ COMBINED_TIE_COLUMNS = ("study_code", "family_id", "is_proband")
 
 
 def write_result(df: DataFrame, out_dir: str, studies: Sequence[str], params: FilterParams = FilterParams(),
-                 run_date: _dt.date | None = None, single_file: bool = False) -> str:
+                 run_date: _dt.date | None = None, single_file: bool = False,
+                 tie_columns: Sequence[str] = R.RESULT_TIE_COLUMNS) -> str:
     """Sort (F1, new layout) and write the result as gzip TSV under a dated name.
 
-    Returns the output path (a directory of part files, ordered by part number).
+    ``tie_columns`` sort rows of one position; one that the result lacks is an error. Returns the output
+    path (a directory of part files, ordered by part number).
     """
-    path = f"{out_dir.rstrip('/')}/{SK.output_name(params.output_basename, studies, run_date)}"
+    path = f"{out_dir.rstrip('/')}/{SK.output_name(params.output_basename, studies, run_date or _today(df))}"
     if not params.profile.sorted_output:
         SK.write_tsv(df, path, compression="gzip", single_file=single_file)
         return path
@@ -32,29 +34,33 @@ def write_result(df: DataFrame, out_dir: str, studies: Sequence[str], params: Fi
     # result first keeps that pass from recomputing the filter (and re-reading the genotype table).
     staged = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        SK.write_tsv(R.sort_result(staged), path, compression="gzip", single_file=single_file)
+        SK.write_tsv(staged, path, compression="gzip", single_file=single_file,
+                     order=R.result_row_order(staged, tie_columns))
     finally:
         staged.unpersist()
     return path
 
 
+def _today(df: DataFrame) -> _dt.date:
+    """The session's date (its time zone), as SQL's ``current_date`` gives it."""
+    return df.sparkSession.sql("SELECT current_date() AS day").first().day
+
+
 def combine_results(spark: SparkSession, paths: Sequence[str],
                     tie_columns: Sequence[str] = COMBINED_TIE_COLUMNS) -> DataFrame:
     """Read every run's TSV (A6), row-bind by name (F3), keep chromosomes ``1..22, X, Y`` (C12,
     others become null) and order by chromosome rank, start and the tie columns, missing last (F2)."""
-    merged = RD.read_results(spark, paths)
-    missing = [c for c in tie_columns if c not in merged.columns]
-    if missing:
-        raise ValueError(f"sort columns not in the results: {missing}")
-    ranked = merged.withColumn("__rank", X.chromosome_rank("chromosome")).withColumn(
-        "chromosome", X.chromosome_level("chromosome"))
-    order = [ranked["__rank"].asc_nulls_last(), ranked["start"].asc_nulls_last()] + [
-        ranked[c].asc_nulls_last() for c in tie_columns]
-    return ranked.orderBy(*R.with_tie_breakers(merged, order, nulls_first=False)).drop("__rank")
-
-
-def write_combined(df: DataFrame, out_dir: str, run_date: _dt.date | None = None, single_file: bool = True) -> str:
-    """Plain TSV, no quoting, nulls as ``-``, named ``MMC_all_families_variants_<date>.tsv``."""
-    path = f"{out_dir.rstrip('/')}/{SK.combined_name(run_date)}"
-    SK.write_tsv(df, path, compression="none", single_file=single_file, quote=False)
+    merged = RD.read_results(spark, paths).withColumn("chromosome", X.chromosome_level("chromosome"))
+    return merged.orderBy(*R.combined_row_order(merged, tie_columns))
+
+
+def write_combined(df: DataFrame, out_dir: str, run_date: _dt.date | None = None, single_file: bool = False,
+                   tie_columns: Sequence[str] = COMBINED_TIE_COLUMNS, prefix: str = SK.COMBINED_PREFIX) -> str:
+    """Plain TSV, no quoting, nulls as ``-``, named ``<prefix><date>.tsv``: part files in global order.
+
+    ``single_file`` sorts and writes everything in one task: for small merges only.
+    """
+    path = f"{out_dir.rstrip('/')}/{SK.combined_name(run_date or _today(df), prefix)}"
+    SK.write_tsv(df, path, compression="none", single_file=single_file, quote=False,
+                 order=R.combined_row_order(df, tie_columns) if single_file else None)
     return path

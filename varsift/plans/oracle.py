@@ -16,6 +16,11 @@ ALL_VIEWS = ("f_variants", "f_consequences", "f_dbnsfp", "f_clinvar", "f_hgmd",
              "f_phenotypes", "f_codings", "f_studies")
 
 
+def _has(column: str, *values: str) -> str:
+    """Whether the ``|``-joined list holds one of the values; false for a null list."""
+    return f"coalesce(list_has_any(string_split({column}, '|'), [{', '.join(repr(v) for v in values)}]), false)"
+
+
 def _on(a: str, b: str) -> str:
     return " AND ".join(f"{a}.{c} = {b}.{c}" for c in ("chromosome", "start", "reference", "alternate"))
 
@@ -55,10 +60,10 @@ def _cand(name: str, vrt: str) -> str:
             f"FROM csq c JOIN {vrt} v ON {_on('c', 'v')} LEFT JOIN dbn d ON {_on('c', 'd')})")
 
 
-def _clv(name: str, vrt: str, sigs: str = "'Pathogenic', 'Likely_pathogenic'") -> str:
+def _clv(name: str, vrt: str, sigs: tuple[str, ...] = ("Pathogenic", "Likely_pathogenic")) -> str:
     return (f"{name} AS (SELECT {_k('x')}, x.name AS VariationID, x.sig AS clin_sig, x.condition AS conditions "
             f"FROM f_clinvar x JOIN {vrt} v ON {_on('x', 'v')} "
-            f"WHERE split_part(split_part(x.geneinfo, '|', 1), ':', 1) IN ({GENES}) AND x.sig IN ({sigs}))")
+            f"WHERE split_part(split_part(x.geneinfo, '|', 1), ':', 1) IN ({GENES}) AND {_has('x.sig', *sigs)})")
 
 
 def _hgm(name: str, vrt: str) -> str:
@@ -134,7 +139,7 @@ def _with(*ctes: str) -> str:
     return oracle_ctes(*ALL_VIEWS).rstrip("\n") + ",\n" + ",\n".join(ctes) + "\n"
 
 
-FLAGSHIP_CTES = (CSQ, _vrt("vrt", "study = 'SD_A'"), DBN, _cand("cand", "vrt"), _clv("clv", "vrt"),
+FLAGSHIP_CTES = (CSQ, _vrt("vrt", _has("study", "SD_A")), DBN, _cand("cand", "vrt"), _clv("clv", "vrt"),
                  _hgm("hgm", "vrt"), _over("over", "cand", "clv", "hgm"), OCC, CARRIERS, DGN, HPO, PHT, STD,
                  _result("res", "over", True, True))
 
@@ -155,7 +160,7 @@ SQL: dict[str, str] = {
         "CASE WHEN p_partkey % 4 = 1 THEN chr(160) WHEN p_partkey % 4 = 2 THEN chr(10) "
         "WHEN p_partkey % 4 = 3 THEN ' ' ELSE '' END) AS line FROM part)"),
     "canonical_gene_filter": _with(CSQ) + "SELECT * FROM csq",
-    "study_overlap": _with() + "SELECT " + K + ", study IN ('SD_B', 'SD_Z') AS in_study FROM f_variants",
+    "study_overlap": _with() + "SELECT " + K + f", {_has('study', 'SD_B', 'SD_Z')} AS in_study FROM f_variants",
     "chromosome_restrict": _with(CSQ) + (
         f"SELECT {K}, damage AS DamagePredCount FROM f_dbnsfp WHERE chromosome IN (SELECT chromosome FROM csq)"),
     "damage_ratio": _with(DBN) + f"SELECT {K}, DamagePredCount, PredCountRatio_D2T FROM dbn",
@@ -165,7 +170,7 @@ SQL: dict[str, str] = {
         "FROM f_clinvar"),
     "clinvar_significance": _with() + (
         f"SELECT {K}, name AS VariationID, sig AS clin_sig FROM f_clinvar "
-        "WHERE sig IN ('Pathogenic', 'Likely_pathogenic')"),
+        f"WHERE {_has('sig', 'Pathogenic', 'Likely_pathogenic')}"),
     "hgmd_class": _with() + (
         f"SELECT {K}, id AS HGMDID, variant_class FROM f_hgmd WHERE starts_with(variant_class, 'DM')"),
     "allele_fraction": _with(OCC) + (
@@ -192,18 +197,18 @@ SQL: dict[str, str] = {
     "sorted_result": _with(*FLAGSHIP_CTES) + (
         f"SELECT rank() OVER (ORDER BY {F1_ORDER}) AS result_rank, chromosome, start, study_code, family_id, "
         "is_proband, participant_id, biospecimen_id FROM res"),
-    "join_consequence_variant": _with(CSQ, _vrt("vrt", "study = 'SD_A'")) + (
+    "join_consequence_variant": _with(CSQ, _vrt("vrt", _has("study", "SD_A"))) + (
         f"SELECT {_k('c')}, c.consequence, c.vep_impact, c.symbol, c.ensembl_gene_id, c.refseq_mrna_id, c.hgvsc, "
         "c.hgvsp, v.topmed_bravo_af, v.gnomad_genomes_2_1_1_af, v.gnomad_exomes_2_1_1_af, v.gnomad_genomes_3_af, "
         f"v.max_gnomad_topmed FROM csq c JOIN vrt v ON {_on('c', 'v')}"),
-    "join_damage_left": _with(CSQ, _vrt("vrt", "study = 'SD_A'"), DBN, _cand("cand", "vrt")) + (
+    "join_damage_left": _with(CSQ, _vrt("vrt", _has("study", "SD_A")), DBN, _cand("cand", "vrt")) + (
         f"SELECT {K}, max_gnomad_topmed, DamagePredCount, PredCountRatio_D2T, TWINSUK_AF, ALSPAC_AF, UK10K_AF, flag "
         "FROM cand"),
-    "clinvar_seen": _with(_vrt("vrt", "study = 'SD_A'"), _clv("clv", "vrt")) + "SELECT * FROM clv",
-    "hgmd_seen": _with(_vrt("vrt", "study = 'SD_A'"), _hgm("hgm", "vrt")) + "SELECT * FROM hgm",
+    "clinvar_seen": _with(_vrt("vrt", _has("study", "SD_A")), _clv("clv", "vrt")) + "SELECT * FROM clv",
+    "hgmd_seen": _with(_vrt("vrt", _has("study", "SD_A")), _hgm("hgm", "vrt")) + "SELECT * FROM hgm",
     "clinvar_seen_with_vus": _with(
-        _vrt("vrt", "study = 'SD_A'"),
-        _clv("clv", "vrt", "'Pathogenic', 'Likely_pathogenic', 'Uncertain_significance'")) + "SELECT * FROM clv",
+        _vrt("vrt", _has("study", "SD_A")),
+        _clv("clv", "vrt", ("Pathogenic", "Likely_pathogenic", "Uncertain_significance"))) + "SELECT * FROM clv",
     "rare_damaging_flag": _with(_vrt("vrt_all", None), DBN) + (
         f"SELECT {_k('v')}, v.max_gnomad_topmed, d.PredCountRatio_D2T, "
         f"{FLAG.replace('max_gnomad_topmed', 'v.max_gnomad_topmed').replace('PredCountRatio_D2T', 'd.PredCountRatio_D2T')}"
@@ -226,17 +231,25 @@ SQL: dict[str, str] = {
         "LEFT JOIN pht p ON o.participant_id = p.participant_id LEFT JOIN std s ON o.study_id = s.study_id"),
     "combined_results": _with(
         CSQ, DBN, OCC, CARRIERS, DGN, HPO, PHT, STD,
-        _vrt("vrt_a", "study = 'SD_A'"), _cand("cand_a", "vrt_a"), _clv("clv_a", "vrt_a"),
+        _vrt("vrt_a", _has("study", "SD_A")), _cand("cand_a", "vrt_a"), _clv("clv_a", "vrt_a"),
         _over("over_a", "cand_a", "clv_a", None), _result("res_a", "over_a", True, False),
-        _vrt("vrt_b", "study = 'SD_B'"), _cand("cand_b", "vrt_b"), _hgm("hgm_b", "vrt_b"),
+        _vrt("vrt_b", _has("study", "SD_B")), _cand("cand_b", "vrt_b"), _hgm("hgm_b", "vrt_b"),
         _over("over_b", "cand_b", None, "hgm_b"), _result("res_b", "over_b", False, True),
         f"merged AS (SELECT {COMBINED_KEEP}, VariationID, CAST(NULL AS VARCHAR) AS HGMDID FROM res_a "
         f"UNION ALL SELECT {COMBINED_KEEP}, CAST(NULL AS VARCHAR) AS VariationID, HGMDID FROM res_b)") + (
-        f"SELECT {COMBINED_KEEP}, VariationID, HGMDID, CASE WHEN chromosome IN ({LEVELS}) THEN chromosome END "
-        f"AS chromosome_level, rank() OVER (ORDER BY {F2_ORDER}) AS combined_rank FROM merged"),
+        f"SELECT study_id, participant_id, biospecimen_id, CASE WHEN chromosome IN ({LEVELS}) THEN chromosome END AS chromosome, "
+        "start, family_id, is_proband, study_code, VariationID, HGMDID, "
+        f"rank() OVER (ORDER BY {F2_ORDER}) AS combined_rank FROM merged"),
     "multi_study_union": _with() + (
         f"SELECT {K}, biospecimen_id, study_id FROM f_occ WHERE study_id IN ('SD_A') "
         f"UNION ALL SELECT {K}, biospecimen_id, study_id FROM f_occ WHERE study_id IN ('SD_B')"),
+    "study_partitions": _with() + f"SELECT {K}, biospecimen_id, study_id FROM f_occ",
+    "result_round_trip": (
+        "SELECT p_brand AS symbol, CAST(p_partkey AS VARCHAR) AS participant_id, "
+        "CAST(CASE WHEN p_partkey % 3 = 1 THEN 1000 ELSE p_partkey % 1000 END AS INTEGER) AS dp, "
+        "CAST(p_partkey * 10 AS BIGINT) AS start, "
+        "CASE p_partkey % 6 WHEN 0 THEN concat('a', chr(10), 'b', p_name) WHEN 1 THEN concat('tab', chr(9), 'here') "
+        "WHEN 2 THEN 'say \"yes\"' WHEN 3 THEN '' WHEN 4 THEN NULL ELSE p_name END AS phen FROM part"),
     "gene_based_filter": _with(*FLAGSHIP_CTES) + "SELECT * FROM res",
 }
 
@@ -244,11 +257,11 @@ SQL: dict[str, str] = {
 # --- the earlier ("old") layout -------------------------------------------------------------
 _OLD_CSQ = (f"csq_o AS (SELECT {K}, consequence AS consequences, refseq_mrna_id AS rsID, vep_impact AS impact, "
             "symbol, ensembl_gene_id, refseq_mrna_id, hgvsc AS hgvsg, hgvsc, hgvsp, study AS study_ids "
-            f"FROM f_consequences WHERE original_canonical AND symbol IN ({GENES}) AND study IN ('SD_A'))")
+            f"FROM f_consequences WHERE original_canonical AND symbol IN ({GENES}) AND {_has('study', 'SD_A')})")
 _OLD_VRT = (f"vrt_o AS (SELECT topmed_af, gnomad_af AS gnomad_genomes_2_1_af, exomes_af AS gnomad_exomes_2_1_af, "
             f"CAST(NULL AS DOUBLE) AS gnomad_genomes_3_0_af, gnomad_af AS gnomad_genomes_3_1_1_af, {K}, "
             "greatest(CAST(0 AS DOUBLE), topmed_af, gnomad_af, exomes_af) AS max_gnomad_topmed "
-            "FROM f_variants WHERE study = 'SD_A')")
+            f"FROM f_variants WHERE {_has('study', 'SD_A')})")
 _OLD_CAND = (
     f"cand_o AS (SELECT {_k('c')}, c.consequences, c.rsID, c.impact, c.symbol, c.ensembl_gene_id, c.refseq_mrna_id, "
     "c.hgvsg, c.hgvsc, c.hgvsp, c.study_ids, v.topmed_af, v.gnomad_genomes_2_1_af, v.gnomad_exomes_2_1_af, "
@@ -287,8 +300,8 @@ SQL["gene_based_filter_old"] = _with(
 
 # --- several studies at once (A5) -----------------------------------------------------------
 SQL["gene_based_filter_multi_study"] = _with(
-    CSQ, _vrt("vrt", "study IN ('SD_A', 'SD_Q')"), DBN, _cand("cand", "vrt"), _clv("clv", "vrt"), _hgm("hgm", "vrt"),
+    CSQ, _vrt("vrt", _has("study", "SD_A", "SD_B")), DBN, _cand("cand", "vrt"), _clv("clv", "vrt"), _hgm("hgm", "vrt"),
     _over("over", "cand", "clv", "hgm"), OCC,
-    "carriers AS (SELECT * FROM occ WHERE study_id IN ('SD_A', 'SD_Q') AND NOT is_multi_allelic AND has_alt = 1 "
+    "carriers AS (SELECT * FROM occ WHERE study_id IN ('SD_A', 'SD_B') AND NOT is_multi_allelic AND has_alt = 1 "
     "AND NOT (adj0 = 0 AND adj1 = 0))",
     DGN, HPO, PHT, STD, _result("res", "over", True, True)) + "SELECT * FROM res"

@@ -7,9 +7,10 @@ so both engines print the same cells.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +23,11 @@ from varsift.operators import ordering as R
 from varsift.operators.annotations import KEY, GeneSet
 from varsift.params import CLINVAR_SIGNIFICANCE_WITH_VUS, FilterParams
 from varsift.plans.fixtures import FLAGSHIP_GENES, FLAGSHIP_STUDIES, MappedTables, mapped_tables
-from varsift.plans.gene_filter import VariantTables, plan_gene_filter
+from varsift.plans.gene_filter import GeneFilterPlan, VariantTables, plan_gene_filter
+from varsift.plans.jobs import combine_results, write_combined, write_result
+from varsift.session import ensure_checkpoint_dir
 from varsift.sources import readers as RD
+from varsift.sources.sinks import write_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,22 +59,36 @@ def _study_variants(t: MappedTables) -> DataFrame:
     return A.variant_frequencies(t.variants, STUDIES)
 
 
-def _candidates(t: MappedTables) -> DataFrame:
-    gv = FL.gene_variants(_gene_consequences(t), _study_variants(t))
-    return FL.annotate_candidates(gv, A.damage_predictions(t.dbnsfp), PARAMS.maf, PARAMS.dpc_l, PARAMS.dpc_u)
+def _flagship(t: MappedTables, **params) -> GeneFilterPlan:
+    return plan_gene_filter(_variant_tables(t), GENES, STUDIES, FilterParams(**params) if params else PARAMS)
 
 
-def _clinvar_seen(t: MappedTables, significance=PARAMS.clinvar_significance) -> DataFrame:
-    return A.seen_in_variants(A.clinvar_candidates(t.clinvar, GENES, significance), _study_variants(t))
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for a query's files, in the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _hgmd_seen(t: MappedTables) -> DataFrame:
-    return A.seen_in_variants(A.hgmd_candidates(t.hgmd, GENES), _study_variants(t))
-
+def _ranked_as_written(spark: SparkSession, path: str, options: RD.ResultReadOptions, keys: list[R.SortKey],
+                       name: str) -> DataFrame:
+    """A written result with each row's place in the files turned into a rank: the place of the first row
+    that has its sort key. Equal to SQL's rank() only if the files hold the rows in order.
 
-def _overridden(t: MappedTables) -> DataFrame:
-    cand = FL.override_with_clinvar(_candidates(t), _clinvar_seen(t))
-    return FL.override_with_hgmd(cand, _hgmd_seen(t))
+    Places are counted within each part file and shifted by the sizes of the files before it.
+    """
+    rows = RD.read_result(spark, path, options).withColumn("__file", F.input_file_name()).withColumn(
+        "__at", F.monotonically_increasing_id())
+    sizes = rows.groupBy("__file").count().orderBy("__file").collect()  # one row for each part file
+    before, total = [], 0
+    for r in sizes:
+        before.append((r["__file"], total))
+        total += r["count"]
+    offsets = spark.createDataFrame(before, "__file string, __before long")
+    names = [f"__k{i}" for i in range(len(keys))]
+    within = F.row_number().over(Window.partitionBy("__file").orderBy("__at"))
+    placed = rows.withColumn("__within", within).join(F.broadcast(offsets), "__file").withColumn(
+        "__place", F.col("__before") + F.col("__within")).select("*", *[k.expr.alias(n) for k, n in zip(keys, names)])
+    first = F.min("__place").over(Window.partitionBy(*names))
+    return placed.withColumn(name, first.cast("long"))
 
 
 # --- queries --------------------------------------------------------------------------------
@@ -98,10 +116,9 @@ def q_study_overlap(spark, sf_dir):
 
 
 def q_chromosome_restrict(spark, sf_dir):
-    """B4 + E4: dbNSFP rows on the chromosomes of the gene consequences (semi-join, no collect)."""
+    """B4 + E4: dbNSFP rows on the chromosomes of the gene consequences (as the filter of the plan)."""
     t = _tables(spark, sf_dir)
-    chroms = A.chromosomes_of(_gene_consequences(t))
-    return A.restrict_to_chromosomes(t.dbnsfp, chroms).select(*KEY, "DamagePredCount")
+    return A.chromosome_filter(_gene_consequences(t))(t.dbnsfp).select(*KEY, "DamagePredCount")
 
 
 def q_damage_ratio(spark, sf_dir):
@@ -178,38 +195,64 @@ def q_study_from_path(spark, sf_dir):
 
 
 def q_sorted_result(spark, sf_dir):
-    """F1 as a rank column (the comparison is order-insensitive)."""
-    res = plan_gene_filter(_variant_tables(_tables(spark, sf_dir)), GENES, STUDIES, PARAMS).result
-    ranked = R.global_rank(res, R.result_keys(), "result_rank")
+    """P2 + F1 + A6 + A7 + A9: the result sorted and written by the job, read back with the result reader; the
+    rank column is each row's place in the files."""
+    plan = _flagship(_tables(spark, sf_dir))
+    try:
+        path = write_result(plan.result, _scratch(spark, "result"), STUDIES, PARAMS)
+    finally:
+        plan.release()
+    ranked = _ranked_as_written(spark, path, RD.ResultReadOptions(), R.result_keys(), "result_rank")
     return ranked.select("result_rank", "chromosome", "start", "study_code", "family_id", "is_proband",
                          "participant_id", "biospecimen_id")
 
 
+def q_result_round_trip(spark, sf_dir):
+    """A6 + A7 + S8: awkward cells written and read back: line breaks, tabs, quotes, empty text and nulls in quoted
+    cells, whole numbers written as ``30.0`` and ``1e3``."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    k = F.col("p_partkey")
+    awkward = part.select(
+        F.col("p_brand").alias("symbol"), k.cast("string").alias("participant_id"),
+        F.when(k % 3 == 0, F.concat((k % 1000).cast("string"), F.lit(".0"))).when(k % 3 == 1, F.lit("1e3"))
+        .otherwise((k % 1000).cast("string")).alias("dp"),
+        F.concat((k * 10).cast("string"), F.when(k % 2 == 0, F.lit(".0")).otherwise(F.lit(""))).alias("start"),
+        F.when(k % 6 == 0, F.concat(F.lit("a\nb"), F.col("p_name"))).when(k % 6 == 1, F.lit("tab\there"))
+        .when(k % 6 == 2, F.lit('say "yes"')).when(k % 6 == 3, F.lit("")).when(k % 6 == 4, F.lit(None).cast("string"))
+        .otherwise(F.col("p_name")).alias("phen"))
+    path = _scratch(spark, "round-trip")
+    write_tsv(awkward, path)
+    return RD.read_result(spark, path)
+
+
 def q_join_consequence_variant(spark, sf_dir):
     """J1 (+ D5): gene consequences x the study's variants."""
-    t = _tables(spark, sf_dir)
-    return render(FL.gene_variants(_gene_consequences(t), _study_variants(t)))
+    plan = _flagship(_tables(spark, sf_dir))
+    return plan.detached(render(plan.gene_variants))
 
 
 def q_join_damage_left(spark, sf_dir):
     """J2 + C1 + C8: left join of damage predictions and the rarity flag."""
-    t = _tables(spark, sf_dir)
-    return _candidates(t).select(*KEY, "max_gnomad_topmed", *A.DAMAGE_COLUMNS, "flag")
+    plan = _flagship(_tables(spark, sf_dir))
+    return plan.detached(plan.annotated.select(*KEY, "max_gnomad_topmed", *A.DAMAGE_COLUMNS, "flag"))
 
 
 def q_clinvar_seen(spark, sf_dir):
     """J3 + B5 + B6 + C4: ClinVar records of the genes seen in the study's variants."""
-    return render(_clinvar_seen(_tables(spark, sf_dir)))
+    t = _tables(spark, sf_dir)
+    return render(A.seen_in_variants(A.clinvar_candidates(t.clinvar, GENES), _study_variants(t)))
 
 
 def q_hgmd_seen(spark, sf_dir):
     """J4 + B8 + C4: HGMD records of the genes seen in the study's variants."""
-    return _hgmd_seen(_tables(spark, sf_dir))
+    t = _tables(spark, sf_dir)
+    return A.seen_in_variants(A.hgmd_candidates(t.hgmd, GENES), _study_variants(t))
 
 
 def q_clinvar_seen_with_vus(spark, sf_dir):
     """As clinvar_seen, with uncertain significance counted as known."""
-    return render(_clinvar_seen(_tables(spark, sf_dir), CLINVAR_SIGNIFICANCE_WITH_VUS))
+    t = _tables(spark, sf_dir)
+    return render(A.seen_in_variants(A.clinvar_candidates(t.clinvar, GENES, CLINVAR_SIGNIFICANCE_WITH_VUS), _study_variants(t)))
 
 
 def q_rare_damaging_flag(spark, sf_dir):
@@ -222,7 +265,8 @@ def q_rare_damaging_flag(spark, sf_dir):
 
 def q_known_variant_override(spark, sf_dir):
     """J5 + J6 + C9 + B15: flags after the ClinVar and HGMD overrides."""
-    return _overridden(_tables(spark, sf_dir)).select(*KEY, "VariationID", "HGMDID", "flag")
+    plan = _flagship(_tables(spark, sf_dir))
+    return plan.detached(plan.candidates.select(*KEY, "VariationID", "HGMDID", "flag"))
 
 
 def q_carrier_calls(spark, sf_dir):
@@ -234,11 +278,9 @@ def q_carrier_calls(spark, sf_dir):
 
 def q_flagged_carriers(spark, sf_dir):
     """J7 + B12 + C5: carriers of the flagged variants."""
-    t = _tables(spark, sf_dir)
-    flagged = FL.keep_flagged(_overridden(t))
-    joined = O.join_carriers(flagged, O.credible_carriers(t.occurrences, PARAMS.aaf))
-    return render(joined.select(*KEY, "participant_id", "biospecimen_id", "symbol", "VariationID", "HGMDID",
-                                "adjusted_calls"))
+    plan = _flagship(_tables(spark, sf_dir))
+    return plan.detached(render(plan.carriers.select(*KEY, "participant_id", "biospecimen_id", "symbol", "VariationID",
+                                                     "HGMDID", "adjusted_calls")))
 
 
 def q_diagnoses_combined(spark, sf_dir):
@@ -265,29 +307,44 @@ def q_clinical_enrichment(spark, sf_dir):
 
 
 def q_combined_results(spark, sf_dir):
-    """F3 + F2 + C12: two runs with different column sets, row-bound by name and ranked."""
+    """P3 + F2 + F3 + A6 + A8 + C12: two runs with different column sets, each written by its job, merged from
+    their files and written as one plain TSV; the rank column is each row's place in the merged files."""
     vt = _variant_tables(_tables(spark, sf_dir))
-    run_a = plan_gene_filter(vt, GENES, ["SD_A"], FilterParams(known_variants=("ClinVar",))).result
-    run_b = plan_gene_filter(vt, GENES, ["SD_B"], FilterParams(known_variants=("HGMD",))).result
-    keep = ["study_id", "participant_id", "biospecimen_id", "chromosome", "start", "family_id", "is_proband",
-            "study_code"]
-    merged = R.union_by_name([run_a.select(*keep, "VariationID"), run_b.select(*keep, "HGMDID")])
-    ranked = R.global_rank(merged, R.combined_keys(["study_code", "family_id", "is_proband"]), "combined_rank")
-    return ranked.select(*keep, "VariationID", "HGMDID", X.chromosome_level("chromosome").alias("chromosome_level"),
-                         "combined_rank")
+    out = _scratch(spark, "combined")
+    for study, database in (("SD_A", "ClinVar"), ("SD_B", "HGMD")):
+        plan = plan_gene_filter(vt, GENES, [study], FilterParams(known_variants=(database,)))
+        try:
+            write_result(plan.result, f"{out}/runs", [study])
+        finally:
+            plan.release()
+    merged = combine_results(spark, RD.expand_result_paths(spark, [f"{out}/runs/*.tsv.gz"]))
+    path = write_combined(merged, f"{out}/merged")
+    ranked = _ranked_as_written(spark, path, RD.ResultReadOptions(quote=""),
+                                R.combined_keys(["study_code", "family_id", "is_proband"]), "combined_rank")
+    return ranked.select("study_id", "participant_id", "biospecimen_id", "chromosome", "start", "family_id", "is_proband",
+                         "study_code", "VariationID", "HGMDID", "combined_rank")
 
 
 def q_multi_study_union(spark, sf_dir):
-    """A5 + F4: genotype rows of two studies read per study and row-bound by name."""
+    """A5 + F4: genotype rows of two studies from one read."""
+    t = _tables(spark, sf_dir)
+    return RD.occurrences_for_studies(t.occurrences, ["SD_A", "SD_B"]).select(*KEY, "biospecimen_id", "study_id")
+
+
+def q_study_partitions(spark, sf_dir):
+    """A5 + F4: the genotype table written as two folders of study partitions and read back for both studies."""
     t = _tables(spark, sf_dir)
-    per_study = [RD.occurrences_for_studies(t.occurrences, [s]) for s in ("SD_A", "SD_B")]
-    return R.union_by_name([df.select(*KEY, "biospecimen_id", "study_id") for df in per_study])
+    parent = _scratch(spark, "lake")
+    rows = t.occurrences.select(*KEY, "biospecimen_id", "is_proband", "study_id")
+    for name, own in (("occurrences_sd_a_re_1", F.col("is_proband")), ("occurrences_sd_b_re_2", ~F.col("is_proband"))):
+        rows.where(own).drop("is_proband").write.partitionBy("study_id").parquet(f"{parent}/{name}")
+    return RD.read_study_partitions(spark, parent, ["SD_A", "SD_B"]).select(*KEY, "biospecimen_id", "study_id")
 
 
 def q_gene_based_filter(spark, sf_dir):
     """P1, the flagship: the full result of the filter with the flagship parameters."""
-    res = plan_gene_filter(_variant_tables(_tables(spark, sf_dir)), GENES, STUDIES, PARAMS).result
-    return render(res)
+    plan = _flagship(_tables(spark, sf_dir))
+    return plan.detached(render(plan.result))
 
 
 def q_gene_based_filter_old(spark, sf_dir):
@@ -296,16 +353,16 @@ def q_gene_based_filter_old(spark, sf_dir):
     t = _tables(spark, sf_dir)
     vt = VariantTables(t.old_consequences, t.old_variants, t.dbnsfp, t.occurrences, t.old_diagnoses,
                        t.old_phenotypes, t.clinvar, t.hgmd, None)
-    res = plan_gene_filter(vt, GENES, STUDIES, FilterParams(profile="old")).result
-    return render(res)
+    plan = plan_gene_filter(vt, GENES, STUDIES, FilterParams(profile="old"))
+    return plan.detached(render(plan.result))
 
 
 def q_gene_based_filter_multi_study(spark, sf_dir):
     """P1 for several studies at once (A5): variants of any listed study; genotype rows restricted to
     the listed studies (partition pruning on a study-partitioned table)."""
     vt = _variant_tables(_tables(spark, sf_dir))
-    res = plan_gene_filter(vt, GENES, ["SD_A", "SD_Q"], PARAMS, restrict_occurrences_to_studies=True).result
-    return render(res)
+    plan = plan_gene_filter(vt, GENES, ["SD_A", "SD_B"], PARAMS, restrict_occurrences_to_studies=True)
+    return plan.detached(render(plan.result))
 
 
 QUERIES: dict[str, Query] = {
@@ -324,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "chromosome_sort_key": q_chromosome_sort_key,
     "study_from_path": q_study_from_path,
     "sorted_result": q_sorted_result,
+    "result_round_trip": q_result_round_trip,
     "join_consequence_variant": q_join_consequence_variant,
     "join_damage_left": q_join_damage_left,
     "clinvar_seen": q_clinvar_seen,
@@ -339,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "clinical_enrichment": q_clinical_enrichment,
     "combined_results": q_combined_results,
     "multi_study_union": q_multi_study_union,
+    "study_partitions": q_study_partitions,
     "gene_based_filter": q_gene_based_filter,
     "gene_based_filter_old": q_gene_based_filter_old,
     "gene_based_filter_multi_study": q_gene_based_filter_multi_study,

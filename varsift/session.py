@@ -32,7 +32,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """The cluster's ``spark.checkpoint.dir``; a scratch folder is set only where none is configured.
+    """The cluster's ``spark.checkpoint.dir``; a scratch folder is set only where none is configured and the
+    master is local (tests). On a cluster without the setting this is an error: executors could not see a
+    folder of the driver's machine.
 
     On a client without a SparkContext (Spark Connect) the session's setting is used as it is.
     """
@@ -49,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="varsift-ckpt-")
     sc.setCheckpointDir(path)
     return path

@@ -8,6 +8,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,21 +69,29 @@ def read_study_partitions(spark: SparkSession, parent: str, studies: Sequence[st
                           ) -> DataFrame:
     """A5 over ``<parent>/occurrences_*/study_id=<id>``: the genotype rows of several studies.
 
-    Each ``occurrences_*`` directory is its own partitioned table, so the roots holding a wanted
-    study are found with Spark's file listing (only the distinct root paths reach the driver), each
-    root is read with a ``study_id`` partition filter (pruned to the listed partitions) and the
-    reads are row-bound by name (F4).
+    Only the wanted studies' partitions are listed and read. Each ``occurrences_*`` directory is its own
+    partitioned table (its ``basePath``), so their reads are row-bound by name (F4). A study without a
+    partition is an error, also when the others have one.
     """
     base = parent.rstrip("/")
-    listed = spark.read.format("binaryFile").load(f"{base}/occurrences_*/study_id=*").select("path")
-    roots = (listed
-             .where(F.regexp_extract("path", r"/study_id=([^/]*)/", 1).isin(list(studies)))
-             .select(F.regexp_extract("path", r"^(.*)/study_id=[^/]*/", 1).alias("root"))
-             .distinct().collect())
-    if not roots:
-        raise ValueError(f"no genotype partitions for studies {list(studies)} under {parent!r}")
-    frames = [occurrences_for_studies(spark.read.format(fmt).load(r.root), studies) for r in sorted(roots)]
-    return union_by_name(frames)
+    roots: dict[str, list[str]] = {}
+    missing = []
+    for study in dict.fromkeys(studies):
+        try:
+            listed = spark.read.format("binaryFile").load(f"{base}/occurrences_*/study_id={study}").select(
+                F.regexp_extract("path", r"^(.*)/study_id=[^/]*/", 1).alias("root")).distinct().collect()
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            listed = []
+        if not listed:
+            missing.append(study)
+        for r in listed:
+            roots.setdefault(r.root, []).append(f"{r.root}/study_id={study}")
+    if missing:
+        raise ValueError(f"no genotype partitions for studies {missing} under {parent!r}")
+    return union_by_name([spark.read.format(fmt).option("basePath", root).load(paths)
+                          for root, paths in sorted(roots.items())])
 
 
 # Types of result columns written by the filter; any other column is read as text.
@@ -101,23 +110,47 @@ RESULT_TYPES: dict[str, T.DataType] = {
 }
 
 
-def _typed(df: DataFrame) -> DataFrame:
+def _cell(column: str, null_value: str):
+    """The cell's text: the null text is null, an empty cell (which the CSV source reads as null) is empty."""
+    cell = F.coalesce(F.col(column), F.lit(""))
+    return F.when(cell != null_value, cell)
+
+
+def _parsed(column: str, kind: T.DataType, null_value: str):
+    """The text column as ``kind``; whole numbers may be written as ``30.0`` or ``1e3``, an empty cell is null.
+
+    Text that is no such value fails the read: a result is never changed to null silently.
+    """
+    text = F.nullif(_cell(column, null_value), F.lit(""))
+    value = text.try_cast(kind)
+    if isinstance(kind, T.IntegralType):
+        number = text.try_cast(T.DecimalType(38, 10))
+        value = F.coalesce(value, F.when(number == F.floor(number), number).try_cast(kind))
+    message = F.concat(F.lit(f"unreadable value in column {column}: "), text)
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast(kind)).otherwise(value)
+
+
+def _typed(df: DataFrame, null_value: str) -> DataFrame:
     out = []
     for c in df.columns:
         t = RESULT_TYPES.get(c) or (T.DoubleType() if c.endswith("_af") else None)
-        out.append(F.col(c).try_cast(t).alias(c) if t is not None else F.col(c))
+        out.append((_cell(c, null_value) if t is None else _parsed(c, t, null_value)).alias(c))
     return df.select(*out)
 
 
 @dataclass(frozen=True)
 class ResultReadOptions:
+    """``quote=""`` reads unquoted files (A8); quoted cells may hold line breaks."""
+
     sep: str = "\t"
     null_value: str = "-"
+    quote: str = '"'
 
 
 def _result_reader(spark: SparkSession, options: ResultReadOptions):
-    return (spark.read.option("sep", options.sep).option("header", True).option("nullValue", options.null_value)
-            .option("quote", '"').option("escape", '"').option("inferSchema", False))
+    return (spark.read.option("sep", options.sep).option("header", True).option("nullValue", "")
+            .option("quote", options.quote).option("escape", options.quote).option("multiLine", options.quote != "")
+            .option("emptyValue", "").option("inferSchema", False))
 
 
 def read_result(spark: SparkSession, path: str, options: ResultReadOptions = ResultReadOptions()) -> DataFrame:
@@ -126,7 +159,7 @@ def read_result(spark: SparkSession, path: str, options: ResultReadOptions = Res
     Columns are read as text and known result columns are cast to their types, so no extra
     schema-inference pass over the data is made.
     """
-    return _typed(_result_reader(spark, options).csv(path))
+    return _typed(_result_reader(spark, options).csv(path), options.null_value)
 
 
 def read_results(spark: SparkSession, paths: Sequence[str], options: ResultReadOptions = ResultReadOptions()
@@ -140,7 +173,7 @@ def read_results(spark: SparkSession, paths: Sequence[str], options: ResultReadO
     for p in paths:
         header = tuple(_result_reader(spark, options).csv(p).columns)
         groups.setdefault(header, []).append(p)
-    return union_by_name([_typed(_result_reader(spark, options).csv(list(ps))) for ps in groups.values()])
+    return union_by_name([_typed(_result_reader(spark, options).csv(list(ps)), options.null_value) for ps in groups.values()])
 
 
 def expand_result_paths(spark: SparkSession, patterns: Sequence[str]) -> list[str]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,15 +44,20 @@ def printable(df: DataFrame) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str, compression: str = "gzip", single_file: bool = False,
-              quote: bool = True, mode: str = "overwrite") -> None:
+              quote: bool = True, mode: str = "overwrite", order: Sequence[Column] | None = None) -> None:
     """A7 (gzip) / A8 (``compression='none'``, ``quote=False``): header, tab separated, nulls as ``-``.
 
-    The frame's order is kept: a globally sorted frame is written as range-ordered part files
-    (``part-00000`` first). ``single_file`` merges into one part file for small results.
+    With ``order`` the rows are written as range-ordered part files (``part-00000`` first); without it
+    the frame's own order is kept. ``single_file`` writes one part file, sorted in its one task: for
+    small results only. A text that is just ``-`` reads back as null.
     """
-    out = printable(df)
+    out = df
     if single_file:
-        out = out.coalesce(1)
+        out = out.repartition(1)
+        out = out.sortWithinPartitions(*order) if order else out
+    elif order:
+        out = out.orderBy(*order)
+    out = printable(out)
     writer = (out.write.mode(mode).option("sep", SEPARATOR).option("header", True)
               .option("nullValue", NULL_TEXT).option("emptyValue", "").option("compression", compression))
     if quote:

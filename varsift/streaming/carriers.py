@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -17,7 +15,6 @@ from varsift.operators import clinical as C
 from varsift.operators.annotations import GeneSet
 from varsift.params import FilterParams
 from varsift.plans.gene_filter import GeneFilterPlan, VariantTables, attach_carriers, plan_gene_filter
-from varsift.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -53,31 +50,22 @@ def carrier_stream(spark: SparkSession, tables: VariantTables, genes: Sequence[s
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     occurrences = reader.parquet(occurrences_dir)
     if params.key_reduction:
-        chromosomes = A.chromosome_values(batch.gene_consequences)
-        if chromosomes is not None:
-            occurrences = occurrences.where(F.col("chromosome").isin(chromosomes))
+        occurrences = A.chromosome_filter(batch.gene_consequences, params.max_literal_chromosomes)(occurrences)
     measured_csq, measured_flagged = (batch.measured + [None, None])[:2]
     _, result = attach_carriers(occurrences, batch.flagged, tables, params, measured_flagged, measured_csq,
-                                lists=lists)
+                                lists=lists, measured_out=batch.measured)
     return CarrierStream(result, batch, [df for df in lists if df is not None])
 
 
-def start_carrier_stream(stream: CarrierStream, output_dir: str, checkpoint_location: str | None = None,
+def start_carrier_stream(stream: CarrierStream, output_dir: str, checkpoint_location: str,
                          available_now: bool = True, query_name: str = "varsift_carriers") -> StreamingQuery:
     """Append the stream's rows as Parquet under ``output_dir``.
 
-    The checkpoint defaults to ``<spark.checkpoint.dir>/<query_name>`` (a shared folder on a
-    cluster). ``available_now`` processes what has landed and stops; otherwise the query runs
+    ``checkpoint_location`` holds the stream's progress: a shared folder of its own for each stream, the same
+    one again on a restart. ``available_now`` processes what has landed and stops; otherwise the query runs
     until stopped.
     """
-    spark = stream.result.sparkSession
-    if checkpoint_location is None:
-        base = ensure_checkpoint_dir(spark)
-        if base is None:
-            raise ValueError("set spark.checkpoint.dir or pass checkpoint_location")
-        checkpoint_location = os.path.join(base, query_name)
-    location = checkpoint_location
     writer = (stream.result.writeStream.format("parquet").outputMode("append").queryName(query_name)
-              .option("checkpointLocation", location).option("path", output_dir))
+              .option("checkpointLocation", checkpoint_location).option("path", output_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
