@@ -1,10 +1,7 @@
-import os
-import sys
+"""Fixtures shared by the tests of this folder (imported by name)."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 AWKWARD = [
     (1, "one two three four five six seven eight nine ten eleven twelve"),
     (2, None), (3, ""), (4, "   \n\t "), (5, "single"),

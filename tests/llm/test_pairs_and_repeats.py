@@ -5,7 +5,7 @@ import random
 import brute as B
 import numpy as np
 import pytest
-from conftest import AWKWARD, rows_by_id
+from llm_fixtures import AWKWARD, awkward, documents, nothing, rows_by_id  # noqa: F401
 
 from varsift.llm import decontaminate, jaccard_join, suffix_dedup
 from varsift.llm.graph import components

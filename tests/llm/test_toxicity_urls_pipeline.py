@@ -6,7 +6,7 @@ import zlib
 import corpus_pipeline
 import numpy as np
 import pytest
-from conftest import AWKWARD
+from llm_fixtures import AWKWARD, awkward, nothing  # noqa: F401
 from pyspark.sql import functions as F
 
 from varsift.llm import toxicity_gru, url_rules
