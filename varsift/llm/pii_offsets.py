@@ -4,7 +4,7 @@ Plain identifiers are found in the text as it is. Disguised ones are found in a
 text once and writes, for each stretch it knows a plainer form of, that form together with the stretch it stands for:
 look-alike letters and digits, invisible characters, spelled digits in four languages, and at/dot disguises. The same
 detectors run over the copy, and each identifier that touches a rewritten stretch is mapped back to source characters.
-Such spans have the kinds ``hidden_email`` and so on and never overlap a plain one.
+Such spans have the kinds ``hidden_email`` and so on; one that lies within a plain span is not added.
 
 Defined cases: null and empty texts have no spans; texts without any disguise are not copied; the work grows with the
 text's length, also for long runs of digits or blanks; repeated rows give repeated results; only id and text are read.
@@ -52,7 +52,8 @@ _MARK = re.compile(rf"(?<=[A-Za-z0-9])(?:(?P<at>{_AT})|(?P<dot>{_DOT}))(?=[A-Za-
 _SAID = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:\x20(?:dot|punto|point|punkt)\x20[A-Za-z0-9_%+-]+){0,3}(?P<at>\x20+(?:at|arroba|@)\x20+)"
                    r"[A-Za-z0-9-]+(?:(?:\x20+(?:dot|punto|point|punkt)\x20+|\.)[A-Za-z0-9-]+)*\x20+(?:dot|punto|point|punkt)\x20+[A-Za-z0-9-]+", re.I)
 _WORD_DOT = re.compile(r"\x20+(?:dot|punto|point|punkt)\x20+", re.I)
-_ODD = re.compile("[" + "".join(map(re.escape, [*_LOOKALIKES, *_INVISIBLE])) + "]")
+_ODD_SET = frozenset([*_LOOKALIKES, *_INVISIBLE])
+_ODD = re.compile("[" + "".join(map(re.escape, sorted(_ODD_SET))) + "]")
 
 
 def _luhn(digits: str) -> bool:
@@ -92,7 +93,7 @@ def plain(text: str) -> list[tuple[int, int, int]]:
 def rewritten(text: str, lower: str) -> list[tuple[int, int, str]]:
     """(start, end, plainer form) of the disguised stretches, in order, not overlapping."""
     out: list[tuple[int, int, str]] = []
-    if not text.isascii():
+    if not text.isascii() and not _ODD_SET.isdisjoint(text):
         out += [(m.start(), m.end(), _LOOKALIKES.get(m[0], "")) for m in _ODD.finditer(text)]
     if "(" in text or "[" in text or "{" in text or "<" in text:
         out += [(m.start(), m.end(), "@" if m["at"] else ".") for m in _MARK.finditer(text)]
@@ -100,7 +101,8 @@ def rewritten(text: str, lower: str) -> list[tuple[int, int, str]]:
         for m in _SAID.finditer(text):
             out.append((m.start("at"), m.end("at"), "@"))
             out += [(d.start(), d.end(), ".") for d in _WORD_DOT.finditer(text, m.start(), m.end())]
-    for m in _RUN.finditer(text):
+    spoken = any(map(_DIGIT.__contains__, lower.replace(",", " ").replace("-", " ").split()))
+    for m in _RUN.finditer(text) if spoken else ():
         twice = False
         for p in _PART.finditer(m[0]):
             word = p[0].lower()
@@ -148,7 +150,7 @@ def hidden(text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, int,
     copy, here, there, changed = normalised(text, cuts)
     begins = [a for a, _ in changed]
     spans = plain(copy)
-    out, taken = [], sorted((a, b) for a, _, b in found)
+    out, taken = [], [(a, b) for a, _, b in found]
     for a, kind, b in sorted(spans):
         k = bisect_left(begins, b)
         if not any(x < b and y > a or x == y and a < x < b for x, y in changed[max(0, bisect_left(begins, a) - 1) : k]):
@@ -164,8 +166,7 @@ def hidden(text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, int,
         start, last = back(a, False), back(b - 1, True) + (0 if (bisect_right(here, b - 1) - 1) % 2 else 1)
         while last > start and text[last - 1] in " ,-":
             last -= 1
-        j = bisect_left(taken, (start, start))
-        if (j == len(taken) or taken[j][0] >= last) and (j == 0 or taken[j - 1][1] <= start):
+        if not any(x <= start and last <= y for x, y in taken):
             out.append((start, len(KINDS) + kind, last))
     return out
 
