@@ -49,8 +49,11 @@ _PART = re.compile(rf"plus|double|{_NUMBER}|point|dot|[0-9]", re.I)
 _AT = r"(?:\x20*[\(\[{<]\x20*(?:at|@|arroba|ät)\x20*[\)\]}>]\x20*)"
 _DOT = r"(?:\x20*[\(\[{<]\x20*(?:dot|\.|punto|point|punkt)\x20*[\)\]}>]\x20*)"
 _MARK = re.compile(rf"(?<=[A-Za-z0-9])(?:(?P<at>{_AT})|(?P<dot>{_DOT}))(?=[A-Za-z0-9])", re.I)
+#: Last parts that a dot written as a word may precede ("the dot on the page" is no address).
+_ENDS = "com|org|net|edu|gov|info|io|co|eu|uk|us|de|fr|es|it|nl|ch|ca|au|in|jp|cn|br|mx"
 _SAID = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:\x20(?:dot|punto|point|punkt)\x20[A-Za-z0-9_%+-]+){0,3}(?P<at>\x20+(?:at|arroba|@)\x20+)"
-                   r"[A-Za-z0-9-]+(?:(?:\x20+(?:dot|punto|point|punkt)\x20+|\.)[A-Za-z0-9-]+)*\x20+(?:dot|punto|point|punkt)\x20+[A-Za-z0-9-]+", re.I)
+                   r"[A-Za-z0-9-]+(?:(?:\x20+(?:dot|punto|point|punkt)\x20+|\.)[A-Za-z0-9-]+)*\x20+(?:dot|punto|point|punkt)\x20+"
+                   rf"(?:{_ENDS})(?![A-Za-z0-9])", re.I)
 _WORD_DOT = re.compile(r"\x20+(?:dot|punto|point|punkt)\x20+", re.I)
 _ODD_SET = frozenset([*_LOOKALIKES, *_INVISIBLE])
 _ODD = re.compile("[" + "".join(map(re.escape, sorted(_ODD_SET))) + "]")
