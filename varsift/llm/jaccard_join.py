@@ -41,9 +41,12 @@ MIN_FREQUENT = 3
 #: Shingles of one bucket, on average; the number of buckets grows with the corpus.
 BUCKET = 1 << 21
 BITMAP_BITS = 25
+#: Pairs of one set that are compared in one task.
+PARTNERS = 256
 BLOCK = 512
 FLUSH = 1 << 20
 _SHORT = np.uint64(24)  # lists are keyed by the upper 40 bits; a mix-up only adds a candidate
+_COARSE = np.uint64(32)  # counts are kept by the upper 32 bits; a mix-up only changes the common order
 
 
 def linked(inter: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -110,7 +113,7 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarr
 
 
 def _pack(sorted_short: np.ndarray) -> bytes:
-    """Sorted 40-bit keys as byte planes of their differences (the upper planes are mostly zero and compress)."""
+    """Sorted keys of 40 bits at most as byte planes of their differences (the upper planes are mostly zero and compress)."""
     gaps = np.diff(sorted_short, prepend=np.uint64(0))
     return np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes()
 
@@ -129,20 +132,20 @@ def _unplanes(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(4, -1).T).reshape(-1).view(np.uint32).astype(np.int64)
 
 
-def _slices(short: np.ndarray, buckets: int) -> list[tuple[int, slice]]:
-    """Non-empty ranges of sorted 40-bit keys by bucket."""
-    edges = np.searchsorted(short, np.array([(k << 40) // buckets for k in range(buckets + 1)], np.uint64))
+def _slices(short: np.ndarray, buckets: int, bits: int) -> list[tuple[int, slice]]:
+    """Non-empty ranges of sorted keys by bucket."""
+    edges = np.searchsorted(short, np.array([(k << bits) // buckets for k in range(buckets + 1)], np.uint64))
     edges[-1] = len(short)
     return [(k, slice(a, b)) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
 
 
 def frequent_shingles(texts: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The (40-bit key, number of distinct sets) of the most frequent shingles, by key; at most FREQUENT."""
+    """The (32-bit key, number of distinct sets) of the most frequent shingles, by key; at most FREQUENT."""
 
     def count(batches):
         def flush():
-            short, n = np.unique(np.concatenate(held) >> _SHORT, return_counts=True)
-            for k, s in _slices(short, buckets):
+            short, n = np.unique(np.concatenate(held) >> _COARSE, return_counts=True)
+            for k, s in _slices(short, buckets, 32):
                 more = np.flatnonzero(n[s] > 1)
                 yield pa.RecordBatch.from_pylist([{"bucket": k, "keys": _pack(short[s]), "at": _planes(more),
                                                    "n": _planes(n[s][more])}], schema=counted)
@@ -184,6 +187,19 @@ def frequent_shingles(texts: DataFrame, buckets: int) -> tuple[np.ndarray, np.nd
     return keys[order], number[order]
 
 
+def _viable(keys: np.ndarray, size: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Entries that could pass the bound of ``_passes`` with the smallest set of their list that is large enough."""
+    number = np.cumsum(np.append(0, keys[1:] != keys[:-1])) if len(keys) else keys.astype(np.int64)
+    order = np.lexsort((size, number))
+    wide = int(size.max()) + 1 if len(size) else 1
+    rank = number[order] * wide + size[order]
+    place = np.searchsorted(rank, number * wide + (3 * size + 3) // 4)
+    place = place + (order[np.minimum(place, len(order) - 1)] == np.arange(len(order)))  # not itself
+    place = np.minimum(place, len(order) - 1)
+    partner = order[place] if len(order) else order
+    return (number[partner] == number) & (partner != np.arange(len(order))) & linked(size - pos, size, size[partner])
+
+
 def index_lists(texts: DataFrame, buckets: int) -> DataFrame:
     """The index lists with two sets or more: token, then entries (node, size, pos) sorted by position share."""
     often, number = frequent_shingles(texts, buckets)
@@ -196,7 +212,7 @@ def index_lists(texts: DataFrame, buckets: int) -> DataFrame:
             nodes, sizes = (np.concatenate([x[k] for x in held]) for k in (3, 4))
             order = np.argsort(keys, kind="stable")
             keys, which, pos = keys[order], which[order], pos[order]
-            for k, s in _slices(keys, buckets):
+            for k, s in _slices(keys, buckets, 40):
                 yield pa.RecordBatch.from_pylist([{
                     "bucket": k, "keys": _pack(keys[s]), "which": _planes(which[s]), "pos": _planes(pos[s]),
                     "nodes": nodes.tobytes(), "sizes": _planes(sizes)}], schema=dealt)
@@ -207,8 +223,8 @@ def index_lists(texts: DataFrame, buckets: int) -> DataFrame:
             row = np.arange(len(n)).repeat(n)
             weight = np.zeros(len(h), np.int64)
             if len(often):
-                place = np.minimum(np.searchsorted(often, h >> _SHORT), len(often) - 1)
-                weight = np.where(often[place] == h >> _SHORT, number[place], 0)
+                place = np.minimum(np.searchsorted(often, h >> _COARSE), len(often) - 1)
+                weight = np.where(often[place] == h >> _COARSE, number[place], 0)
             order = np.lexsort((h, weight, row))
             pos = np.arange(len(h)) - bounds[:-1].repeat(n)
             prefix = n - (3 * n + 3) // 4 + 1
@@ -243,15 +259,13 @@ def index_lists(texts: DataFrame, buckets: int) -> DataFrame:
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
         keys, nodes, sizes, pos = keys[new], nodes[new], sizes[new], pos[new]
+        keep = _viable(keys, sizes.astype(np.int64), pos)
+        keys, nodes, sizes, pos = keys[keep], nodes[keep], sizes[keep], pos[keep]
         order = np.lexsort((nodes, -sizes.astype(np.int64), pos / np.maximum(sizes, 1), keys))
         keys, nodes, sizes, pos = keys[order], nodes[order], sizes[order], pos[order]
-        at = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys)) if len(keys) else np.zeros(1, int)
-        many = np.flatnonzero(np.diff(at) > 1)
-        keep = np.zeros(len(keys), bool)
-        hub = np.zeros(len(keys), np.int64)
-        hub[:] = at[:-1].repeat(np.diff(at)) if len(keys) else 0
-        size = np.diff(at)
-        keep[:] = np.isin(np.arange(len(size)), many).repeat(size) if len(keys) else False
+        new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))[: len(keys)]
+        size = np.diff(np.append(new, len(keys)))
+        keep, hub = (size > 1).repeat(size), new.repeat(size)
         return pa.table({"token": keys.view(np.int64)[keep], "node": nodes.view(np.int64)[keep], "size": sizes[keep],
                          "pos": pos[keep], "hub": nodes.view(np.int64)[hub][keep], "hub_size": sizes[hub][keep],
                          "hub_pos": pos[hub][keep]})
@@ -263,8 +277,7 @@ def index_lists(texts: DataFrame, buckets: int) -> DataFrame:
 def compare(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, inter, size_a, size_b): exact overlaps of the pairs' sets.
 
-    A bitmap of the wanted nodes (bounded: 4 MB) keeps other documents' sets from being sent at all; joins
-    are on node names, so a hub with very many partners is split by the skew-join rule.
+    A bitmap of the wanted nodes (bounded: 4 MB) keeps other documents' sets from being sent at all.
     """
     slot = F.col("node").bitwiseAND((1 << BITMAP_BITS) - 1)
     wanted = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
@@ -284,8 +297,12 @@ def compare(texts: DataFrame, pairs: DataFrame) -> DataFrame:
                      pa.array([whole[8 * bounds[k] : 8 * bounds[k + 1]] for k in want.tolist()], pa.binary())], ["node", "tokens"])
 
     have = texts.mapInArrow(sets, "node long, tokens binary").dropDuplicates(["node"])
-    sides = (pairs.join(have.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
-             .join(have.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b"))
+    # a set with very many partners is repeated under salts, so that its pairs spread over tasks
+    salts = pairs.groupBy("b").agg(F.expr(f"1 + count(*) div {PARTNERS}").alias("salts"))
+    salted = pairs.join(salts, "b").select("a", "b", F.pmod(F.xxhash64("a"), "salts").alias("salt"))
+    targets = have.join(salts.withColumnRenamed("b", "node"), "node").select(
+        F.col("node").alias("b"), F.col("tokens").alias("tb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    sides = salted.join(have.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a").join(targets, ["b", "salt"])
 
     def overlap(batches):
         for batch in batches:
@@ -320,6 +337,8 @@ def open_pairs(rows: DataFrame) -> DataFrame:
         def one(token):
             own = [np.concatenate(x) for x in zip(*held, strict=True)]
             node, size, pos, comp, inter, hub_size = own
+            if (comp == comp[0]).all():
+                return
             order = np.lexsort((node, pos / size))
             node, size, pos, comp, inter, hub_size = (x[order] for x in own)
             left = size - pos
@@ -377,15 +396,13 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", total
     answers = written(compare(texts, written(first, "pairs")), "answers")
     found = answers.where("7 * inter >= 3 * (size_a + size_b)").select("a", "b")
     comp = written(components(found), "components")
-    known = answers.select(F.col("a").alias("node"), F.col("b").alias("hub"), "inter")
-    rows = (lists.join(comp, "node", "left").join(known, ["node", "hub"], "left")
-            .select("token", "node", "size", "pos", F.coalesce("component", "node").alias("comp"),
-                    F.when(F.col("node") == F.col("hub"), F.col("size")).otherwise(F.coalesce("inter", F.lit(-1))).alias("inter"),
-                    "hub_size"))
-    rows = written(rows, "entries")
-    several = rows.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
-    several = rows.join(several, "token", "left_semi")
-    pairs = open_pairs(several.repartition("token").sortWithinPartitions("token"))
+    known = answers.groupBy(F.col("a").alias("node")).agg(F.map_from_entries(F.collect_list(F.struct("b", "inter"))).alias("known"))
+    state = comp.join(known, "node", "full")
+    rows = lists.join(state, "node", "left").select(
+        "token", "node", "size", "pos", F.coalesce("component", "node").alias("comp"),
+        F.when(F.col("node") == F.col("hub"), F.col("size")).otherwise(F.coalesce(F.col("known")[F.col("hub")], F.lit(-1))).alias("inter"),
+        "hub_size")
+    pairs = open_pairs(rows.repartition("token").sortWithinPartitions("token"))
     pairs = written(pairs.groupBy("a", "b").agg(F.max("sure").alias("sure")), "open")
     sure = pairs.where("sure").select("a", "b")
     asked = pairs.where("not sure").select("a", "b").join(
