@@ -44,7 +44,7 @@ def test_mapped_tables_exercise_every_predicate():
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.01/{t}.parquet')")
 
     def count(what):
-        return c.sql(_with(*FLAGSHIP_CTES) + f"SELECT count(*) FROM {what}").fetchone()[0]
+        return c.sql(_with(*FLAGSHIP_CTES) + f"SELECT count(*) FROM {what}").fetchall()[0][0]
 
     rare = "cand WHERE max_gnomad_topmed < 0.0001 AND"
     for what in (f"{rare} PredCountRatio_D2T < 0.5", f"{rare} PredCountRatio_D2T > 1", "cand WHERE max_gnomad_topmed >= 0.0001",
@@ -55,9 +55,9 @@ def test_mapped_tables_exercise_every_predicate():
                  "(SELECT 1 FROM f_variants GROUP BY chromosome, start, reference, alternate HAVING count(*) > 1)",
                  "res WHERE diagnoses_combined IS NOT NULL"):
         assert count(what) > 0, what
-    runs = c.sql("SELECT count(VariationID), count(HGMDID), count(*) FROM (" + E.oracle_sql()["combined_results"] + ")").fetchone()
+    runs = c.sql("SELECT count(VariationID), count(HGMDID), count(*) FROM (" + E.oracle_sql()["combined_results"] + ")").fetchall()[0]
     assert runs[0] > 0 and runs[1] > 0
-    assert c.sql(f"SELECT count(*) FROM ({E.oracle_sql()['gene_based_filter_multi_study']})").fetchone()[0] > count("res")
+    assert c.sql(f"SELECT count(*) FROM ({E.oracle_sql()['gene_based_filter_multi_study']})").fetchall()[0][0] > count("res")
 
 
 def test_no_cached_frames_are_left(spark):
