@@ -1,6 +1,6 @@
 """Array helpers for text columns inside Arrow tasks: byte chunks, word spans, word and shingle hashes.
 
-A task receives Arrow batches; ``chunks`` cuts each into pieces of about a megabyte (always whole rows), so a
+A task receives Arrow batches; ``chunks`` cuts each into pieces of half a megabyte (always whole rows), so a
 task's arrays are bounded by that or by its longest single text. Words are runs of bytes of a 256-entry class
 table: every separator used here is ASCII, so byte runs and code point runs are the same.
 """
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2**64
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
