@@ -181,13 +181,26 @@ class Network:
         return g
 
 
-def _log_odds(kind: np.ndarray, owner: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
-    """Log odds of documents that hold a hashed feature, toxic against clean, shrunk towards 0."""
-    pair = np.unique(owner * size + kind)
-    doc, kind = pair // size, pair % size
-    hit = np.bincount(kind[toxic[doc] == 1], minlength=size) / max(1, (toxic == 1).sum())
-    miss = np.bincount(kind[toxic[doc] == 0], minlength=size) / max(1, (toxic == 0).sum())
-    return np.clip(np.log((hit + 0.01) / (miss + 0.01)), -3, 3) / 3
+def _log_odds(words: Words, toxic: np.ndarray, block: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of the documents that hold a hashed word or part, toxic against clean, shrunk towards 0.
+
+    Counted for a few documents at a time, so that the sample's parts are never all laid out.
+    """
+    found = np.zeros((2, WORDS)), np.zeros((2, PARTS))
+    spread, many = np.diff(words.bounds), len(words.word)
+    cuts = np.searchsorted(words.row, np.arange(0, len(toxic) + block, block))
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        pair = np.unique(words.row[low:high] * many + words.number[low:high])
+        row, number = pair // many, pair % many
+        size = spread[number]
+        inner = np.arange(size.sum()) - (np.cumsum(size) - size).repeat(size)
+        part = words.part[words.bounds[:-1][number].repeat(size) + inner]
+        for count, owner, kind in ((found[0], row, words.word[number]), (found[1], row.repeat(size), part)):
+            own = np.unique(owner * count.shape[1] + kind)
+            np.add.at(count, (toxic[own // count.shape[1]], own % count.shape[1]), 1)
+    all_ = np.maximum(np.bincount(toxic, minlength=2), 1)[:, None]
+    odds = [np.log((x[1] + 0.01) / (x[0] + 0.01)) for x in (count / all_ for count in found)]
+    return np.clip(odds[0], -3, 3) / 3, np.clip(odds[1], -3, 3) / 3
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
@@ -200,12 +213,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
     data = np.frombuffer(b"".join(raw), np.uint8)
     words = Words(data, np.append(0, np.cumsum([len(x) for x in raw])))
     row, first, size = words.windows(len(texts))
-    spread = np.diff(words.bounds)
-    net.p["word"][:, 0] = _log_odds(words.word[words.number], words.row, toxic, WORDS)
-    part_owner = np.repeat(words.row, spread[words.number])
-    at = words.bounds[:-1][words.number].repeat(spread[words.number])
-    inner = np.arange(len(at)) - np.repeat(np.cumsum(spread[words.number]) - spread[words.number], spread[words.number])
-    net.p["char"][:, 0] = _log_odds(words.part[at + inner], part_owner, toxic, PARTS)
+    net.p["word"][:, 0], net.p["char"][:, 0] = _log_odds(words, toxic)
     rng = np.random.default_rng(seed)
     mean, square = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
     step, block = 0, 256
