@@ -25,6 +25,7 @@ from varsift.llm.perplexity_rules import base_stats
 FEATURES = 1 << 15
 TRAIN_DOCS, TRAIN_BYTES = 3000, 32_768
 ROUNDS = 60
+BLOCK = 64
 GOOD, BAD, NONE = 1, 0, 2
 
 #: Labellers: statistic, bad from this value on, good up to this value (otherwise no vote; below 0: never good).
@@ -149,11 +150,16 @@ def train(texts: list[str], model: LabelModel, rounds: int = 80) -> np.ndarray:
     weights = np.zeros(FEATURES + 1)
     if not texts:
         return weights
-    raw = [t.encode() for t in texts]
-    data, at = np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(x) for x in raw]))
-    values = statistics(data, at)
-    target = model.posterior(votes(values))
-    row, col, val = features(data, at, values)
+    targets, entries = [], []
+    for low in range(0, len(texts), BLOCK):  # only the entries of the sample are kept, not its texts' arrays
+        raw = [t.encode() for t in texts[low : low + BLOCK]]
+        data, at = np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(x) for x in raw]))
+        values = statistics(data, at)
+        targets.append(model.posterior(votes(values)))
+        r, c, v = features(data, at, values)
+        entries.append(((r + low).astype(np.int32), c.astype(np.int32), v.astype(np.float32)))
+    target = np.concatenate(targets)
+    row, col, val = (np.concatenate(x) for x in zip(*entries, strict=True))
     sure = np.abs(target - 0.5) * 2
     balance = np.where(target > 0.5, sure / max(1e-9, sure[target > 0.5].sum()), sure / max(1e-9, sure[target <= 0.5].sum()))
     mean, square = np.zeros_like(weights), np.zeros_like(weights)
