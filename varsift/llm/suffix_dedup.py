@@ -99,9 +99,9 @@ def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """
     slot = F.col("full").bitwiseAND((1 << BITMAP_BITS) - 1)
     wanted = (asked.groupBy(F.shiftright(slot, 6).alias("word"))
-              .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(full & 63 as int))")).alias("bits")).toPandas())
+              .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(full & 63 as int))")).alias("bits")).toArrow())
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    bitmap[wanted["word"].to_numpy(np.int64)] = wanted["bits"].to_numpy(np.int64).view(np.uint64)
+    bitmap[wanted["word"].to_numpy()] = wanted["bits"].to_numpy().view(np.uint64)
 
     def run(batches):
         seen: set[int] = set()
@@ -239,7 +239,8 @@ def _settled_by_windows(contexts: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(key, start, end): intervals whose union is what repeats, for texts in ``_text`` by ``_key``."""
     suffixes = _sampled(docs)
-    often = suffixes.groupBy("lead").agg(F.count("*").alias("n")).where("n > 1").select("lead")
+    # written, so that the join deals out both sides itself and can split leading tokens that very many texts share
+    often = written(suffixes.groupBy("lead").agg(F.count("*").alias("n")).where("n > 1").select("lead"), "leads")
     shared = written(suffixes.join(often, "lead", "left_semi"), "suffixes")
     kinds = written(shared.groupBy("lead", "full").agg(F.count("*").alias("n")), "kinds")
     classes = kinds.groupBy("lead").agg(F.count("*").alias("kinds")).where("kinds > 1")
