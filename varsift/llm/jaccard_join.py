@@ -9,8 +9,8 @@ Two documents link when 100 * |A n B| >= 75 * |A u B| over their distinct 5-word
 3. Prefix postings are dealt by shingle range into index lists. Lists are sorted by the shingle's position in
    the set and cut into blocks: a block whose best position cannot reach the overlap its sizes need is skipped
    whole (index-level skipping), others are compared entry by entry under the same bound.
-4. First each entry is compared only with its list's hub, the set with the smallest position (near copies share a
-   hub, so a group costs links in proportion to its size). Sets already joined need no answer of their own.
+4. First each set is compared only with one hub, the set with the smallest position in most of its lists (near
+   copies share a hub, so a group costs links in proportion to its size). Sets already joined need no answer of their own.
    For the rest, |u n v| is bounded on both sides from the answers of u and v against their common hub
    (answer-level skipping): most pairs are accepted or dropped without reading the sets again, the others are
    compared exactly.
@@ -46,6 +46,7 @@ PARTNERS = 256
 BLOCK = 512
 FLUSH = 1 << 20
 _SHORT = np.uint64(24)  # lists are keyed by the upper 40 bits; a mix-up only adds a candidate
+_SENT = np.uint64(16)  # sets are compared by the upper 48 bits: a chance match in two of a thousand words: 4 in 10**9
 _COARSE = np.uint64(32)  # counts are kept by the upper 32 bits; a mix-up only changes the common order
 
 
@@ -112,15 +113,15 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarr
             yield h[fresh.repeat(size)], np.append(0, np.cumsum(size[fresh])), nodes[fresh]
 
 
-def _pack(sorted_short: np.ndarray) -> bytes:
-    """Sorted keys of 40 bits at most as byte planes of their differences (the upper planes are mostly zero and compress)."""
+def _pack(sorted_short: np.ndarray, width: int = 5) -> bytes:
+    """Sorted keys of ``width`` bytes as byte planes of their differences (the upper planes are mostly zero and compress)."""
     gaps = np.diff(sorted_short, prepend=np.uint64(0))
-    return np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes()
+    return np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def _unpack(packed: bytes) -> np.ndarray:
-    gaps = np.zeros((len(packed) // 5, 8), np.uint8)
-    gaps[:, :5] = np.frombuffer(packed, np.uint8).reshape(5, -1).T
+def _unpack(packed: bytes, width: int = 5) -> np.ndarray:
+    gaps = np.zeros((len(packed) // width, 8), np.uint8)
+    gaps[:, :width] = np.frombuffer(packed, np.uint8).reshape(width, -1).T
     return np.cumsum(gaps.reshape(-1).view(np.uint64))
 
 
@@ -282,19 +283,19 @@ def compare(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     slot = F.col("node").bitwiseAND((1 << BITMAP_BITS) - 1)
     wanted = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
               .groupBy(F.shiftright(slot, 6).alias("word"))
-              .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(node & 63 as int))")).alias("bits")).toPandas())
+              .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(node & 63 as int))")).alias("bits")).toArrow())
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    bitmap[wanted["word"].to_numpy(np.int64)] = wanted["bits"].to_numpy(np.int64).view(np.uint64)
+    bitmap[wanted["word"].to_numpy()] = wanted["bits"].to_numpy().view(np.uint64)
 
     def sets(batches):
         for h, bounds, nodes in _distinct_sets(batches):
             place = nodes & np.uint64((1 << BITMAP_BITS) - 1)
             want = np.flatnonzero((bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1))
             if len(want):
-                whole = h.tobytes()
+                short = h >> _SENT
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes[want].view(np.int64)),
-                     pa.array([whole[8 * bounds[k] : 8 * bounds[k + 1]] for k in want.tolist()], pa.binary())], ["node", "tokens"])
+                     pa.array([_pack(short[bounds[k] : bounds[k + 1]], 6) for k in want.tolist()], pa.binary())], ["node", "tokens"])
 
     have = texts.mapInArrow(sets, "node long, tokens binary").dropDuplicates(["node"])
     # a set with very many partners is repeated under salts, so that its pairs spread over tasks
@@ -309,9 +310,9 @@ def compare(texts: DataFrame, pairs: DataFrame) -> DataFrame:
             a, b, ta_, tb_ = batch.columns
             inter, size_a, size_b, last, mine = [], [], [], None, None
             for x, y in zip(ta_, tb_, strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), y.as_buffer()
+                x, y = _unpack(x.as_buffer(), 6), y.as_buffer()
                 if last is None or not last.equals(y):
-                    last, mine = y, np.frombuffer(y, np.uint64)
+                    last, mine = y, _unpack(y, 6)
                 place = np.searchsorted(mine, x)
                 inter.append(int((mine[np.minimum(place, len(mine) - 1)] == x).sum()))
                 size_a.append(len(x))
@@ -392,7 +393,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", total
     buckets = max(parts, -(-(total or 0) // BUCKET))
     lists = written(index_lists(texts, buckets), "lists")
     near = "7 * least(size - pos, hub_size - hub_pos) >= 3 * (size + hub_size)"
-    first = lists.where(f"node <> hub and {near}").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    # of each set the hub that it shares most lists with; what this leaves apart is asked below
+    first = (lists.where(f"node <> hub and {near}").groupBy("node", "hub").count()
+             .groupBy(F.col("node").alias("a")).agg(F.max_by("hub", F.struct("count", "hub")).alias("b")))
     answers = written(compare(texts, written(first, "pairs")), "answers")
     found = answers.where("7 * inter >= 3 * (size_a + size_b)").select("a", "b")
     comp = written(components(found), "components")
