@@ -166,3 +166,15 @@ def test_contamination_in_blocks_of_items(spark, documents):
     assert len(rows) == cut.count()
     assert _sorted((r.doc_id, r.n_words, r.hits, sorted(r["items"])) for r in cut.collect()) == _sorted(
         (r.doc_id, r.n_words, r.hits, sorted(r["items"])) for r in whole.collect())
+
+
+def test_blocks_of_items_keep_rows_with_equal_or_null_ids(spark):
+    """The same rows whether the benchmark is one block or many."""
+    items = [(f"i{k}", " ".join(f"w{k}x{j}" for j in range(12))) for k in range(40)]
+    rows = [(1, items[0][1]), (1, items[1][1] + " and more"), (1, items[0][1]), (None, items[2][1]), (None, "nothing here"), (None, None)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    frame = _frame(spark, rows).repartition(3)
+    whole, cut = (decontaminate.contamination(frame, bench, block_bytes=size) for size in (1 << 20, 300))
+    assert cut.columns == whole.columns
+    got = [_sorted((r.doc_id, r.n_words, r.hits, sorted(r["items"])) for r in x.collect()) for x in (whole, cut)]
+    assert got[0] == got[1] and len(got[1]) == len(rows)

@@ -11,8 +11,9 @@ most ``block_bytes`` of text (the bound on what is collected and sent to the exe
 documents for each block, so a benchmark of any size runs in bounded memory.
 
 Defined cases: null or wordless texts have no words and no hits; items with a null id or without words are
-ignored; rows of one item_id are one item; repeated documents give repeated rows (beyond one block of items,
-where passes are merged by id, one row for each id); an empty table on either side gives no hits. Only the id and text columns are read, others may have any names.
+ignored; rows of one item_id are one item; repeated documents, and rows with equal or null ids, give a row each, whatever
+the benchmark's size (beyond one block of items ids and texts are written once with a row key, by which passes are merged);
+an empty table on either side gives no hits. Only the id and text columns are read, others may have any names.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from varsift.llm import text_arrays as ta
 from varsift.llm.arrow_jobs import keep_rows, report
+from varsift.llm.storage import written
 
 WINDOW = 10
 SHINGLE = 3
@@ -185,16 +187,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document row: id, ``n_words``, ``hits`` (flat code point starts and ends of the hit words), ``items``."""
     indexes = window_indexes(docs, benchmark, text_col, item_col, item_text, block_bytes) or [WindowIndex([])]
-    scan = [report(docs, index.scorer, FIELDS, id_col, text_col) for index in indexes]
-    if len(scan) == 1:
-        return scan[0]
+    if len(indexes) == 1:
+        return report(docs, indexes[0].scorer, FIELDS, id_col, text_col)
+    key = F.struct(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"))
+    keyed = written(docs.select(key.alias("_key"), F.col(text_col).cast("string").alias("_text")), "keyed")
+    scan = [report(keyed, index.scorer, FIELDS, "_key", "_text") for index in indexes]
     pairs = "transform(sequence(0, size(hits) - 1, 2), i -> array(hits[i], hits[i + 1]))"
     rows = reduce(DataFrame.unionByName, scan).withColumn(
         "pairs", F.when(F.size("hits") > 0, F.expr(pairs)).otherwise(F.expr("cast(array() as array<array<int>>)")))
-    return rows.groupBy(id_col).agg(
+    merged = rows.groupBy("_key.row").agg(
+        F.first("_key.id").alias(id_col),
         F.first("n_words").alias("n_words"),
         F.expr("flatten(array_sort(array_distinct(flatten(collect_list(pairs)))))").alias("hits"),
         F.expr("array_sort(array_distinct(flatten(collect_list(items))))").alias("items"))
+    return merged.select(id_col, "n_words", "hits", "items")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
