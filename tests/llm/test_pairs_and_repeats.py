@@ -118,6 +118,15 @@ def test_classes_of_awkward_rows(awkward, nothing):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 7, 8, 9, 10]
 
 
+def test_one_of_each_group_stays_when_ids_repeat_or_are_null(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
+    rows = [(1, a), (1, a), (1, b), (0, b), (5, b + " more"), (None, c), (None, c), (7, c), (None, d), (None, d + " more"), (9, ""), (9, "")]
+    kept = [tuple(r) for r in jaccard_join.one_of_each(_frame(spark, rows).repartition(3)).collect()]
+    named = [r for r in kept if r[0] is not None]
+    assert _sorted(named) == _sorted([(1, a), (0, b), (7, c), (9, ""), (9, "")])
+    assert len([r for r in kept if r[0] is None]) == 1 and {r[1][:2] for r in kept if r[0] is None} == {"d0"}
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(50)] + [(100, 101), (102, 101)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}

@@ -428,6 +428,26 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that name their component (of rows with equal id and text, all), all columns as they are."""
-    kept = classes(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
-    return docs.join(kept.withColumnRenamed(id_col, "_kept"), F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    """One document of each component, all columns as they are: the one with the smallest id, named ones before null ids.
+
+    A document is known by its id and two hashes of its text, as ids may repeat or be null; of rows that are equal in
+    these, one stays. Documents without shingles are in no component and all stay.
+    """
+    text = F.col(text_col).cast("string")
+    key = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h"),
+                   F.xxhash64(F.lit(1), text).alias("g"))
+    rows = classes(docs.select(key.alias("_key"), text.alias("_text")), "_key", "_text")
+    kept = written(rows.where(F.col("_key") == F.col("component_id")).groupBy("_key")
+                   .agg((F.count("*") > 1).alias("_many"), F.max("n_shingles").alias("_size")), "kept")
+    many = F.col("_many") & (F.col("_size") > 0)
+
+    def those(wanted: DataFrame) -> DataFrame:
+        wanted = wanted.select(F.col("_key.id").alias("_id"), F.col("_key.h").alias("_h"), F.col("_key.g").alias("_g"))
+        return docs.join(wanted, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_h"))
+                         & (F.xxhash64(F.lit(1), text) == F.col("_g")), "left_semi")
+
+    if kept.where(many).isEmpty():
+        return those(kept)
+    one = those(kept.where(many)).withColumns({"_h": F.xxhash64(text), "_g": F.xxhash64(F.lit(1), text)})
+    one = one.dropDuplicates([id_col, "_h", "_g"]).drop("_h", "_g")
+    return those(kept.where(~many)).unionByName(one)
