@@ -223,3 +223,18 @@ def test_weak_labels_of_awkward_rows(awkward, nothing):
     assert weak_quality.contract(awkward).count() == len(AWKWARD)
     assert all(0 <= r.score <= 1 for r in weak_quality.contract(awkward).collect())
     assert weak_quality.contract(nothing).collect() == []
+
+
+def test_weak_labels_of_empty_and_tiny_texts(spark, awkward, documents):
+    """Null, empty and wordless texts get one bad vote, for length, and are not kept; tiny ones get it too."""
+    texts = [b"", b"  \n\t ", b"single", b"two words", b"a plain sentence of eleven words that nothing at all speaks against", "\u4f60\u597d".encode()]
+    vote = weak_quality.votes(weak_quality.statistics(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])))
+    of = [dict(zip([x[0] for x in weak_quality.LABELLERS], v, strict=True)) for v in vote.tolist()]
+    for v in of[:2]:
+        assert [k for k, x in v.items() if x != weak_quality.NONE] == ["short_text"]
+    assert [v["short_text"] for v in of] == [weak_quality.BAD] * 4 + [weak_quality.NONE, weak_quality.BAD]
+    assert of[5]["upper_share"] == weak_quality.NONE
+    many = documents.select("doc_id", "text").unionByName(awkward.where("doc_id in (2, 3, 4)").selectExpr("doc_id + 900000 doc_id", "text"))
+    for frame, low in ((awkward, 0), (many, 900000)):
+        got = {r.doc_id - low: r for r in weak_quality.contract(frame).where("doc_id is not null").collect()}
+        assert {(got[k].posterior, got[k].score, got[k].kept) for k in (2, 3, 4)} == {(0.0, 0.0, False)}

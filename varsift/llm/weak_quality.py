@@ -8,7 +8,8 @@ trigrams and text statistics), which then scores every whole text.
 
 A document is kept unless the scorer and its votes' posterior both call it bad.
 
-Defined cases: null, empty and wordless texts get a bad vote for length and nothing else; without documents no model;
+Defined cases: null, empty and wordless texts get a bad vote for length and nothing else, which makes them bad (posterior and
+score 0, not kept), also in the estimation; a share of nothing is no vote; without documents no model;
 repeated rows give repeated results; only id and text are read.
 """
 
@@ -27,6 +28,7 @@ TRAIN_DOCS, TRAIN_BYTES = 3000, 32_768
 ROUNDS = 60
 BLOCK = 64
 GOOD, BAD, NONE = 1, 0, 2
+ENOUGH = 10
 
 #: Labellers: statistic, bad from this value on, good up to this value (otherwise no vote; below 0: never good).
 LABELLERS = (
@@ -38,8 +40,11 @@ LABELLERS = (
     ("odd_words", 0.25, -1.0),
     ("upper_share", 0.45, 0.12),
     ("not_letters", 0.20, 0.09),
+    ("short_text", 0.60, -1.0),
     ("worst", 1.0, 0.5),
 )
+NAMES = [x[0] for x in LABELLERS]
+SHORT = NAMES.index("short_text")
 
 
 def statistics(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -66,9 +71,13 @@ def statistics(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     letter = upper | lower | (data >= 0x80) | (data >= 0x30) & (data <= 0x39)
     out = np.stack([repeat / some, np.where(lines > 3, dup / lines, 0), repeated, symbols / some,
                     np.bincount(row_of[marks[data]], minlength=n) / some, odd, share(upper, upper | lower),
-                    share(visible & ~letter, visible)], 1)
-    scaled = out / np.array([x[1] for x in LABELLERS[:-1]])
-    return np.concatenate([out, scaled.max(1, keepdims=True)], 1)
+                    share(visible & ~letter, visible), 1 - np.minimum(words, ENOUGH) / ENOUGH], 1)
+    worst = (out / np.array([x[1] for x in LABELLERS[:-1]])).max(1)
+    out = np.concatenate([out, worst[:, None]], 1)
+    for name, of in (("upper_share", upper | lower), ("not_letters", visible), ("worst", visible)):
+        k = NAMES.index(name)
+        out[np.bincount(row_of[of], minlength=n) == 0, k] = (LABELLERS[k][1] + LABELLERS[k][2]) / 2
+    return out
 
 
 def votes(values: np.ndarray) -> np.ndarray:
@@ -102,7 +111,9 @@ class LabelModel:
         logs = np.where(vote[None] == NONE, 0.0, np.log(np.take_along_axis(
             np.broadcast_to(self.vote_p[:, None], (2, len(vote), *self.vote_p.shape[1:])), vote[None, :, :, None], 3)[..., 0]))
         total = np.log(self.prior)[:, None] + logs.sum(2)
-        return 1 / (1 + np.exp(np.clip(total[0] - total[1], -50, 50)))
+        # a bad vote for length alone is a wordless text: one labeller's votes cannot tell its accuracy
+        wordless = (vote[:, SHORT] == BAD) & ((vote != NONE).sum(1) == 1)
+        return np.where(wordless, 0.0, 1 / (1 + np.exp(np.clip(total[0] - total[1], -50, 50))))
 
     def posterior(self, vote: np.ndarray) -> np.ndarray:
         """Probability of a good document."""
@@ -183,7 +194,8 @@ def _final_scorer(model: LabelModel, weights: np.ndarray):
             values = statistics(data, at)
             row, col, val = features(data, at, values)
             total = np.bincount(row, weights[col] * val, len(at) - 1) + weights[-1]
-            return [model.posterior(votes(values)), 1 / (1 + np.exp(-np.clip(total, -30, 30)))]
+            score = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+            return [model.posterior(votes(values)), np.where(values[:, SHORT] == 1, 0.0, score)]
 
         return score
 
