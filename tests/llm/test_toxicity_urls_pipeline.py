@@ -119,6 +119,22 @@ def test_mined_rules_follow_the_labels(spark):
     assert url_rules.judged(pages.where("false"), labels).collect() == []
 
 
+@pytest.mark.parametrize("bad, good", [
+    ("http://a.net/a/casino/{}", "http://a.net/a/b/{}"),
+    ("http://a.net/x/y/casino", "http://a.net/x/y/{}"),
+    ("http://a.net/casino", "http://a.net/{}"),
+    ("http://a.net/{}?a&b&c&d&adult=1", "http://a.net/{}?a&b&c&d&e=1"),
+    ("http://casino.b.c.d.net/{}", "http://b.c.d.net/{}"),
+    ("http://a.net/{}.torrents", "http://a.net/{}.html"),
+])
+def test_rules_see_every_part_of_a_url(spark, bad, good):
+    rows = [(k, (bad if k % 4 == 0 else good).format(k)) for k in range(1300)]  # a number occurs too rarely for a rule
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(k, int(k % 4 > 0), 0) for k in range(1200)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in url_rules.judged(pages, labels).collect()}
+    assert got == {k: "block" if k % 4 == 0 else "allow" for k, _ in rows}
+
+
 def test_url_rules_run_no_python(spark):
     plan = url_rules.judged(spark.read.parquet(f"{SF}/pages.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
     text = plan._jdf.queryExecution().executedPlan().toString()

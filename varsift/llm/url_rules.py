@@ -1,13 +1,14 @@
 """URL filtering: fixed host and path rules, then association rules mined from labels.
 
-A page's url is a set of tokens (host parts, registered-looking suffixes, first path segment, extension, query keys).
+A page's url is a set of tokens: every host label with its place from the right, the first path segment, every
+further one wherever it stands, the extension and every query key.
 Spark's FP-growth mines the token combinations of the labelled pages; a combination becomes a block rule if, of the
 labelled pages that hold it, enough are labelled bad (confidence) and it is frequent enough (support). A rule with a
 more general rule of at least its confidence is dropped. Rules match through an inverted index: a rule is filed under its rarest
-token, urls are joined on their tokens, and only there the rest of the rule is compared.
+token, urls are joined on their tokens (those that some rule holds), and only there the rest of the rule is compared.
 
 DataFrame and SQL functions only. The mining sees labelled pages; FP-growth's driver part holds the frequent single
-tokens (at most tokens per url / support). Distinct token sets are matched once, whatever the number of their urls.
+tokens (at most mean tokens per url / support). Distinct sets of rule tokens are matched once, whatever the number of their urls.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, no tokens and is allowed; repeated rows give
 repeated results; without labels no rule is mined and only fixed rules block.
@@ -19,6 +20,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from varsift.llm.storage import written
+
 #: Fixed rules (host and path, verdict).
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
          ("com/de/", "block"))
@@ -46,14 +49,15 @@ def fixed_rule(rules: tuple[tuple[str, str], ...] = RULES) -> tuple[Column, Colu
 
 
 def url_tokens(url: str = "url") -> Column:
-    """The sorted distinct tokens of ``host``, ``path`` and the query: ten at most."""
+    """The sorted distinct tokens of ``host``, ``path`` and the query, however many."""
     labels = F.split("host", r"\.")
     query = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"\?([^#]*)", 1)
-    segment = F.regexp_extract("path", r"^/([^/]+)/", 1)
-    extension = F.regexp_extract("path", r"\.([A-Za-z0-9]{1,5})$", 1)
-    keys = F.transform(F.slice(F.split(query, "&"), 1, 4), lambda x: F.concat(F.lit("query:"), F.split(x, "=").getItem(0)))
-    parts = F.transform(F.slice(F.reverse(labels), 1, 4), lambda x, i: F.concat(F.lit("host"), i.cast("string"), F.lit(":"), x))
-    several = F.concat(parts, F.array(F.concat(F.lit("first:"), segment), F.concat(F.lit("kind:"), extension)), keys)
+    segments = F.filter(F.split("path", "/"), lambda x: x != "")
+    named = F.transform(segments, lambda x, i: F.concat(F.when(i == 0, F.lit("first:")).otherwise(F.lit("path:")), x))
+    extension = F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)
+    keys = F.transform(F.split(query, "&"), lambda x: F.concat(F.lit("query:"), F.split(x, "=").getItem(0)))
+    parts = F.transform(F.reverse(labels), lambda x, i: F.concat(F.lit("host"), i.cast("string"), F.lit(":"), x))
+    several = F.concat(parts, named, F.array(F.concat(F.lit("kind:"), extension)), keys)
     return F.array_sort(F.array_distinct(F.filter(several, lambda x: ~F.endswith(x, F.lit(":")))))
 
 
@@ -83,7 +87,9 @@ def judged(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ..
     rule, verdict = fixed_rule(rules)
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("fixed"),
                        F.when(F.col("host") != "", url_tokens()).otherwise(F.array().cast("array<string>")).alias("tokens"))
-    found = mined_rules(rows.select("page_id", "tokens"), labels)
+    found = written(mined_rules(rows.select("page_id", "tokens"), labels), "rules")
+    used = [r.token for r in found.select(F.explode("tokens").alias("token")).distinct().collect()]  # frequent ones only
+    rows = rows.withColumn("tokens", F.filter("tokens", lambda x: x.isin(used)))  # others match no rule
     sets = rows.where("fixed is null and size(tokens) > 0").select("tokens").distinct()
     hits = (sets.select("tokens", F.explode("tokens").alias("rarest"))
             .join(found.withColumnRenamed("tokens", "needed"), "rarest")
