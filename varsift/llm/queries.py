@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from varsift.llm import (bpe_automaton, decontaminate, jaccard_join, perplexity_rules, pii_offsets, secret_ledger,
-                         suffix_dedup, toxicity_gru, url_rules, weak_quality)
+from varsift.llm import (bpe_automaton, decontaminate, filter_audit, jaccard_join, perplexity_rules, phrase_mining,
+                         pii_offsets, secret_ledger, suffix_dedup, token_counts, toxicity_gru, url_rules, weak_quality)
 from varsift.llm.storage import table
 
 
@@ -70,9 +70,25 @@ def op10_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_offsets.contract(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return token_counts.contract(table(spark, sf_dir, "documents"), bpe_automaton.Vocabulary.read(tokenizer_file()))
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language, over all documents."""
+    return phrase_mining.contract(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How five filters act in all orders, for the documents of each language."""
+    return filter_audit.contract(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_weak_quality, op2_suffix_dedup, op3_url_rules, op4_bpe_automaton, op5_perplexity_rules, op6_toxicity,
-    op7_jaccard_join, op8_secret_ledger, op9_decontaminate, op10_pii_offsets)}
+    op7_jaccard_join, op8_secret_ledger, op9_decontaminate, op10_pii_offsets, op11_token_counts, op12_phrase_mining,
+    op13_filter_audit)}
 
 #: Operators that DuckDB can express over whole tables; the others are tested against brute force in tests/llm.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_phrase_mining": phrase_mining.SQL, "op13_filter_audit": filter_audit.SQL}
