@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from varsift.llm import text_arrays as ta
 from varsift.llm.storage import shared_path
 
-SHARDS = 4
+SHARDS = 2
 LONGEST = 5
 LEAST = 100
 TOP = 2000
@@ -47,7 +47,10 @@ _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _WORD = ~_BREAK
 _WORD[[0x20, 0x09]] = False
-COUNTS = "lang string, phrase binary, size int, since int, n long"
+#: A counted phrase: ``name`` is the phrase, a line break and the language (words hold no line break).
+COUNTS = "name binary, since int, n long"
+_LINE = pa.scalar(b"\n", pa.large_binary())
+_GAP = pa.scalar(b" ", pa.large_binary())
 
 
 def _language_hashes(names: list[str]) -> np.ndarray:
@@ -68,20 +71,20 @@ def _slots(words: np.ndarray, size: int, slots: int) -> np.ndarray:
 
 
 class Chunk:
-    """The words of a chunk of texts, numbered exactly, with what is needed to count phrases."""
+    """The words of a chunk of texts, and the phrases that begin at them."""
 
     def __init__(self, data: np.ndarray, at: np.ndarray, language: np.ndarray, names: list[str]):
-        data = ta.LOWER[data]
+        data = np.ascontiguousarray(ta.LOWER[data])
         start, end, row = ta.word_spans(data, at, _WORD)
-        self.names, self.language = names, language[row]
+        self.words = len(start)
+        self.language = language[row]
+        self.names = pa.array([x.encode() for x in names], pa.large_binary())
         # words and gaps alternate in one Arrow array without a copy; the words are its even entries
         edges = np.empty(2 * len(start), np.int64)
         edges[::2], edges[1::2] = start, end
-        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), max(0, len(edges) - 1),
-                                                 [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
-        known = whole.take(pa.array(np.arange(0, len(edges), 2))).dictionary_encode()
-        self.spelled = known.dictionary
-        self.number = known.indices.to_numpy().astype(np.int64)
+        self.whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), max(0, len(edges) - 1),
+                                                      [None, pa.py_buffer(edges), pa.py_buffer(data)])
+        self.all: tuple[pa.Array, np.ndarray] | None = None
         self.hashes = _hashes(data, start, end, _language_hashes(names)[self.language]) if len(start) else np.zeros(0, np.uint64)
         breaks = np.append(0, np.cumsum(_BREAK[data]))
         joined = (row[1:] == row[:-1]) & (breaks[start[1:]] == breaks[end[:-1]])
@@ -89,30 +92,49 @@ class Chunk:
         last = np.flatnonzero(np.append(~joined, True)[: len(start)])
         self.left = last[np.searchsorted(last, np.arange(len(start)))] - np.arange(len(start)) + 1
 
+    def _numbered(self, places: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        known = self.whole.take(pa.array(2 * places)).dictionary_encode()
+        return known.dictionary, known.indices.to_numpy().astype(np.int64)
+
+    def _spelled(self, begin: np.ndarray, size: int) -> tuple[pa.Array, list[np.ndarray]]:
+        """The distinct words of some phrases and, for each place in the phrase, the words' numbers (exact, no hashes)."""
+        if self.all is None and 4 * size * len(begin) < self.words:
+            used = np.unique(begin[:, None] + np.arange(size))
+            words, number = self._numbered(used)
+            return words, [number[np.searchsorted(used, begin + k)] for k in range(size)]
+        if self.all is None:
+            self.all = self._numbered(np.arange(self.words))
+        return self.all[0], [self.all[1][begin + k] for k in range(size)]
+
     def counts(self, size: int, begin: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-        """Of each distinct phrase of ``size`` words that begins at a word of ``begin``: a place, the phrase, its count."""
-        number = pd.factorize(self.number[begin] * len(self.names) + self.language[begin])[0]
+        """Each distinct phrase of ``size`` words that begins at a word of ``begin``: a place, its name, its count."""
+        words, places = self._spelled(begin, size)
+        number = pd.factorize(places[0] * len(self.names) + self.language[begin])[0]
         for k in range(1, size):
-            number = pd.factorize(number * len(self.spelled) + self.number[begin + k])[0]
+            number = pd.factorize(number * len(words) + places[k])[0]
         many = int(number.max()) + 1 if len(number) else 0
         first = np.empty(many, np.int64)
-        first[number[::-1]] = begin[::-1]
-        words = [self.spelled.take(pa.array(self.number[first + k])) for k in range(size)]
-        phrase = words[0] if size == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
-        return first, phrase, np.bincount(number, minlength=many)
+        first[number[::-1]] = np.arange(len(begin))[::-1]
+        own = [words.take(pa.array(k[first])) for k in places]
+        phrase = own[0] if size == 1 else pc.binary_join_element_wise(*own, _GAP)
+        first = begin[first]
+        name = pc.binary_join_element_wise(phrase, self.names.take(pa.array(self.language[first])), _LINE)
+        return first, name, np.bincount(number, minlength=many)
 
+    def totals(self) -> tuple[pa.Array, np.ndarray]:
+        """The number of words of each language, under the empty phrase."""
+        n = np.bincount(self.language, minlength=len(self.names))
+        used = np.flatnonzero(n)
+        own = self.names.take(pa.array(used))
+        return pc.binary_join_element_wise(pa.array([b""] * len(used), pa.large_binary()), own, _LINE), n[used]
 
-def _counter(step: int, begun: np.ndarray, shards: int):
-    """A task's counting of one shard: (lang, phrase, size, since, n), phrases within their cycle only.
 
-    Rows of size 0 carry the number of all words.
-    """
+def _counter(step: int, begun: np.ndarray, shards: int):
+    """A task's counting of one shard: phrases within their cycle, and in the first cycle the words."""
 
-    def rows(chunk: Chunk, size: int, first: np.ndarray, phrase: pa.Array, since: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        names = pa.array(chunk.names, pa.string()).take(pa.array(chunk.language[first]))
-        return pa.RecordBatch.from_arrays(
-            [names, phrase.cast(pa.binary()), pa.array(np.full(len(first), size, np.int32)), pa.array(since.astype(np.int32)),
-             pa.array(n.astype(np.int64))], names=["lang", "phrase", "size", "since", "n"])
+    def rows(name: pa.Array, since: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([name.cast(pa.binary()), pa.array(since.astype(np.int32)), pa.array(n.astype(np.int64))],
+                                          names=["name", "since", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,26 +142,23 @@ def _counter(step: int, begun: np.ndarray, shards: int):
             names, language = coded.dictionary.to_pylist(), coded.indices.to_numpy()
             for own, data, at in ta.chunks(batch, "text", CHUNK):
                 chunk = Chunk(data, at, language[own], names)
-                if not len(chunk.number):
+                if not chunk.words:
                     continue
                 if step < shards:
-                    first, phrase, n = chunk.counts(1, np.arange(len(chunk.number)))
-                    yield rows(chunk, 1, first, phrase, np.zeros(len(first)), n)
-                    n = np.bincount(chunk.language, minlength=len(names))
-                    used = np.flatnonzero(n)
-                    some = np.array([int(np.argmax(chunk.language == k)) for k in used])
-                    yield rows(chunk, 0, some, pa.array([b""] * len(used), pa.binary()), np.zeros(len(used)), n[used])
+                    _, name, n = chunk.counts(1, np.arange(chunk.words))
+                    yield rows(name, np.zeros(len(n)), n)
+                    name, n = chunk.totals()
+                    yield rows(name, np.zeros(len(n)), n)
                 for size in range(2, LONGEST + 1):
                     begin = np.flatnonzero(chunk.left >= size)
                     if not len(begin):
                         break
                     known = begun[_slots(chunk.hashes, size - 1, len(begun))]
                     since = np.maximum(known[begin], known[begin + 1])
-                    active = (since <= step) & (step - since.astype(np.int64) < shards)
-                    begin, since = begin[active], since[active]
+                    begin = begin[(since <= step) & (step - since.astype(np.int64) < shards)]
                     if len(begin):
-                        first, phrase, n = chunk.counts(size, begin)
-                        yield rows(chunk, size, first, phrase, np.maximum(known[first], known[first + 1]), n)
+                        first, name, n = chunk.counts(size, begin)
+                        yield rows(name, np.maximum(known[first], known[first + 1]), n)
 
     return run
 
@@ -162,6 +181,15 @@ def _new_slots(slots: int):
     return run
 
 
+def _named(counts: DataFrame) -> DataFrame:
+    """(lang, phrase, size, n) of counted phrases; the empty phrase has size 0."""
+    rows = counts.select(F.col("name").cast("string").alias("name"), "n")
+    rows = rows.select(F.expr("substring_index(name, '\n', 1)").alias("phrase"), "name", "n")
+    size = F.when(F.col("phrase") == "", 0).otherwise(
+        F.char_length("phrase") - F.char_length(F.translate("phrase", " ", "")) + 1)
+    return rows.select(F.expr("substring(name, char_length(phrase) + 2)").alias("lang"), "phrase", size.alias("size"), "n")
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS, slots: int = SLOTS,
                      text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, phrase, size, n) of every phrase of 1 to ``LONGEST`` words found ``least`` times or more in its language;
@@ -172,34 +200,32 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS,
                        F.col(text_col).cast("string").alias("text"))
     rows.where("text <> ''").withColumn("shard", (F.monotonically_increasing_id() % shards).cast("int")).write.partitionBy(
         "shard").parquet(corpus)
-    schema = f"{COUNTS}, told boolean, finished boolean"
-    open_rows = spark.createDataFrame([], schema)
+    schema = f"{COUNTS}, finished boolean"
+    open_rows = spark.createDataFrame([], COUNTS)
     begun = np.full(slots, _NEVER, np.uint8)
     step, newest = 0, 0
+    total_row = F.substring("name", 1, 1) == F.lit(b"\n")
     while step < newest + shards:
         if step >= _NEVER:
             raise ValueError("too many shards")
         shard = spark.read.schema("lang string, text string, shard int").parquet(corpus).where(
             F.col("shard") == step % shards).select("lang", "text")
-        fresh = shard.mapInArrow(_counter(step, begun, shards), COUNTS).withColumn("told", F.lit(False))
-        both = fresh.unionByName(open_rows.select(*fresh.columns))
-        total = both.groupBy("lang", "phrase", "size", "since").agg(F.sum("n").alias("n"), F.max("told").alias("told"))
-        finished = F.col("since") + shards <= step + 1
-        total = total.withColumn("finished", finished).where((F.col("n") >= least) | (F.col("size") == 0) | ~F.col("finished"))
+        fresh = shard.mapInArrow(_counter(step, begun, shards), COUNTS)
+        total = fresh.unionByName(open_rows).groupBy("name", "since").agg(F.sum("n").alias("n"))
+        total = total.withColumn("finished", F.col("since") + shards <= step + 1)
         path = f"{states}/step-{step:03d}"
-        total.write.parquet(path)
+        total.where((F.col("n") >= least) | ~F.col("finished") | total_row).write.parquet(path)
         state = spark.read.schema(schema).parquet(path)
-        new = state.where((F.col("n") >= least) & ~F.col("told") & F.col("size").between(1, LONGEST - 1))
-        found = new.select("lang", "phrase", "size").mapInArrow(_new_slots(slots), "slot int").distinct().toArrow()["slot"].to_numpy()
+        often = _named(state.where(F.col("n") >= least)).where(F.col("size").between(1, LONGEST - 1))
+        found = often.select("lang", "phrase", "size").mapInArrow(_new_slots(slots), "slot int").distinct().toArrow()["slot"].to_numpy()
         found = found[begun[found] == _NEVER]
         step += 1
         if len(found):
             begun = begun.copy()
             begun[found] = newest = step
-        open_rows = state.where(~F.col("finished")).withColumn("told", F.col("told") | (F.col("n") >= least))
+        open_rows = state.where(~F.col("finished")).drop("finished")
     paths = [f"{states}/step-{k:03d}" for k in range(step)]
-    return spark.read.schema(schema).parquet(*paths).where("finished").select(
-        "lang", F.col("phrase").cast("string").alias("phrase"), "size", "n")
+    return _named(spark.read.schema(schema).parquet(*paths).where("finished"))
 
 
 def collocations(found: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
