@@ -72,6 +72,11 @@ def _powers(n: int, base: np.uint64) -> np.ndarray:
     return have[:n]
 
 
+def forget_powers() -> None:
+    """Drop the kept powers, after an input that was much longer than a chunk."""
+    _POWERS.clear()
+
+
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Running polynomial sums (n + 1), from which any substring's hash follows."""
     out = np.zeros(len(data) + 1, U)

@@ -5,7 +5,7 @@ beginnings. Windows of ``LENGTH``
 words, each overlapping the next, run through a GRU in both directions; attention pools the states and a logistic unit
 scores the window. A document's score is that of its highest window, so every word of every text is scored.
 
-Training is plain numpy on the driver, on a bounded sample: at most ``TRAIN_DOCS`` labelled rows of each class with
+Training is plain numpy in one task, on a bounded sample: at most ``TRAIN_DOCS`` labelled rows of each class with
 texts of at most ``TRAIN_BYTES``, by the least hash of their ids, never from the held-out fold. As a label belongs to a
 document, each round trains on the document's highest window (and, for clean documents, on others too). The vectors' first
 component starts as the log odds of the word or part in the sample.
@@ -18,6 +18,9 @@ label rows count once, toxic if any is; only id and text are read, and labels on
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from io import BytesIO
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -270,23 +273,38 @@ def _scores(net: Network, data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _sigmoid(best)
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], list[int]]:
-    """The bounded sample of labelled documents outside the held-out fold."""
+def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, toxic, text) of the bounded sample of labelled documents outside the held-out fold; of several texts
+    with one id the least."""
     marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0)
-    sizes = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text_col).alias("size")).where(f"size between 1 and {TRAIN_BYTES}")
-    marked = marked.join(sizes.select("doc_id").distinct(), "doc_id")
+    text = F.col(text_col).cast("string")
+    own = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).where(f"octet_length(text) between 1 and {TRAIN_BYTES}")
+    marked = marked.join(own.select("doc_id").distinct(), "doc_id")
     chosen = [marked.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS) for k in (0, 1)]
-    ids = chosen[0].unionByName(chosen[1]).collect()  # at most twice TRAIN_DOCS
-    spark = docs.sparkSession
-    wanted = F.broadcast(spark.createDataFrame([(r.doc_id, r.toxic) for r in ids], "doc_id long, toxic int"))
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(wanted, "doc_id")
-    rows = own.where(f"octet_length(text) between 1 and {TRAIN_BYTES}").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    return [r.text for r in rows], [r.toxic for r in rows]
+    wanted = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most twice TRAIN_DOCS
+    return own.join(wanted, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Network:
-    return train(*training_sample(docs, labels, id_col, text_col))
+    """A network trained on the sample in one task (the sample is bounded); only its parameters reach the driver."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(r["text"], r["toxic"]) for batch in batches for r in batch.to_pylist()]
+        net = train([t for t, _ in rows], [int(x) for _, x in rows])
+        ta.forget_powers()
+        parameters = BytesIO()
+        np.savez(parameters, trained=net.trained, **net.p)
+        yield pa.RecordBatch.from_arrays([pa.array([parameters.getvalue()], pa.binary())], names=["parameters"])
+
+    sample = training_sample(docs, labels, id_col, text_col).repartition(1).sortWithinPartitions("doc_id")
+    found = sample.select("text", "toxic").mapInArrow(fit, "parameters binary").first()
+    net = Network()
+    if found is not None:
+        with np.load(BytesIO(found.parameters)) as read:
+            net.trained = bool(read["trained"])
+            net.p = {k: read[k] for k in net.p}
+    return net
 
 
 def scored(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
