@@ -142,6 +142,7 @@ def _slices(short: np.ndarray, buckets: int, bits: int) -> list[tuple[int, slice
 
 def frequent_shingles(texts: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The (32-bit key, number of distinct sets) of the most frequent shingles, by key; at most FREQUENT."""
+    buckets = min(buckets, FREQUENT)
 
     def count(batches):
         def flush():
@@ -214,9 +215,10 @@ def index_lists(texts: DataFrame, buckets: int) -> DataFrame:
             order = np.argsort(keys, kind="stable")
             keys, which, pos = keys[order], which[order], pos[order]
             for k, s in _slices(keys, buckets, 40):
+                used, own = np.unique(which[s], return_inverse=True)  # a record has only the sets that its postings name
                 yield pa.RecordBatch.from_pylist([{
-                    "bucket": k, "keys": _pack(keys[s]), "which": _planes(which[s]), "pos": _planes(pos[s]),
-                    "nodes": nodes.tobytes(), "sizes": _planes(sizes)}], schema=dealt)
+                    "bucket": k, "keys": _pack(keys[s]), "which": _planes(own), "pos": _planes(pos[s]),
+                    "nodes": nodes[used].tobytes(), "sizes": _planes(sizes[used])}], schema=dealt)
 
         held, size, docs = [], 0, 0
         for h, bounds, nodes in _distinct_sets(batches):
