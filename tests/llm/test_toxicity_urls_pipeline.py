@@ -184,3 +184,32 @@ def test_pipeline_of_awkward_rows(spark, awkward, nothing):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         docs.collect()
+
+
+def test_stages_keep_columns_with_their_own_names(spark):
+    """Values of neighbouring columns named as the stages' helpers are the same before and after."""
+    from varsift.llm import jaccard_join, secret_ledger
+    from varsift.llm.storage import shared_path
+
+    names = ["_blob", "_spans", "_ID", "_h", "_g", "_key", "_text", "blob", "spans"]
+    rows = [(k, f"text number {k} with password = hunter{k}22 inside it", *[f"{n}{k}" for n in names]) for k in range(8)]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *[f"`{n}` string" for n in names]]))
+    kept = {r[0]: tuple(r) for r in jaccard_join.one_of_each(docs).collect()}
+    assert kept == {r[0]: r for r in rows}
+    masked = {r[0]: tuple(r) for r in secret_ledger.without_secrets(docs, shared_path(spark, "ledger")).collect()}
+    assert {k: v[2:] for k, v in masked.items()} == {r[0]: r[2:] for r in rows}
+    assert all("hunter" not in v[1] for v in masked.values())
+
+
+def test_string_ids_and_repeated_ids_in_training(spark):
+    bad, good = "you are a horrid stupid fool and liar", "the river runs along the old mill"
+    rows = [(f"d{k}", (bad if k % 2 else good) + f" {k}") for k in range(60)] + [("d1", "another text of one id")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{k}", k % 2) for k in range(60)], "doc_id string, toxic int")
+
+    def rows_of(frame):  # the last digits depend on which rows share a batch
+        return {(r[0], r[1], round(r[2], 4), r[3]) for r in toxicity_gru.contract(frame, labels).collect()}
+
+    first = rows_of(docs)
+    assert len(first) == 61 and first == rows_of(docs.repartition(5))
+    assert all(r[3] == (int(r[0][1:]) % 2) for r in first if r[1] and r[0] != "d1")

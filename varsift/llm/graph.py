@@ -15,7 +15,7 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     else:
         near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = near.groupBy("u").agg(F.min("v").alias("low")).withColumn("low", F.least("u", "low"))
-    hung = near.join(low, "u")
+    hung = near.join(low.hint("rebalance"), "u")  # so that a hub's neighbours can be split over tasks
     if small:
         moved = hung.select(F.col("v").alias("u"), F.col("low").alias("v")).unionByName(
             low.select("u", F.col("low").alias("v")))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from varsift.llm import text_arrays as ta
 from varsift.llm.arrow_jobs import report
 from varsift.llm.graph import components
-from varsift.llm.storage import written
+from varsift.llm.storage import unused, written
 
 SHINGLE = 5
 #: Size of the table of frequent shingles, the bound on what is sent to the driver and the executors.
@@ -443,13 +443,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                    .agg((F.count("*") > 1).alias("_many"), F.max("n_shingles").alias("_size")), "kept")
     many = F.col("_many") & (F.col("_size") > 0)
 
+    i, h, g = unused(docs, "_id", "_h", "_g")
+
     def those(wanted: DataFrame) -> DataFrame:
-        wanted = wanted.select(F.col("_key.id").alias("_id"), F.col("_key.h").alias("_h"), F.col("_key.g").alias("_g"))
-        return docs.join(wanted, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_h"))
-                         & (F.xxhash64(F.lit(1), text) == F.col("_g")), "left_semi")
+        wanted = wanted.select(F.col("_key.id").alias(i), F.col("_key.h").alias(h), F.col("_key.g").alias(g))
+        return docs.join(wanted, F.col(id_col).eqNullSafe(F.col(i)) & (F.xxhash64(text) == F.col(h))
+                         & (F.xxhash64(F.lit(1), text) == F.col(g)), "left_semi")
 
     if kept.where(many).isEmpty():
         return those(kept)
-    one = those(kept.where(many)).withColumns({"_h": F.xxhash64(text), "_g": F.xxhash64(F.lit(1), text)})
-    one = one.dropDuplicates([id_col, "_h", "_g"]).drop("_h", "_g")
+    one = those(kept.where(many)).withColumns({h: F.xxhash64(text), g: F.xxhash64(F.lit(1), text)})
+    one = one.dropDuplicates([id_col, h, g]).drop(h, g)
     return those(kept.where(~many)).unionByName(one)

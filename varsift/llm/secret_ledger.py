@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varsift.llm.arrow_jobs import strings
-from varsift.llm.storage import shared_path
+from varsift.llm.storage import shared_path, unused
 from varsift.llm.text_arrays import utf8
 
 LEDGER = "blob string, rules array<string>, spans array<struct<kind:string,start:int,end:int>>"
@@ -106,7 +106,7 @@ def findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, id_c
         F.col("s.start"), F.array_position(order, F.col("s.kind")).alias("k"), F.col("s.end"), F.col("s.kind")))).alias("x"))
     spans = spans.select("blob", F.expr("transform(x, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end))").alias("spans"))
     nothing = F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")
-    return texts.select(id_col, "blob").join(spans, "blob", "left").select(id_col, "blob", F.coalesce("spans", nothing).alias("spans"))
+    return texts.select(id_col, "blob").join(spans.hint("rebalance"), "blob", "left").select(id_col, "blob", F.coalesce("spans", nothing).alias("spans"))
 
 
 def read_ledger(spark, ledger: str) -> DataFrame:
@@ -121,8 +121,9 @@ def without_secrets(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_c
                     mask: str = "[secret]") -> DataFrame:
     """The documents with every found span replaced by ``mask``; other columns as they are."""
     found = findings(docs, ledger, id_col=id_col, text_col=text_col).where(F.size("spans") > 0).select("blob", "spans").distinct()
-    own = docs.withColumn("_blob", F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
-    own = own.join(found.withColumnsRenamed({"blob": "_blob", "spans": "_spans"}), "_blob", "left")
+    blob, spanned = unused(docs, "_blob", "_spans")
+    own = docs.withColumn(blob, F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
+    own = own.join(found.withColumnsRenamed({"blob": blob, "spans": spanned}), blob, "left")
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +138,7 @@ def without_secrets(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_c
                 columns[at] = pa.array(text, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([batch.schema.field(i) for i in range(batch.num_columns - 1)]))
 
-    return own.select(*[F.col(f"`{c}`") for c in docs.columns], "_spans").mapInArrow(run, docs.schema)
+    return own.select(*[F.col(f"`{c}`") for c in docs.columns], spanned).mapInArrow(run, docs.schema)
 
 
 def masked(text: str, spans: list[Span], mask: str) -> str:

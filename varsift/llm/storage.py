@@ -22,5 +22,13 @@ def written(frame: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """Column names that the frame does not have, made from ``names``."""
+    taken = {c.lower() for c in frame.columns}
+    while any(n.lower() in taken for n in names):
+        names = tuple(f"{n}_" for n in names)
+    return list(names)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
