@@ -199,7 +199,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS,
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
     rows.where("text <> ''").withColumn("shard", (F.monotonically_increasing_id() % shards).cast("int")).write.partitionBy(
-        "shard").parquet(corpus)
+        "shard").parquet(corpus, compression="zstd")
     schema = f"{COUNTS}, finished boolean"
     open_rows = spark.createDataFrame([], COUNTS)
     begun = np.full(slots, _NEVER, np.uint8)
@@ -214,7 +214,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS,
         total = fresh.unionByName(open_rows).groupBy("name", "since").agg(F.sum("n").alias("n"))
         total = total.withColumn("finished", F.col("since") + shards <= step + 1)
         path = f"{states}/step-{step:03d}"
-        total.where((F.col("n") >= least) | ~F.col("finished") | total_row).write.parquet(path)
+        total.where((F.col("n") >= least) | ~F.col("finished") | total_row).write.parquet(path, compression="zstd")
         state = spark.read.schema(schema).parquet(path)
         often = _named(state.where(F.col("n") >= least)).where(F.col("size").between(1, LONGEST - 1))
         found = often.select("lang", "phrase", "size").mapInArrow(_new_slots(slots), "slot int").distinct().toArrow()["slot"].to_numpy()
