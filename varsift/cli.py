@@ -61,13 +61,13 @@ def build_parser() -> argparse.ArgumentParser:
     f.add_argument("--profile", default="new", choices=["new", "old"])
     f.add_argument("--output-basename", default=DEFAULT_BASENAME)
     f.add_argument("--out", required=True, help="output directory")
-    f.add_argument("--single-file", action="store_true", help="write one part file (small results)")
+    f.add_argument("--single-file", action="store_true", help="join the part files to one file")
     f.add_argument("--explain", action="store_true", help="print the physical plan before writing")
     c = sub.add_parser("combine", help="merge the results of many runs")
     c.add_argument("paths", nargs="+", help="run outputs or glob patterns (e.g. results/*.tsv.gz)")
     c.add_argument("--sort-column", action="append", help="tie columns after chromosome and start")
     c.add_argument("--out", required=True)
-    c.add_argument("--single-file", action="store_true", help="write one part file in one task (small merges)")
+    c.add_argument("--single-file", action="store_true", help="join the part files to one file")
     return p
 
 
@@ -112,7 +112,7 @@ def run_combine(spark: SparkSession, args: argparse.Namespace) -> str:
     if not paths:
         raise SystemExit(f"no result files match {args.paths}")
     ties = ties or COMBINED_TIE_COLUMNS
-    return write_combined(combine_results(spark, paths, ties), args.out, single_file=args.single_file, tie_columns=ties)
+    return write_combined(combine_results(spark, paths, ties), args.out, single_file=args.single_file)
 
 
 def main(argv: list[str] | None = None) -> int:

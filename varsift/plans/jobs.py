@@ -24,7 +24,7 @@ def write_result(df: DataFrame, out_dir: str, studies: Sequence[str], params: Fi
     """Sort (F1, new layout) and write the result as gzip TSV under a dated name.
 
     ``tie_columns`` sort rows of one position; one that the result lacks is an error. Returns the output
-    path (a directory of part files, ordered by part number).
+    path: a directory of part files, ordered by part number, or with ``single_file`` one file joined from them.
     """
     path = f"{out_dir.rstrip('/')}/{SK.output_name(params.output_basename, studies, run_date or _today(df))}"
     if not params.profile.sorted_output:
@@ -50,17 +50,16 @@ def combine_results(spark: SparkSession, paths: Sequence[str],
                     tie_columns: Sequence[str] = COMBINED_TIE_COLUMNS) -> DataFrame:
     """Read every run's TSV (A6), row-bind by name (F3), keep chromosomes ``1..22, X, Y`` (C12,
     others become null) and order by chromosome rank, start and the tie columns, missing last (F2)."""
-    merged = RD.read_results(spark, paths).withColumn("chromosome", X.chromosome_level("chromosome"))
+    merged = RD.read_results(spark, paths, RD.ResultReadOptions(nested=False)).withColumn("chromosome", X.chromosome_level("chromosome"))
     return merged.orderBy(*R.combined_row_order(merged, tie_columns))
 
 
 def write_combined(df: DataFrame, out_dir: str, run_date: _dt.date | None = None, single_file: bool = False,
-                   tie_columns: Sequence[str] = COMBINED_TIE_COLUMNS, prefix: str = SK.COMBINED_PREFIX) -> str:
-    """Plain TSV, no quoting, nulls as ``-``, named ``<prefix><date>.tsv``: part files in global order.
+                   prefix: str = SK.COMBINED_PREFIX) -> str:
+    """Plain TSV, no quoting, nulls as ``-``, named ``<prefix><date>.tsv``: part files in the frame's order.
 
-    ``single_file`` sorts and writes everything in one task: for small merges only.
+    ``single_file`` joins the part files to one file.
     """
     path = f"{out_dir.rstrip('/')}/{SK.combined_name(run_date or _today(df), prefix)}"
-    SK.write_tsv(df, path, compression="none", single_file=single_file, quote=False,
-                 order=R.combined_row_order(df, tie_columns) if single_file else None)
+    SK.write_tsv(df, path, compression="none", single_file=single_file, quote=False)
     return path

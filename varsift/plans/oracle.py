@@ -197,6 +197,35 @@ SQL: dict[str, str] = {
     "sorted_result": _with(*FLAGSHIP_CTES) + (
         f"SELECT rank() OVER (ORDER BY {F1_ORDER}) AS result_rank, chromosome, start, study_code, family_id, "
         "is_proband, participant_id, biospecimen_id FROM res"),
+    "result_cells": _with() + (
+        f"SELECT {K}, biospecimen_id, CAST(ad0 AS VARCHAR) || '|' || CAST(ad1 AS VARCHAR) AS ad, "
+        "CAST(call0 AS VARCHAR) || '|' || CAST(call1 AS VARCHAR) AS calls, "
+        "CASE dp % 3 WHEN 0 THEN concat('Pathogenic|', filter) WHEN 1 THEN '' END AS clin_sig, "
+        "CASE WHEN dp % 4 > 0 THEN dp / 4 END AS share, CASE WHEN dp % 4 > 0 THEN 2 END AS n_shares, "
+        "CASE WHEN dp % 5 > 0 THEN CAST(dp AS BIGINT) END AS depth, CASE WHEN dp % 5 > 0 THEN filter END AS note_filter, "
+        "CAST(has_alt AS BIGINT) AS site_alternate, is_proband AS site_proband, 'array<int>' AS ad_type, 'array<int>' AS calls_type, "
+        "'array<string>' AS clin_sig_type, 'array<double>' AS shares_type, "
+        "'array<struct<depth:bigint,filter:string>>' AS notes_type, 'struct<alternate:bigint,is_proband:boolean>' AS site_type "
+        "FROM f_occ"),
+    "result_types": _with() + (
+        "SELECT run, column_name, CASE WHEN bool_and(cell IS NULL) THEN 'string' "
+        "WHEN bool_and(cell IN ('true', 'false')) THEN 'boolean' "
+        "WHEN bool_and(TRY_CAST(cell AS BIGINT) IS NOT NULL AND NOT contains(cell, '.')) FILTER (cell IS NOT NULL) THEN 'bigint' "
+        "WHEN bool_and(TRY_CAST(cell AS DOUBLE) IS NOT NULL AND NOT contains(cell, '.')) FILTER (cell IS NOT NULL) "
+        "THEN 'decimal(38,0)' WHEN bool_and(TRY_CAST(cell AS DOUBLE) IS NOT NULL) FILTER (cell IS NOT NULL) THEN 'double' ELSE 'string' END AS type "
+        "FROM (SELECT unnest([run, 'all']) AS run, c.column_name AS column_name, c.cell AS cell FROM (SELECT run, unnest(["
+        "{'column_name': 'sample', 'cell': biospecimen_id}, "
+        "{'column_name': 'depth', 'cell': CASE run WHEN 'two' THEN CAST(dp / 8 AS VARCHAR) ELSE CAST(dp AS VARCHAR) END}, "
+        "{'column_name': 'level', 'cell': CASE run WHEN 'three' THEN NULL ELSE CAST(dp / 8 AS VARCHAR) END}, "
+        "{'column_name': 'large', 'cell': CASE run WHEN 'three' THEN CAST(dp AS VARCHAR) "
+        "ELSE concat(CAST(dp AS VARCHAR), repeat('0', 20)) END}, "
+        "{'column_name': 'carrier', 'cell': CASE run WHEN 'three' THEN CAST(dp AS VARCHAR) ELSE CAST(is_proband AS VARCHAR) END}, "
+        "{'column_name': 'empty', 'cell': NULL}, {'column_name': 'filter', 'cell': filter}]) AS c "
+        "FROM (SELECT *, unnest(CASE WHEN study_id = 'SD_A' THEN ['one'] ELSE ['two', 'three'] END) AS run FROM f_occ))) "
+        "GROUP BY run, column_name"),
+    "single_file_result": _with(OCC, CARRIERS) + (
+        f"SELECT rank() OVER (ORDER BY {F1_ORDER.replace('study_code', 'study_id')}) AS result_rank, {K}, participant_id, "
+        "biospecimen_id, study_id, family_id, is_proband FROM carriers"),
     "join_consequence_variant": _with(CSQ, _vrt("vrt", _has("study", "SD_A"))) + (
         f"SELECT {_k('c')}, c.consequence, c.vep_impact, c.symbol, c.ensembl_gene_id, c.refseq_mrna_id, c.hgvsc, "
         "c.hgvsp, v.topmed_bravo_af, v.gnomad_genomes_2_1_1_af, v.gnomad_exomes_2_1_1_af, v.gnomad_genomes_3_af, "

@@ -73,11 +73,12 @@ def _ranked_as_written(spark: SparkSession, path: str, options: RD.ResultReadOpt
     """A written result with each row's place in the files turned into a rank: the place of the first row
     that has its sort key. Equal to SQL's rank() only if the files hold the rows in order.
 
-    Places are counted within each part file and shifted by the sizes of the files before it.
+    Places are counted within each split of a file and shifted by the sizes of the splits before it.
     """
-    rows = RD.read_result(spark, path, options).withColumn("__file", F.input_file_name()).withColumn(
+    split = F.concat_ws(":", F.input_file_name(), F.lpad(F.input_file_block_start().cast("string"), 20, "0"))
+    rows = RD.read_result(spark, path, options).withColumn("__file", split).withColumn(
         "__at", F.monotonically_increasing_id())
-    sizes = rows.groupBy("__file").count().orderBy("__file").collect()  # one row for each part file
+    sizes = rows.groupBy("__file").count().orderBy("__file").collect()  # one row for each split
     before, total = [], 0
     for r in sizes:
         before.append((r["__file"], total))
@@ -225,6 +226,61 @@ def q_result_round_trip(spark, sf_dir):
     return RD.read_result(spark, path)
 
 
+def q_result_cells(spark, sf_dir):
+    """A6 + A7 + D8: array and struct cells of every genotype row written and read back: known columns by their types,
+    others by the schema that all cells of the column allow."""
+    t = _tables(spark, sf_dir)
+    rows = t.occurrences.select(
+        *KEY, "biospecimen_id", "ad", "calls", F.when(F.col("dp") % 3 == 0, F.array(F.lit("Pathogenic"), F.col("filter")))
+        .when(F.col("dp") % 3 == 1, F.array().cast("array<string>")).alias("clin_sig"),
+        F.when(F.col("dp") % 4 > 0, F.array((F.col("dp") / 4), F.lit(None).cast("double"))).alias("shares"),
+        F.when(F.col("dp") % 5 > 0, F.array(F.struct(F.col("dp").alias("depth"), F.col("filter")))).alias("notes"),
+        F.struct(F.col("has_alt").alias("alternate"), F.col("is_proband")).alias("site"))
+    path = _scratch(spark, "cells")
+    write_tsv(rows, path)
+    back = RD.read_typed_results(spark, [path])
+    kinds = [F.lit(back.schema[c].dataType.simpleString()).alias(f"{c}_type") for c in ("ad", "calls", "clin_sig", "shares", "notes", "site")]
+    note = F.col("notes")[0]
+    return render(back.select(
+        *KEY, "biospecimen_id", "ad", "calls", "clin_sig", F.try_element_at("shares", F.lit(1)).alias("share"),
+        F.size("shares").alias("n_shares"), note["depth"].alias("depth"), note["filter"].alias("note_filter"),
+        F.col("site.alternate").alias("site_alternate"), F.col("site.is_proband").alias("site_proband"), *kinds))
+
+
+def q_result_types(spark, sf_dir):
+    """The types guessed for the columns of three runs' files, for each run and for all of them together, from every
+    genotype row (the runs disagree: whole numbers, fractions, more than 64 bits, true/false, text, nothing)."""
+    t = _tables(spark, sf_dir)
+    dp = F.col("dp").cast("long")
+    rows = t.occurrences.select("study_id", F.concat("biospecimen_id", F.lit("")).alias("sample"), dp.alias("depth"),
+                                (dp / 8).alias("level"), F.concat(dp.cast("string"), F.lit("0" * 20)).alias("large"),
+                                F.col("is_proband").alias("carrier"), F.lit(None).cast("string").alias("empty"), "filter")
+    out = _scratch(spark, "typed")
+    first = rows.where("study_id = 'SD_A'").drop("study_id")
+    second = rows.where("study_id <> 'SD_A'").drop("study_id")
+    write_tsv(first, f"{out}/one")
+    write_tsv(second.withColumn("depth", F.col("level")).withColumn("carrier", F.col("carrier").cast("string")), f"{out}/two")
+    write_tsv(second.withColumn("large", F.col("depth")).withColumn("carrier", F.col("depth")).drop("level"), f"{out}/three")
+    paths = [f"{out}/{n}" for n in ("one", "two", "three")]
+    merged, runs = RD.guess_result_types(spark, paths)
+    found = [("all", c, k.simpleString()) for c, k in merged.items()]
+    found += [(p.rsplit("/", 1)[-1], c, k.simpleString()) for p, own in runs.items() for c, k in own.items()]
+    return spark.createDataFrame(found, "run string, column_name string, type string")
+
+
+def q_single_file_result(spark, sf_dir):
+    """A8 + F1: every credible carrier sorted by all tasks and joined to one plain TSV file, read back; the rank column
+    is each row's place in that file."""
+    t = _tables(spark, sf_dir)
+    rows = O.credible_carriers(t.occurrences, PARAMS.aaf).select(
+        *KEY, "participant_id", "biospecimen_id", "study_id", "family_id", "is_proband")
+    ties = ("study_id", "family_id", "is_proband")
+    path = f"{_scratch(spark, 'single')}/carriers.tsv"
+    write_tsv(rows, path, compression="none", quote=False, single_file=True, order=R.result_row_order(rows, ties))
+    ranked = _ranked_as_written(spark, path, RD.ResultReadOptions(quote=""), R.result_keys(ties), "result_rank")
+    return ranked.select("result_rank", *KEY, "participant_id", "biospecimen_id", "study_id", "family_id", "is_proband")
+
+
 def q_join_consequence_variant(spark, sf_dir):
     """J1 (+ D5): gene consequences x the study's variants."""
     plan = _flagship(_tables(spark, sf_dir))
@@ -382,6 +438,9 @@ QUERIES: dict[str, Query] = {
     "study_from_path": q_study_from_path,
     "sorted_result": q_sorted_result,
     "result_round_trip": q_result_round_trip,
+    "result_cells": q_result_cells,
+    "result_types": q_result_types,
+    "single_file_result": q_single_file_result,
     "join_consequence_variant": q_join_consequence_variant,
     "join_damage_left": q_join_damage_left,
     "clinvar_seen": q_clinvar_seen,

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from varsift.functions import expressions as X
 from varsift.operators.ordering import union_by_name
+from varsift.sources.inference import guess_types, is_nested, parsed_json
 
 # Gene lists are small user parameters; longer lists are applied as a semi-join instead of IN.
 MAX_LITERAL_GENES = 20_000
@@ -94,7 +95,10 @@ def read_study_partitions(spark: SparkSession, parent: str, studies: Sequence[st
                           for root, paths in sorted(roots.items())])
 
 
-# Types of result columns written by the filter; any other column is read as text.
+_CALLS = T.ArrayType(T.IntegerType())
+_TEXTS = T.ArrayType(T.StringType())
+
+# Types of result columns written by the filter; any other column is read as text, or guessed (read_typed_results).
 RESULT_TYPES: dict[str, T.DataType] = {
     "start": T.LongType(),
     "dp": T.IntegerType(),
@@ -107,6 +111,13 @@ RESULT_TYPES: dict[str, T.DataType] = {
     "is_lo_conf_denovo": T.BooleanType(),
     "is_hi_conf_denovo": T.BooleanType(),
     "is_proband": T.BooleanType(),
+    "ad": _CALLS,
+    "calls": _CALLS,
+    "adjusted_calls": _CALLS,
+    "clin_sig": _TEXTS,
+    "diagnoses_combined": _TEXTS,
+    "phenotypes_combined": _TEXTS,
+    "hpos_combined": _TEXTS,
 }
 
 
@@ -122,6 +133,8 @@ def _parsed(column: str, kind: T.DataType, null_value: str):
     Text that is no such value fails the read: a result is never changed to null silently.
     """
     text = F.nullif(_cell(column, null_value), F.lit(""))
+    if is_nested(kind):
+        return parsed_json(text, kind, column)
     value = text.try_cast(kind)
     if isinstance(kind, T.IntegralType):
         number = text.try_cast(T.DecimalType(38, 10))
@@ -130,21 +143,30 @@ def _parsed(column: str, kind: T.DataType, null_value: str):
     return F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast(kind)).otherwise(value)
 
 
-def _typed(df: DataFrame, null_value: str) -> DataFrame:
+def _known_type(column: str) -> T.DataType | None:
+    return RESULT_TYPES.get(column) or (T.DoubleType() if column.endswith("_af") else None)
+
+
+def _typed(df: DataFrame, options: ResultReadOptions, guessed: dict[str, T.DataType] | None = None) -> DataFrame:
     out = []
     for c in df.columns:
-        t = RESULT_TYPES.get(c) or (T.DoubleType() if c.endswith("_af") else None)
-        out.append((_cell(c, null_value) if t is None else _parsed(c, t, null_value)).alias(c))
+        t = _known_type(c) or (guessed or {}).get(c)
+        if t is None or isinstance(t, T.StringType) or (is_nested(t) and not options.nested):
+            out.append(_cell(c, options.null_value).alias(c))
+        else:
+            out.append(_parsed(c, t, options.null_value).alias(c))
     return df.select(*out)
 
 
 @dataclass(frozen=True)
 class ResultReadOptions:
-    """``quote=""`` reads unquoted files (A8); quoted cells may hold line breaks."""
+    """``quote=""`` reads unquoted files (A8); quoted cells may hold line breaks. ``nested=False`` keeps array and
+    struct cells as their JSON text (a merge writes them back as they are)."""
 
     sep: str = "\t"
     null_value: str = "-"
     quote: str = '"'
+    nested: bool = True
 
 
 def _result_reader(spark: SparkSession, options: ResultReadOptions):
@@ -156,10 +178,10 @@ def _result_reader(spark: SparkSession, options: ResultReadOptions):
 def read_result(spark: SparkSession, path: str, options: ResultReadOptions = ResultReadOptions()) -> DataFrame:
     """A6 for one run's output (a file or a directory of part files): header row, ``-`` is null.
 
-    Columns are read as text and known result columns are cast to their types, so no extra
-    schema-inference pass over the data is made.
+    Columns are read as text and known result columns are cast to their types (array cells from their JSON text), so
+    no extra schema-inference pass over the data is made; ``read_typed_results`` guesses the others.
     """
-    return _typed(_result_reader(spark, options).csv(path), options.null_value)
+    return _typed(_result_reader(spark, options).csv(path), options)
 
 
 def read_results(spark: SparkSession, paths: Sequence[str], options: ResultReadOptions = ResultReadOptions()
@@ -169,11 +191,45 @@ def read_results(spark: SparkSession, paths: Sequence[str], options: ResultReadO
     Runs are grouped by their header (read from each run's first line), and each group is read
     with one reader, so the union has one branch per distinct column layout rather than per run.
     """
+    return union_by_name([_typed(df, options) for df in _by_header(spark, paths, options)])
+
+
+def _by_header(spark: SparkSession, paths: Sequence[str], options: ResultReadOptions) -> list[DataFrame]:
+    """The runs' text cells, one frame for each distinct header."""
     groups: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
         header = tuple(_result_reader(spark, options).csv(p).columns)
         groups.setdefault(header, []).append(p)
-    return union_by_name([_typed(_result_reader(spark, options).csv(list(ps)), options.null_value) for ps in groups.values()])
+    return [_result_reader(spark, options).csv(list(ps)) for ps in groups.values()]
+
+
+def _run_of(paths: Sequence[str]):
+    """The run that a row was read from: its file, or the folder of its part file."""
+    own = {p.split("://", 1)[-1].split(":", 1)[-1].strip("/"): p for p in paths}
+    runs = F.map_from_arrays(F.array(*map(F.lit, own)), F.array(*map(F.lit, own.values())))
+    file = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
+    file = F.regexp_replace(file, "^[A-Za-z0-9+.-]+:/+", "")
+    return F.coalesce(F.try_element_at(runs, file), F.try_element_at(runs, F.regexp_replace(file, "/[^/]*$", "")))
+
+
+def guess_result_types(spark: SparkSession, paths: Sequence[str], options: ResultReadOptions = ResultReadOptions()
+                       ) -> tuple[dict[str, T.DataType], dict[str, dict[str, T.DataType]]]:
+    """The types of all columns that the library does not know (R's per-file guess): over all runs, and for each run.
+
+    One pass over the cells of all runs; a column that a run lacks says nothing about its type there.
+    """
+    cells = union_by_name([df.withColumn("__run", _run_of(paths)) for df in _by_header(spark, paths, options)])
+    columns = [c for c in cells.columns if c != "__run" and _known_type(c) is None]
+    shown = cells.select("__run", *[_cell(c, options.null_value).alias(c) for c in columns])
+    return guess_types(shown, columns, F.col("__run"))
+
+
+def read_typed_results(spark: SparkSession, paths: Sequence[str], options: ResultReadOptions = ResultReadOptions()
+                       ) -> DataFrame:
+    """A6 + F3 for result files of any origin: known columns by their types, all others by the type that the cells of
+    all runs allow (a column that is a number in one run and text in another is text)."""
+    guessed, _ = guess_result_types(spark, paths, options)
+    return union_by_name([_typed(df, options, guessed) for df in _by_header(spark, paths, options)])
 
 
 def expand_result_paths(spark: SparkSession, patterns: Sequence[str]) -> list[str]:

@@ -8,9 +8,12 @@ passes through the driver.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors.exceptions.captured import CapturedException
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,21 +51,75 @@ def write_tsv(df: DataFrame, path: str, compression: str = "gzip", single_file:
     """A7 (gzip) / A8 (``compression='none'``, ``quote=False``): header, tab separated, nulls as ``-``.
 
     With ``order`` the rows are written as range-ordered part files (``part-00000`` first); without it
-    the frame's own order is kept. ``single_file`` writes one part file, sorted in its one task: for
-    small results only. A text that is just ``-`` reads back as null.
+    the frame's own order is kept. ``single_file`` joins these part files to one file at ``path``: all tasks write, and
+    the file system puts the parts together (see ``join_files``). A text that is just ``-`` reads back as null.
     """
-    out = df
-    if single_file:
-        out = out.repartition(1)
-        out = out.sortWithinPartitions(*order) if order else out
-    elif order:
-        out = out.orderBy(*order)
-    out = printable(out)
-    writer = (out.write.mode(mode).option("sep", SEPARATOR).option("header", True)
+    out = printable(df.orderBy(*order) if order else df)
+    if not single_file:
+        _writer(out, compression, quote, header=True).mode(mode).csv(path)
+        return
+    spark = df.sparkSession
+    fs, target = _file_system(spark, path)
+    if fs.exists(target):
+        if mode != "overwrite":
+            raise FileExistsError(path)
+        fs.delete(target, True)
+    staging = f"{path.rstrip('/')}.parts-{uuid.uuid4().hex}"
+    names = spark.createDataFrame([tuple(out.columns)], ", ".join(f"c{k} string" for k in range(len(out.columns))))
+    try:
+        # the header is a file of its own, so that no part has one
+        _writer(names.coalesce(1), compression, quote, header=False).csv(f"{staging}/header")
+        _writer(out, compression, quote, header=False).csv(f"{staging}/rows")
+        join_files(spark, path, part_files(spark, f"{staging}/header") + part_files(spark, f"{staging}/rows"))
+    finally:
+        fs.delete(_file_system(spark, staging)[1], True)
+
+
+def _writer(out: DataFrame, compression: str, quote: bool, header: bool) -> DataFrameWriter:
+    writer = (out.write.option("sep", SEPARATOR).option("header", header)
               .option("nullValue", NULL_TEXT).option("emptyValue", "").option("compression", compression))
     if quote:
         # RFC 4180 quoting (inner quotes doubled), as pandas and R read it.
-        writer = writer.option("quote", '"').option("escape", '"')
+        return writer.option("quote", '"').option("escape", '"')
+    return writer.option("quote", "").option("escape", "")
+
+
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of Spark's own file layer."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(sc._jsc.hadoopConfiguration()), where
+
+
+def part_files(spark: SparkSession, folder: str) -> list[str]:
+    """The part files of a written folder, by part number (names only; no contents are read)."""
+    fs, where = _file_system(spark, folder)
+    found = [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(where) if s.getLen() > 0]
+    return [path for name, path in sorted(found) if name.startswith("part-")]
+
+
+def join_files(spark: SparkSession, path: str, parts: Sequence[str]) -> None:
+    """One file from ordered parts, by the file system's own concatenation; the parts may be used up.
+
+    On HDFS this only relinks blocks. Gzip parts stay members of one gzip file, which readers take as one text. A
+    file system that cannot join files (most object stores) is an error: use ordered part files there.
+    """
+    fs, target = _file_system(spark, path)
+    sc = spark.sparkContext
+    jvm_path = sc._jvm.org.apache.hadoop.fs.Path
+    files = [jvm_path(p) for p in parts]
+    if "Local" in fs.getClass().getSimpleName():
+        # the plain local layer writes the sources one after the other to the target
+        fs, rest = fs.getRawFileSystem(), files
     else:
-        writer = writer.option("quote", "").option("escape", "")
-    writer.csv(path)
+        fs.rename(files[0], target)
+        rest = files[1:]
+    if not rest:
+        return
+    array = sc._gateway.new_array(jvm_path, len(rest))
+    for k, file in enumerate(rest):
+        array[k] = file
+    try:
+        fs.concat(target, array)
+    except (Py4JJavaError, CapturedException) as e:
+        raise OSError(f"the file system of {path!r} cannot join part files; write ordered part files instead") from e
