@@ -115,6 +115,8 @@ class FilterParams:
     # genome regions (chromosome, start // region_bin_size) of the flagged variants. Coordinates
     # bound the number of regions (~310k for a 3.1 Gb genome at 10 kb); it is measured as well.
     region_bin_size: int = 10_000
+    # Above the broadcast bounds, variant keys with this many rows are spread over tasks in the annotation joins.
+    heavy_key_rows: int = 1_000_000
     # Restrict the annotation tables to the variant keys of the listed genes before joining.
     key_reduction: bool = True
     output_basename: str = DEFAULT_BASENAME

@@ -23,7 +23,7 @@ broadcast; above ``FilterParams.broadcast_max_keys`` / ``broadcast_max_rows`` th
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -36,6 +36,7 @@ from varsift.operators import flags as FL
 from varsift.operators import occurrences as O
 from varsift.operators.annotations import KEY, GeneSet
 from varsift.operators.sizing import Measured, measure, skew_splittable
+from varsift.operators.skew import heavy_keys
 from varsift.params import FilterParams
 
 log = logging.getLogger(__name__)
@@ -48,31 +49,32 @@ class VariantTables:
     consequences: DataFrame
     variants: DataFrame
     dbnsfp: DataFrame
-    occurrences: DataFrame
-    diagnoses: DataFrame
-    phenotypes: DataFrame
+    occurrences: DataFrame | None = None
+    diagnoses: DataFrame | None = None
+    phenotypes: DataFrame | None = None
     clinvar: DataFrame | None = None
     hgmd: DataFrame | None = None
     studies: DataFrame | None = None
 
-    def validate(self, params: FilterParams) -> None:
-        missing = [name for name in ("consequences", "variants", "dbnsfp", "occurrences", "diagnoses", "phenotypes")
-                   if getattr(self, name) is None]
+    def validate(self, params: FilterParams, annotations_only: bool = False) -> None:
+        needed = ["consequences", "variants", "dbnsfp"]
+        if not annotations_only:
+            needed += ["occurrences", "diagnoses", "phenotypes"]
+        missing = [name for name in needed if getattr(self, name) is None]
         if params.use_clinvar and self.clinvar is None:
             missing.append("clinvar")
         if params.use_hgmd and self.hgmd is None:
             missing.append("hgmd")
-        if params.profile.has_studies_table and self.studies is None:
+        if params.profile.has_studies_table and self.studies is None and not annotations_only:
             missing.append("studies")
         if missing:
             raise ValueError(f"missing input tables: {', '.join(missing)}")
 
 
 @dataclass
-class GeneFilterPlan:
-    """The result plan plus the intermediate frames (for inspection and reuse)."""
+class AnnotationPlan:
+    """J1-J6 with the flags: the candidate variants of the genes, without genotypes or participants."""
 
-    result: DataFrame
     gene_consequences: DataFrame
     study_variants: DataFrame
     gene_variants: DataFrame
@@ -80,10 +82,10 @@ class GeneFilterPlan:
     clinvar_seen: DataFrame | None
     hgmd_seen: DataFrame | None
     candidates: DataFrame
-    flagged: DataFrame
-    carriers: DataFrame
     measured: list[Measured]
     cached: list[DataFrame]
+    measured_consequences: Measured | None
+    on_gene_chromosomes: Callable[[DataFrame], DataFrame]
 
     def release(self) -> None:
         """Drop everything the plan has cached."""
@@ -100,6 +102,15 @@ class GeneFilterPlan:
             self.release()
 
 
+@dataclass
+class GeneFilterPlan(AnnotationPlan):
+    """The result plan plus the intermediate frames (for inspection and reuse)."""
+
+    flagged: DataFrame
+    carriers: DataFrame
+    result: DataFrame
+
+
 def output_columns(params: FilterParams) -> list[str]:
     """Output column order of the original (USING-style joins move keys to the front)."""
     prof = params.profile
@@ -117,10 +128,11 @@ def output_columns(params: FilterParams) -> list[str]:
     return cols
 
 
-def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | GeneSet, studies: Sequence[str],
-                     params: FilterParams = FilterParams(), restrict_occurrences_to_studies: bool = False
-                     ) -> GeneFilterPlan:
-    tables.validate(params)
+def plan_annotations(tables: VariantTables, genes: Sequence[str] | DataFrame | GeneSet, studies: Sequence[str],
+                     params: FilterParams = FilterParams()) -> AnnotationPlan:
+    """The candidates of the genes with their annotations and flags (J1-J6); the genotype and participant tables are
+    neither needed nor read."""
+    tables.validate(params, annotations_only=True)
     prof = params.profile
     gene_set = genes if isinstance(genes, GeneSet) else GeneSet(genes)
     studies = list(studies)
@@ -163,34 +175,53 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
         # Read once, used by J1, J3 and J4.
         variants = variants.persist(StorageLevel.MEMORY_AND_DISK)
     csq_side = measured_csq.side(csq, params.broadcast_max_rows) if measured_csq is not None else csq
-    gene_variants = FL.gene_variants(csq_side, variants)
+    heavy: list[int] = []
+    if measured_csq is not None and not measured_csq.fits(params.broadcast_max_rows):
+        # Shuffle joins on the cached variants, which AQE cannot split: a key of very many variant rows is salted.
+        heavy = heavy_keys(variants, KEY, params.heavy_key_rows)
+        log.info("heavy variant keys: %d", len(heavy))
+    gene_variants = FL.gene_variants(csq_side, variants, heavy)
 
     damage = A.damage_predictions(reduce_to_genes(tables.dbnsfp))
-    candidates = annotated = FL.annotate_candidates(gene_variants, damage, params.maf, params.dpc_l, params.dpc_u)
+    candidates = annotated = FL.annotate_candidates(gene_variants, damage, params.maf, params.dpc_l, params.dpc_u,
+                                                       heavy)
     clinvar_seen = hgmd_seen = None
     if params.use_clinvar:
         clinvar = A.clinvar_candidates(reduce_to_genes(tables.clinvar), gene_set, params.clinvar_significance)
         clinvar_seen = A.seen_in_variants(clinvar, variants)
-        candidates = FL.override_with_clinvar(candidates, clinvar_seen)
+        candidates = FL.override_with_clinvar(candidates, clinvar_seen, heavy)
     if params.use_hgmd:
         hgmd = A.hgmd_candidates(reduce_to_genes(tables.hgmd), gene_set)
         hgmd_seen = A.seen_in_variants(hgmd, variants)
-        candidates = FL.override_with_hgmd(candidates, hgmd_seen)
-    flagged = FL.keep_flagged(candidates)
+        candidates = FL.override_with_hgmd(candidates, hgmd_seen, heavy)
+    return AnnotationPlan(csq, variants, gene_variants, annotated, clinvar_seen, hgmd_seen, candidates,
+                          [m for m in (measured_csq, *extra) if m is not None],
+                          [variants] if params.key_reduction else [], measured_csq, on_gene_chromosomes)
 
-    measured_flagged = None
-    if params.key_reduction:
-        # The flagged rows are measured too: their exact count bounds the build side of J7.
-        measured_flagged = measure(flagged, params.broadcast_max_rows, params.broadcast_max_bytes)
-        flagged = measured_flagged.df
-        log.info("flagged variant rows: %d; genotype join %s", measured_flagged.rows,
-                 "broadcast" if measured_flagged.fits() else "shuffled")
-    joined, result = attach_carriers(on_gene_chromosomes(tables.occurrences), flagged, tables, params,
-                                     measured_flagged, measured_csq,
-                                     studies if restrict_occurrences_to_studies else None, measured_out=extra)
-    return GeneFilterPlan(result, csq, variants, gene_variants, annotated, clinvar_seen, hgmd_seen, candidates, flagged,
-                          joined, [m for m in (measured_csq, measured_flagged) if m is not None] + extra,
-                          [variants] if params.key_reduction else [])
+
+def measured_flagged(plan: AnnotationPlan, params: FilterParams) -> tuple[DataFrame, Measured | None]:
+    """The flagged candidates, measured (their exact count bounds the build side of J7)."""
+    flagged = FL.keep_flagged(plan.candidates)
+    if not params.key_reduction:
+        return flagged, None
+    measured = measure(flagged, params.broadcast_max_rows, params.broadcast_max_bytes)
+    log.info("flagged variant rows: %d; genotype join %s", measured.rows, "broadcast" if measured.fits() else "shuffled")
+    plan.measured.insert(1, measured)
+    return measured.df, measured
+
+
+def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | GeneSet, studies: Sequence[str],
+                     params: FilterParams = FilterParams(), restrict_occurrences_to_studies: bool = False
+                     ) -> GeneFilterPlan:
+    """The whole filter: ``plan_annotations``, then carriers and participants of the flagged variants."""
+    tables.validate(params)
+    studies = list(studies)
+    base = plan_annotations(tables, genes, studies, params)
+    flagged, measured = measured_flagged(base, params)
+    joined, result = attach_carriers(base.on_gene_chromosomes(tables.occurrences), flagged, tables, params,
+                                     measured, base.measured_consequences,
+                                     studies if restrict_occurrences_to_studies else None, measured_out=base.measured)
+    return GeneFilterPlan(**vars(base), flagged=flagged, carriers=joined, result=result)
 
 
 def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantTables, params: FilterParams,

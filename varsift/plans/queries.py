@@ -23,7 +23,7 @@ from varsift.operators import ordering as R
 from varsift.operators.annotations import KEY, GeneSet
 from varsift.params import CLINVAR_SIGNIFICANCE_WITH_VUS, FilterParams
 from varsift.plans.fixtures import FLAGSHIP_GENES, FLAGSHIP_STUDIES, MappedTables, mapped_tables
-from varsift.plans.gene_filter import GeneFilterPlan, VariantTables, plan_gene_filter
+from varsift.plans.gene_filter import AnnotationPlan, GeneFilterPlan, VariantTables, plan_annotations, plan_gene_filter
 from varsift.plans.jobs import combine_results, write_combined, write_result
 from varsift.session import ensure_checkpoint_dir
 from varsift.sources import readers as RD
@@ -55,14 +55,14 @@ def _gene_consequences(t: MappedTables) -> DataFrame:
     return A.canonical_consequences(t.consequences, GENES, STUDIES)
 
 
-def _study_variants(t: MappedTables) -> DataFrame:
-    return A.variant_frequencies(t.variants, STUDIES)
-
-
 def _flagship(t: MappedTables, **params) -> GeneFilterPlan:
     return plan_gene_filter(_variant_tables(t), GENES, STUDIES, FilterParams(**params) if params else PARAMS)
 
 
+def _annotations(t: MappedTables, **params) -> AnnotationPlan:
+    return plan_annotations(_variant_tables(t), GENES, STUDIES, FilterParams(**params) if params else PARAMS)
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     """A new folder for a query's files, in the session's shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -283,32 +283,32 @@ def q_single_file_result(spark, sf_dir):
 
 def q_join_consequence_variant(spark, sf_dir):
     """J1 (+ D5): gene consequences x the study's variants."""
-    plan = _flagship(_tables(spark, sf_dir))
+    plan = _annotations(_tables(spark, sf_dir))
     return plan.detached(render(plan.gene_variants))
 
 
 def q_join_damage_left(spark, sf_dir):
     """J2 + C1 + C8: left join of damage predictions and the rarity flag."""
-    plan = _flagship(_tables(spark, sf_dir))
+    plan = _annotations(_tables(spark, sf_dir))
     return plan.detached(plan.annotated.select(*KEY, "max_gnomad_topmed", *A.DAMAGE_COLUMNS, "flag"))
 
 
 def q_clinvar_seen(spark, sf_dir):
     """J3 + B5 + B6 + C4: ClinVar records of the genes seen in the study's variants."""
-    t = _tables(spark, sf_dir)
-    return render(A.seen_in_variants(A.clinvar_candidates(t.clinvar, GENES), _study_variants(t)))
+    plan = _annotations(_tables(spark, sf_dir))
+    return plan.detached(render(plan.clinvar_seen))
 
 
 def q_hgmd_seen(spark, sf_dir):
     """J4 + B8 + C4: HGMD records of the genes seen in the study's variants."""
-    t = _tables(spark, sf_dir)
-    return A.seen_in_variants(A.hgmd_candidates(t.hgmd, GENES), _study_variants(t))
+    plan = _annotations(_tables(spark, sf_dir))
+    return plan.detached(render(plan.hgmd_seen))
 
 
 def q_clinvar_seen_with_vus(spark, sf_dir):
     """As clinvar_seen, with uncertain significance counted as known."""
-    t = _tables(spark, sf_dir)
-    return render(A.seen_in_variants(A.clinvar_candidates(t.clinvar, GENES, CLINVAR_SIGNIFICANCE_WITH_VUS), _study_variants(t)))
+    plan = _annotations(_tables(spark, sf_dir), clinvar_significance=CLINVAR_SIGNIFICANCE_WITH_VUS)
+    return plan.detached(render(plan.clinvar_seen))
 
 
 def q_rare_damaging_flag(spark, sf_dir):
@@ -321,7 +321,7 @@ def q_rare_damaging_flag(spark, sf_dir):
 
 def q_known_variant_override(spark, sf_dir):
     """J5 + J6 + C9 + B15: flags after the ClinVar and HGMD overrides."""
-    plan = _flagship(_tables(spark, sf_dir))
+    plan = _annotations(_tables(spark, sf_dir))
     return plan.detached(plan.candidates.select(*KEY, "VariationID", "HGMDID", "flag"))
 
 

@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from varsift.operators import annotations as A
 from varsift.operators import clinical as C
 from varsift.operators.annotations import GeneSet
 from varsift.params import FilterParams
-from varsift.plans.gene_filter import GeneFilterPlan, VariantTables, attach_carriers, plan_gene_filter
+from varsift.plans.gene_filter import AnnotationPlan, VariantTables, attach_carriers, measured_flagged, plan_annotations
 
 
 @dataclass
@@ -22,7 +21,7 @@ class CarrierStream:
     """The streaming result plus the batch plan whose cached parts it reads."""
 
     result: DataFrame
-    batch_plan: GeneFilterPlan
+    batch_plan: AnnotationPlan
     static_frames: list[DataFrame]
 
     def release(self) -> None:
@@ -40,7 +39,8 @@ def carrier_stream(spark: SparkSession, tables: VariantTables, genes: Sequence[s
     flagged rows are measured and cached, so the per-batch join is a broadcast join when small),
     and the per-participant lists are aggregated once and cached for the life of the stream.
     """
-    batch = plan_gene_filter(tables, genes, studies, params)
+    batch = plan_annotations(tables, genes, studies, params)
+    flagged, measured = measured_flagged(batch, params)
     prof = params.profile
     lists = C.clinical_lists(tables.diagnoses, tables.phenotypes,
                              tables.studies if prof.has_studies_table else None, prof.clinical_layout)
@@ -49,11 +49,8 @@ def carrier_stream(spark: SparkSession, tables: VariantTables, genes: Sequence[s
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     occurrences = reader.parquet(occurrences_dir)
-    if params.key_reduction:
-        occurrences = A.chromosome_filter(batch.gene_consequences, params.max_literal_chromosomes)(occurrences)
-    measured_csq, measured_flagged = (batch.measured + [None, None])[:2]
-    _, result = attach_carriers(occurrences, batch.flagged, tables, params, measured_flagged, measured_csq,
-                                lists=lists, measured_out=batch.measured)
+    _, result = attach_carriers(batch.on_gene_chromosomes(occurrences), flagged, tables, params, measured,
+                                batch.measured_consequences, lists=lists, measured_out=batch.measured)
     return CarrierStream(result, batch, [df for df in lists if df is not None])
 
 
