@@ -103,8 +103,9 @@ def test_region_cut_when_keys_do_not_fit(spark):
     params = FilterParams(broadcast_max_keys=5, broadcast_max_rows=0)
     plan = plan_gene_filter(tables, G.GENES, [G.STUDY], params)
     # consequences, flagged, gene regions (8 > 5: annotation tables not cut), flagged regions (4 <= 5),
-    # carriers, participants
-    assert [m.rows for m in plan.measured] == [11, 6, 8, 4, 6, 5]
+    # words of the key filter (6 flagged rows), carriers, participants
+    rows = [m.rows for m in plan.measured]
+    assert rows[:4] + rows[5:] == [11, 6, 8, 4, 6, 5] and 0 < rows[4] <= 6
     text = explain(plan.carriers)
     assert "LeftSemi" in text and "__region" in text  # genotype rows cut to flagged regions
     got = sorted(tuple(str(v) for v in r) for r in plan.result.collect())

@@ -115,6 +115,10 @@ class FilterParams:
     # genome regions (chromosome, start // region_bin_size) of the flagged variants. Coordinates
     # bound the number of regions (~310k for a 3.1 Gb genome at 10 kb); it is measured as well.
     region_bin_size: int = 10_000
+    # With too many flagged keys to broadcast, the genotype rows are cut by a Bloom filter of at most this many
+    # 64-bit words (0: none) where they are read, unless more than ``key_filter_max_share`` of other keys would pass.
+    key_filter_words: int = 1 << 20
+    key_filter_max_share: float = 0.5
     # Above the broadcast bounds, variant keys with this many rows are spread over tasks in the annotation joins.
     heavy_key_rows: int = 1_000_000
     # Restrict the annotation tables to the variant keys of the listed genes before joining.

@@ -35,6 +35,7 @@ from varsift.operators import clinical as C
 from varsift.operators import flags as FL
 from varsift.operators import occurrences as O
 from varsift.operators.annotations import KEY, GeneSet
+from varsift.operators.keyfilter import keep_keys, key_filter, passing_share
 from varsift.operators.sizing import Measured, measure, skew_splittable
 from varsift.operators.skew import heavy_keys
 from varsift.params import FilterParams
@@ -255,6 +256,15 @@ def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantT
                      "cut to them before the shuffle" if regions.fits() else "shuffled whole")
             if regions.fits():
                 carriers = O.keep_regions(carriers, regions.side(), params.region_bin_size)
+            if params.key_filter_words:
+                # The exact keys, as far as a bounded table can hold them: at most key_filter_words rows.
+                words = measure(key_filter(flagged, KEY, params.key_filter_words), params.key_filter_words)
+                share = passing_share(words.df, params.key_filter_words)
+                if measured_out is not None:
+                    measured_out.append(words)
+                log.info("key filter: %d words; %.4f of other keys pass", words.rows, share)
+                if share <= params.key_filter_max_share:
+                    carriers = keep_keys(carriers, words.side(), KEY, params.key_filter_words)
             joined = O.join_carriers(shuffled_flagged, carriers)
         else:
             joined = O.join_carriers(shuffled_flagged, carriers)

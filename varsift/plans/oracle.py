@@ -334,3 +334,4 @@ SQL["gene_based_filter_multi_study"] = _with(
     "carriers AS (SELECT * FROM occ WHERE study_id IN ('SD_A', 'SD_B') AND NOT is_multi_allelic AND has_alt = 1 "
     "AND NOT (adj0 = 0 AND adj1 = 0))",
     DGN, HPO, PHT, STD, _result("res", "over", True, True)) + "SELECT * FROM res"
+SQL["flagged_carriers_large_sets"] = SQL["flagged_carriers"]

@@ -339,6 +339,14 @@ def q_flagged_carriers(spark, sf_dir):
                                                      "HGMDID", "adjusted_calls")))
 
 
+def q_flagged_carriers_large_sets(spark, sf_dir):
+    """J7 as it runs beyond all broadcast bounds: genotype rows cut by a Bloom filter of the flagged keys, then the
+    exact join; J1, J2, J5 and J6 by shuffle joins."""
+    plan = _flagship(_tables(spark, sf_dir), broadcast_max_keys=0, broadcast_max_rows=0)
+    return plan.detached(render(plan.carriers.select(*KEY, "participant_id", "biospecimen_id", "symbol", "VariationID",
+                                                     "HGMDID", "adjusted_calls")))
+
+
 def q_diagnoses_combined(spark, sf_dir):
     """E1 + C10: sorted distinct diagnosis texts per participant."""
     return render(C.diagnoses_combined(_tables(spark, sf_dir).diagnoses))
@@ -450,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "known_variant_override": q_known_variant_override,
     "carrier_calls": q_carrier_calls,
     "flagged_carriers": q_flagged_carriers,
+    "flagged_carriers_large_sets": q_flagged_carriers_large_sets,
     "diagnoses_combined": q_diagnoses_combined,
     "hpo_codes": q_hpo_codes,
     "phenotypes_combined": q_phenotypes_combined,
