@@ -57,3 +57,30 @@ def test_too_many_flagged_keys_cut_the_genotype_scan(spark, tmp_path):
     assert rows(saturated) == rows(off) == rows(want)
     for p in (want, got, saturated, off):
         p.release()
+
+
+def test_clustered_genotypes_are_joined_without_an_exchange(spark, tmp_path):
+    from dataclasses import replace
+
+    from varsift.operators.occurrences import credible_carriers, join_carriers
+    from varsift.sources.sinks import write_clustered
+
+    tables = G.tables(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        occ = write_clustered(tables.occurrences, "clustered_calls", KEY, 5, str(tmp_path / "clustered"))
+        plan = plan_gene_filter(replace(tables, occurrences=occ), G.GENES, [G.STUDY],
+                                FilterParams(broadcast_max_keys=0, broadcast_max_rows=0))
+        want = plan_gene_filter(tables, G.GENES, [G.STUDY])
+        assert sorted(map(repr, plan.result.collect())) == sorted(map(repr, want.result.collect()))
+        plan.flagged.write.parquet(str(tmp_path / "flagged"))
+        flagged = spark.read.parquet(str(tmp_path / "flagged"))  # without the plans of its caches
+        text = join_carriers(flagged, credible_carriers(occ, 0.2))._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Bucketed: true" in text and "SelectedBucketsCount: 5 out of 5" in text
+        assert text.count("Exchange hashpartitioning") == 1  # the flagged side alone
+        plan.release()
+        want.release()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE IF EXISTS clustered_calls")

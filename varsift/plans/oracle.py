@@ -335,3 +335,4 @@ SQL["gene_based_filter_multi_study"] = _with(
     "AND NOT (adj0 = 0 AND adj1 = 0))",
     DGN, HPO, PHT, STD, _result("res", "over", True, True)) + "SELECT * FROM res"
 SQL["flagged_carriers_large_sets"] = SQL["flagged_carriers"]
+SQL["clustered_genotype_join"] = SQL["flagged_carriers"]

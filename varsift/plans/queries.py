@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from varsift.plans.gene_filter import AnnotationPlan, GeneFilterPlan, VariantTab
 from varsift.plans.jobs import combine_results, write_combined, write_result
 from varsift.session import ensure_checkpoint_dir
 from varsift.sources import readers as RD
-from varsift.sources.sinks import write_tsv
+from varsift.sources.sinks import write_clustered, write_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -347,6 +348,18 @@ def q_flagged_carriers_large_sets(spark, sf_dir):
                                                      "HGMDID", "adjusted_calls")))
 
 
+def q_clustered_genotype_join(spark, sf_dir):
+    """A2 + J7: the genotype table written once in buckets by variant key, then joined beyond the broadcast bounds with
+    no exchange of the genotypes."""
+    t = _tables(spark, sf_dir)
+    name = f"genotypes_{uuid.uuid4().hex}"
+    clustered = write_clustered(t.occurrences, name, KEY, 8, _scratch(spark, "clustered"))
+    tables = replace(_variant_tables(t), occurrences=clustered)
+    plan = plan_gene_filter(tables, GENES, STUDIES, FilterParams(broadcast_max_keys=0, broadcast_max_rows=0))
+    return plan.detached(render(plan.carriers.select(*KEY, "participant_id", "biospecimen_id", "symbol", "VariationID",
+                                                     "HGMDID", "adjusted_calls")))
+
+
 def q_diagnoses_combined(spark, sf_dir):
     """E1 + C10: sorted distinct diagnosis texts per participant."""
     return render(C.diagnoses_combined(_tables(spark, sf_dir).diagnoses))
@@ -459,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "carrier_calls": q_carrier_calls,
     "flagged_carriers": q_flagged_carriers,
     "flagged_carriers_large_sets": q_flagged_carriers_large_sets,
+    "clustered_genotype_join": q_clustered_genotype_join,
     "diagnoses_combined": q_diagnoses_combined,
     "hpo_codes": q_hpo_codes,
     "phenotypes_combined": q_phenotypes_combined,
