@@ -135,6 +135,61 @@ def test_rules_see_every_part_of_a_url(spark, bad, good):
     assert got == {k: "block" if k % 4 == 0 else "allow" for k, _ in rows}
 
 
+def _urls(spark, urls, bad):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    return pages, spark.createDataFrame([(k, int(not b), 0) for k, b in enumerate(bad)], "doc_id long, quality int, toxic int")
+
+
+def test_few_pages_make_no_rule(spark):
+    for n, blocked in ((url_rules.LEAST_PAGES - 1, 0), (url_rules.LEAST_PAGES, url_rules.LEAST_PAGES)):
+        urls = ["http://a.net/casino/x"] * n + [f"http://b.net/{k}" for k in range(200)]
+        pages, labels = _urls(spark, urls, [True] * n + [k % 10 == 0 for k in range(200)])
+        assert sum(r.verdict == "block" for r in url_rules.judged(pages, labels).collect()) == blocked
+
+
+def test_labels_without_a_pattern_make_no_rule(spark):
+    rng = np.random.default_rng(4)
+    urls = [f"http://{'abc'[k % 3]}.net/{'xyz'[k // 3 % 3]}/p?{'uvw'[k // 9 % 3]}=1" for k in range(900)]
+    pages, labels = _urls(spark, urls, (rng.random(900) < 0.3).tolist())
+    assert {r.verdict for r in url_rules.judged(pages, labels).collect()} == {"allow"}
+
+
+def test_urls_with_very_many_keys_finish(spark):
+    """Forty keys on one page, and the same forty on thirty bad pages: no page hangs the mining, none is cut."""
+    keys = "&".join(f"k{k}=1" for k in range(40))
+    urls = [f"http://odd.net/?{keys.replace('k', 'j')}"] + [f"http://b.net/?{keys}"] * 30 + [f"http://b.net/{k}" for k in range(100)]
+    pages, labels = _urls(spark, urls, [True] * 31 + [False] * 100)
+    more = spark.createDataFrame([(1000, "http://c.net/?k7=2"), (1001, "http://c.net/?k77=2")], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_rules.judged(pages.union(more), labels).collect()}
+    assert got == {k: "block" if 1 <= k <= 30 or k == 1000 else "allow" for k in got}
+
+
+def test_mined_rules_equal_brute_force(spark):
+    """All combinations of tokens, counted one by one."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(9)
+    urls = [f"http://{rng.choice(['a', 'b'])}.net/{rng.choice(['x', 'y', 'z'])}?{rng.choice(['u', 'v'])}=1" for _ in range(1200)]
+    bad = [("a.net/x" in u or ("/y" in u and "?v" in u)) and rng.random() < 0.97 for u in urls]
+    pages, labels = _urls(spark, urls, bad)
+    rows = pages.select("page_id", "url", *[c.alias(n) for c, n in zip(url_rules.host_and_path(), ("host", "path"))]).select(
+        "page_id", url_rules.url_tokens().alias("tokens"))
+    rules, classes = url_rules.mined_rules(rows, labels)
+    item = {r.token: r.item for r in classes.collect()}
+    sets = [frozenset(item[t] for t in r.tokens if t in item) for r in rows.orderBy("page_id").collect()]
+    z, found = url_rules.Z, {}
+    for size in (1, 2, 3, 4):
+        for tokens in combinations(sorted(set(item.values())), size):
+            on = [b for s, b in zip(sets, bad) if s.issuperset(tokens)]
+            if len(on) >= url_rules.LEAST_PAGES:
+                n, p = len(on), sum(on) / len(on)
+                low = (p + z * z / 2 / n - z * (p * (1 - p) / n + z * z / 4 / n / n) ** 0.5) / (1 + z * z / n)
+                if low >= url_rules.CONFIDENCE:
+                    found[tokens] = low
+    want = {t for t, low in found.items() if not any(set(o) < set(t) and c >= low for o, c in found.items())}
+    assert {tuple(r.tokens) for r in rules.collect()} == want and want
+
+
 def test_url_rules_run_no_python(spark):
     plan = url_rules.judged(spark.read.parquet(f"{SF}/pages.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
     text = plan._jdf.queryExecution().executedPlan().toString()

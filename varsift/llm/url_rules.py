@@ -2,13 +2,15 @@
 
 A page's url is a set of tokens: every host label with its place from the right, the first path segment, every
 further one wherever it stands, the extension and every query key.
-Spark's FP-growth mines the token combinations of the labelled pages; a combination becomes a block rule if, of the
-labelled pages that hold it, enough are labelled bad (confidence) and it is frequent enough (support). A rule with a
-more general rule of at least its confidence is dropped. Rules match through an inverted index: a rule is filed under its rarest
+Spark's FP-growth mines the token combinations of the labelled pages; a combination becomes a block rule if at least
+``LEAST_PAGES`` labelled pages hold it (support) and of these surely enough are bad: the lower end of the 95 % Wilson
+interval of its confidence counts, so a few pages never make a rule. Tokens found on exactly the same labelled pages are
+one item (its first name), so a url with very many parts does not multiply the combinations. A rule with a more general
+rule of at least its confidence is dropped. Rules match through an inverted index: a rule is filed under its rarest
 token, urls are joined on their tokens (those that some rule holds), and only there the rest of the rule is compared.
 
-DataFrame and SQL functions only. The mining sees labelled pages; FP-growth's driver part holds the frequent single
-tokens (at most mean tokens per url / support). Distinct sets of rule tokens are matched once, whatever the number of their urls.
+DataFrame and SQL functions only. The mining sees labelled pages; FP-growth's driver part and the matching hold the
+tokens of at least ``LEAST_PAGES`` labelled pages. Distinct sets of rule tokens are matched once, whatever the number of their urls.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, no tokens and is allowed; repeated rows give
 repeated results; without labels no rule is mined and only fixed rules block.
@@ -25,7 +27,8 @@ from varsift.llm.storage import written
 #: Fixed rules (host and path, verdict).
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
          ("com/de/", "block"))
-SUPPORT, CONFIDENCE = 0.002, 0.8
+#: A rule rests on this many labelled pages at least, and its confidence's lower bound (normal deviate Z) is this.
+LEAST_PAGES, CONFIDENCE, Z = 20, 0.8, 1.96
 BAD = "label:bad"
 
 
@@ -61,23 +64,64 @@ def url_tokens(url: str = "url") -> Column:
     return F.array_sort(F.array_distinct(F.filter(several, lambda x: ~F.endswith(x, F.lit(":")))))
 
 
-def mined_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """(tokens, rarest, confidence) of the block rules. ``pages``: page_id, tokens; ``labels``: doc_id, quality, toxic."""
+def sure_share(bad: Column, pages: Column) -> Column:
+    """The lower end of the Wilson interval of the share ``bad / pages``."""
+    share, spread = bad / pages, Z * Z / pages
+    return (share + spread / 2 - Z * F.sqrt((share * (1 - share) + spread / 4) / pages)) / (1 + spread)
+
+
+def needed_bad(least: int, confidence: float) -> int:
+    """The bad pages that every rule has: fewer are not sure enough on ``least`` pages, nor on more."""
+    def sure(bad: int, pages: int) -> float:
+        share, spread = bad / pages, Z * Z / pages
+        return (share + spread / 2 - Z * (share * (1 - share) / pages + spread / (4 * pages)) ** 0.5) / (1 + spread)
+
+    enough = [bad for bad in range(1, least + 1) if sure(bad, least) >= confidence]
+    return enough[0] if enough else max(least, int(confidence * Z * Z / (1 - confidence)))
+
+
+def token_classes(baskets: DataFrame, least: int) -> DataFrame:
+    """(token, item) of the tokens on ``least`` pages or more; tokens on exactly the same pages are one item."""
+    page = F.xxhash64("page_id", "copy")
+    seen = baskets.select(page.alias("page"), F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count("*").alias("pages"), F.bit_xor("page").alias("x"), F.sum(F.col("page").cast("decimal(20,0)")).alias("s")).where(F.col("pages") >= least)
+    return seen.groupBy("pages", "x", "s").agg(F.min("token").alias("item"), F.collect_set("token").alias("tokens")).select(
+        F.explode("tokens").alias("token"), "item")
+
+
+def mined_rules(pages: DataFrame, labels: DataFrame, least: int = LEAST_PAGES, confidence: float = CONFIDENCE
+                ) -> tuple[DataFrame, DataFrame]:
+    """The block rules (tokens, rarest, confidence; tokens stand for their class) and the classes (token, item).
+
+    ``pages``: page_id, tokens; ``labels``: doc_id, quality, toxic.
+    """
     bad = (F.coalesce(F.max("toxic"), F.lit(0)) == 1) | (F.coalesce(F.min("quality"), F.lit(1)) == 0)
     marked = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("page_id")).agg(bad.alias("bad"))
-    baskets = pages.join(marked, "page_id").where(F.size("tokens") > 0).select(
-        F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    rules = model.associationRules.where(F.array_contains("consequent", BAD)).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence")
+    rows = pages.join(marked, "page_id").where(F.size("tokens") > 0)
+    baskets = written(rows.select("page_id", F.monotonically_increasing_id().alias("copy"), "tokens", "bad"), "baskets")
+    classes = written(token_classes(baskets, least), "classes")
+    number = baskets.count()
+    if number < least:
+        return rows.sparkSession.createDataFrame([], "tokens array<string>, confidence double, rarest string"), classes
+    items = baskets.select("page_id", "copy", "bad", F.explode("tokens").alias("token")).join(classes, "token").groupBy(
+        "page_id", "copy", "bad").agg(F.collect_set("item").alias("items"))
+    items = items.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, needed_bad(least, confidence) / number)).fit(items)
+    found = written(model.freqItemsets, "itemsets")
+    with_bad = found.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(
+        F.array_sort(F.array_remove("items", BAD)).alias("tokens"), F.col("freq").alias("bad"))
+    alone = found.where(~F.array_contains("items", BAD) & (F.col("freq") >= least)).select(
+        F.array_sort("items").alias("tokens"), F.col("freq").alias("pages"))
+    rules = with_bad.join(alone, "tokens").withColumn("confidence", sure_share(F.col("bad"), F.col("pages"))).where(
+        F.col("confidence") >= confidence).select("tokens", "confidence")
     general = rules.select(F.element_at("tokens", 1).alias("token"), F.col("tokens").alias("wide"), F.col("confidence").alias("c"))
     covered = (rules.select("tokens", "confidence", F.explode("tokens").alias("token")).join(general, "token")
                .where((F.size("wide") < F.size("tokens")) & (F.size(F.array_except("wide", "tokens")) == 0) & (F.col("c") >= F.col("confidence")))
                .select("tokens").distinct())
     pruned = rules.join(covered, "tokens", "left_anti")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq"))
+    single = found.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq"))
     seen = pruned.select("tokens", "confidence", F.explode("tokens").alias("token")).join(single, "token")
-    return seen.groupBy("tokens", "confidence").agg(F.min_by("token", F.struct("freq", "token")).alias("rarest"))
+    return seen.groupBy("tokens", "confidence").agg(F.min_by("token", F.struct("freq", "token")).alias("rarest")), classes
 
 
 def judged(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
@@ -87,9 +131,15 @@ def judged(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ..
     rule, verdict = fixed_rule(rules)
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("fixed"),
                        F.when(F.col("host") != "", url_tokens()).otherwise(F.array().cast("array<string>")).alias("tokens"))
-    found = written(mined_rules(rows.select("page_id", "tokens"), labels), "rules")
-    used = [r.token for r in found.select(F.explode("tokens").alias("token")).distinct().collect()]  # frequent ones only
-    rows = rows.withColumn("tokens", F.filter("tokens", lambda x: x.isin(used)))  # others match no rule
+    found, classes = mined_rules(rows.select("page_id", "tokens"), labels)
+    found = written(found, "rules")
+    used = found.select(F.explode("tokens").alias("item")).distinct()
+    names = {r.token: r.item for r in classes.join(used, "item").collect()}  # on LEAST_PAGES labelled pages each
+    # tokens as their class's item; others match no rule
+    named = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*map(F.lit, names.values()))) if names else None
+    items = (F.array_sort(F.array_distinct(F.filter(F.transform("tokens", lambda x: F.try_element_at(named, x)), lambda x: x.isNotNull())))
+             if names else F.array().cast("array<string>"))
+    rows = rows.withColumn("tokens", items)
     sets = rows.where("fixed is null and size(tokens) > 0").select("tokens").distinct()
     hits = (sets.select("tokens", F.explode("tokens").alias("rarest"))
             .join(found.withColumnRenamed("tokens", "needed"), "rarest")
