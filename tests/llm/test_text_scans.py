@@ -159,6 +159,30 @@ def test_disguises_map_back_to_the_source(text, found, kind):
     assert (kind, found) in got
 
 
+def test_recall_of_planted_disguises():
+    """Every form of the at with every form of the dot, and cards with spelled parts: at least nine of ten are found whole."""
+    ats = ["@", " [at] ", "(at)", " at ", " {at} ", " AT ", " @ ", " arroba "]
+    dots = [".", " [dot] ", "(dot)", " dot ", " DOT ", " punto "]
+    forms = [f"{who}{at}{host}{dot}{end}" for at in ats for dot in dots for who in ("john", "anna.b7", "kim_lee")
+             for host, end in (("example", "com"), ("mail-1", "ru"), ("my", "dev"), ("shop", "org")) if (at, dot) != ("@", ".")]
+    spoken = dict(zip("0123456789", "zero one two three four five six seven eight nine".split()))
+    for card in ("4111111111111111", "5500005555555559"):
+        for a, b in ((0, 4), (4, 8), (8, 12), (12, 16), (2, 14)):
+            parts = [card[:a], *(spoken[c] for c in card[a:b]), card[b:]]
+            forms.append(" ".join(x for x in parts if x))
+    found = 0
+    for form in forms:
+        text = f"Please write: {form}, thank you."
+        found += any(text[a:b] == form and k >= len(pii_offsets.KINDS) for a, k, b in pii_offsets.spans(text))
+    assert found >= 0.9 * len(forms), found / len(forms)
+
+
+@pytest.mark.parametrize("text", ["look at example.com for more", "he arrived at noon. Then he left", "x at the point of no return",
+                                  "we met at the dot in the map", "see the note @ home. Thanks"])
+def test_running_text_is_no_address(text):
+    assert pii_offsets.spans(text) == []
+
+
 @pytest.mark.parametrize("text", ["look at the dot on the page", "one two three", "he is at home (at last) [dot]", "un deux trois quatre"])
 def test_ordinary_text_is_left_alone(text):
     assert pii_offsets.spans(text) == []

@@ -2,7 +2,8 @@
 
 Plain identifiers are found in the text as it is. Disguised ones are found in a normalised copy: a transducer reads the
 text once and writes, for each stretch it knows a plainer form of, that form together with the stretch it stands for:
-look-alike letters and digits, invisible characters, spelled digits in four languages, and at/dot disguises. The same
+look-alike letters and digits, invisible characters, spelled digits in four languages (mixed with plain ones), and at/dot disguises: a literal,
+bracketed or spelled at with dots of any of these forms (spelled ones before listed or two-letter last parts). The same
 detectors run over the copy, and each identifier that touches a rewritten stretch is mapped back to source characters.
 Such spans have the kinds ``hidden_email`` and so on; one that lies within a plain span is not added.
 
@@ -44,17 +45,81 @@ _SPELLED = [
 _VALUES = [(0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 9), range(10), (0, 1, 2, 3, 4, 5, 7, 8, 9), range(10)]
 _DIGIT = {w: str(v) for words, values in zip(_SPELLED, _VALUES, strict=True) for w, v in zip(words.split(), values, strict=True)}
 _NUMBER = "|".join(sorted(_DIGIT, key=len, reverse=True))
-_RUN = re.compile(rf"\b(?:plus[\x20-]+)?(?:double[\x20-]+)?(?:{_NUMBER})(?:[\x20,-]+(?:double[\x20-]+)?(?:{_NUMBER}|point|dot|[0-9](?![0-9]))){{3,}}\b", re.I)
-_PART = re.compile(rf"plus|double|{_NUMBER}|point|dot|[0-9]", re.I)
+_RUN = re.compile(rf"(?<![0-9A-Za-z])(?:plus[\x20-]+|\+)?(?:double[\x20-]+)?(?:{_NUMBER}|[0-9]++)(?:[\x20,-]+(?:double[\x20-]+)?(?:{_NUMBER}|point|dot|[0-9]++)){{3,}}\b", re.I)
+_PART = re.compile(rf"plus|\+|double|{_NUMBER}|point|dot|[0-9]+", re.I)
 _AT = r"(?:\x20*[\(\[{<]\x20*(?:at|@|arroba|ät)\x20*[\)\]}>]\x20*)"
 _DOT = r"(?:\x20*[\(\[{<]\x20*(?:dot|\.|punto|point|punkt)\x20*[\)\]}>]\x20*)"
 _MARK = re.compile(rf"(?<=[A-Za-z0-9])(?:(?P<at>{_AT})|(?P<dot>{_DOT}))(?=[A-Za-z0-9])", re.I)
-#: Last parts that a dot written as a word may precede ("the dot on the page" is no address).
-_ENDS = "com|org|net|edu|gov|info|io|co|eu|uk|us|de|fr|es|it|nl|ch|ca|au|in|jp|cn|br|mx"
-_SAID = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:\x20(?:dot|punto|point|punkt)\x20[A-Za-z0-9_%+-]+){0,3}(?P<at>\x20+(?:at|arroba|@)\x20+)"
-                   r"[A-Za-z0-9-]+(?:(?:\x20+(?:dot|punto|point|punkt)\x20+|\.)[A-Za-z0-9-]+)*\x20+(?:dot|punto|point|punkt)\x20+"
-                   rf"(?:{_ENDS})(?![A-Za-z0-9])", re.I)
-_WORD_DOT = re.compile(r"\x20+(?:dot|punto|point|punkt)\x20+", re.I)
+_SAID_DOT = r"(?:\x20+(?:dot|punto|point|punkt)\x20+)"
+_LABEL = "[A-Za-z0-9-]++"
+_AT_FORM = re.compile(rf"{_AT}|\x20+(?:at|arroba)\x20+|\x20?@\x20?", re.I)
+_DOT_FORM = re.compile(rf"{_DOT}|{_SAID_DOT}|\.", re.I)
+_CLOSE_DOMAIN = re.compile(rf"{_LABEL}(?:(?:\.|{_DOT}){_LABEL})+", re.I)
+_ANY_DOMAIN = re.compile(rf"{_LABEL}(?:(?:\.|{_DOT}|{_SAID_DOT}){_LABEL})+", re.I)
+_DOT_BEFORE = re.compile(rf"(?:{_DOT}|{_SAID_DOT})$", re.I)
+#: Last parts of more than two letters that an address with spelled at and dot may have; of two letters any
+#: may, but for words of running text ("the dot on the page" is no address).
+_ENDS = frozenset("com org net edu gov mil int info biz name pro mobi museum travel jobs cat tel post asia coop aero app dev "
+                  "online site website shop store tech blog cloud email live news space world xyz club digital agency "
+                  "academy bank berlin paris london wien koeln hamburg nyc".split())
+_WORDS = frozenset("on of or if up we an he oh ok go as by do to so is am my at be no us it in me de es la le un et ou du se "
+                   "si el da zu im um so wo ob er the and for was are not you this that with from here there".split()) - frozenset(
+                       "us de es it in".split())
+#: Words that stand before "at" in running text ("look at example.com").
+_BEFORE_AT = frozenset("look looks looking looked meet met me us you them it is are was were be been find found available visit "
+                       "online website site page pages shop here there live works work working based hosted read see more "
+                       "buy sold order arrive arrived stay stop start started stood sat aim aimed point pointed".split())
+_ARTICLES = frozenset("the a an this that our your their his her its".split())
+
+
+def _end_fits(end: str, spelled: bool) -> bool:
+    """Whether the last part may end an address whose at or dots are disguised."""
+    if not end.isalpha() or len(end) < 2 or end in _WORDS:
+        return False
+    return not spelled or len(end) == 2 or end in _ENDS
+
+
+def addresses(text: str) -> list[tuple[int, int, str]]:
+    """The disguised at and dots of addresses: every form of the one goes with every form of the other."""
+    out = []
+    for m in _AT_FORM.finditer(text):
+        start = at = m.start()
+        while start and text[start - 1] in _LOCAL:
+            start -= 1
+        if start == at:
+            continue
+        form = m[0].strip()
+        said_at = form.isalpha()
+        domain = _CLOSE_DOMAIN.match(text, m.end())
+        ends = domain and re.split(r"[^A-Za-z0-9-]+", domain[0].rstrip(")]}> "))[-1].lower()
+        if not domain or not _end_fits(ends, True):
+            domain = _ANY_DOMAIN.match(text, m.end()) or domain
+        if not domain:
+            continue
+        dots = list(_DOT_FORM.finditer(text, domain.start(), domain.end()))
+        said_dot = any(d[0].strip().isalpha() for d in dots)
+        literal = all(d[0] == "." for d in dots)
+        end = text[dots[-1].end() : domain.end()].lower()
+        if not _end_fits(end, said_at and (said_dot or literal)):
+            continue
+        if said_at and literal and text[start:at].lower() in _BEFORE_AT:
+            continue
+        if said_at and text[domain.start() : dots[0].start()].lower() in _ARTICLES:
+            continue
+        if m[0] != "@":
+            out.append((at, m.end(), "@"))
+        out += [(d.start(), d.end(), ".") for d in dots if d[0] != "."]
+        while dot := _DOT_BEFORE.search(text, max(0, start - 24), start):  # spelled dots of the local part
+            before = dot.start()
+            while before and text[before - 1] in _LOCAL:
+                before -= 1
+            if before == dot.start():
+                break
+            out.append((dot.start(), dot.end(), "."))
+            start = before
+    return out
+
+
 _ODD_SET = frozenset([*_LOOKALIKES, *_INVISIBLE])
 _ODD = re.compile("[" + "".join(map(re.escape, sorted(_ODD_SET))) + "]")
 
@@ -100,12 +165,12 @@ def rewritten(text: str, lower: str) -> list[tuple[int, int, str]]:
         out += [(m.start(), m.end(), _LOOKALIKES.get(m[0], "")) for m in _ODD.finditer(text)]
     if "(" in text or "[" in text or "{" in text or "<" in text:
         out += [(m.start(), m.end(), "@" if m["at"] else ".") for m in _MARK.finditer(text)]
-    if any(x in lower for x in (" dot ", " punto ", " point ", " punkt ")):
-        for m in _SAID.finditer(text):
-            out.append((m.start("at"), m.end("at"), "@"))
-            out += [(d.start(), d.end(), ".") for d in _WORD_DOT.finditer(text, m.start(), m.end())]
+    if "@" in text or " at " in lower or "arroba" in lower or "(" in text or "[" in text or "{" in text or "<" in text:
+        out += addresses(text)
     spoken = any(map(_DIGIT.__contains__, lower.replace(",", " ").replace("-", " ").split()))
     for m in _RUN.finditer(text) if spoken else ():
+        if not any(c.isalpha() for c in m[0]):
+            continue
         twice = False
         for p in _PART.finditer(m[0]):
             word = p[0].lower()
@@ -116,7 +181,7 @@ def rewritten(text: str, lower: str) -> list[tuple[int, int, str]]:
                 value = {"plus": "+", "point": ".", "dot": "."}.get(word) or _DIGIT.get(word, word)
                 value, twice = value * (1 + twice), False
             end = m.start() + p.end()
-            while end < m.end() and text[end] in " ,-":  # the digits are written without a gap
+            while end < m.end() and text[end] in " ,-" and word != "+":  # the digits are written without a gap
                 end += 1
             out.append((m.start() + p.start(), end, value))
     out.sort()
