@@ -65,9 +65,14 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, language: np.n
     return ta.mix(ta.span_hashes(ta.prefix_sums(data), start, end) ^ language)
 
 
+def _region(size: int, slots: int) -> slice:
+    """The slots of one phrase length: a quarter of the table."""
+    return slice((size - 1) * (slots // 4), size * (slots // 4))
+
+
 def _slots(words: np.ndarray, size: int, slots: int) -> np.ndarray:
     """Slots of the phrases of ``size`` words that begin at each word."""
-    return (ta.shingle_hashes(words, size) & np.uint64(slots - 1)).astype(np.int64)
+    return (ta.shingle_hashes(words, size) & np.uint64(slots // 4 - 1)).astype(np.int64) + _region(size, slots).start
 
 
 class Chunk:
@@ -86,11 +91,16 @@ class Chunk:
                                                       [None, pa.py_buffer(edges), pa.py_buffer(data)])
         self.all: tuple[pa.Array, np.ndarray] | None = None
         self.hashes = _hashes(data, start, end, _language_hashes(names)[self.language]) if len(start) else np.zeros(0, np.uint64)
-        breaks = np.append(0, np.cumsum(_BREAK[data]))
-        joined = (row[1:] == row[:-1]) & (breaks[start[1:]] == breaks[end[:-1]])
+        # two words are apart if a break lies in their gap: mostly its first or last byte
+        after, before = end[:-1], start[1:]
+        apart = _BREAK[data[after]] | _BREAK[data[before - 1]] if len(start) else np.zeros(0, bool)
+        wide = np.flatnonzero((before - after > 2) & ~apart)
+        if len(wide):
+            inner = np.column_stack([after[wide], before[wide]]).ravel()
+            apart[wide] = np.logical_or.reduceat(_BREAK[data], inner)[::2]
         # how many words of its piece follow each word, itself included
-        last = np.flatnonzero(np.append(~joined, True)[: len(start)])
-        self.left = last[np.searchsorted(last, np.arange(len(start)))] - np.arange(len(start)) + 1
+        last = np.append(np.flatnonzero(apart | (row[1:] != row[:-1])), len(start) - 1)[: len(start)]
+        self.left = last.repeat(np.diff(np.append(-1, last))) - np.arange(len(start)) + 1
 
     def _numbered(self, places: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         known = self.whole.take(pa.array(2 * places)).dictionary_encode()
@@ -136,7 +146,12 @@ def _counter(step: int, begun: np.ndarray, shards: int):
         return pa.RecordBatch.from_arrays([name.cast(pa.binary()), pa.array(since.astype(np.int32)), pa.array(n.astype(np.int64))],
                                           names=["name", "since", "n"])
 
+    oldest = max(0, step - shards + 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a phrase within its cycle has a part that began in these steps; sizes without any are not looked at
+        parts = {size: begun[_region(size, len(begun))] for size in range(1, LONGEST)}
+        open_sizes = {size + 1: bool(((x >= oldest) & (x <= step)).any()) for size, x in parts.items()}
         for batch in batches:
             coded = batch.column(batch.schema.get_field_index("lang")).dictionary_encode()
             names, language = coded.dictionary.to_pylist(), coded.indices.to_numpy()
@@ -150,15 +165,15 @@ def _counter(step: int, begun: np.ndarray, shards: int):
                     name, n = chunk.totals()
                     yield rows(name, np.zeros(len(n)), n)
                 for size in range(2, LONGEST + 1):
-                    begin = np.flatnonzero(chunk.left >= size)
-                    if not len(begin):
-                        break
+                    if not open_sizes[size]:
+                        continue
                     known = begun[_slots(chunk.hashes, size - 1, len(begun))]
-                    since = np.maximum(known[begin], known[begin + 1])
-                    begin = begin[(since <= step) & (step - since.astype(np.int64) < shards)]
+                    since = np.maximum(known[:-1], known[1:])
+                    begin = np.flatnonzero((since >= oldest) & (since <= step))
+                    begin = begin[chunk.left[begin] >= size]
                     if len(begin):
                         first, name, n = chunk.counts(size, begin)
-                        yield rows(name, np.maximum(known[first], known[first + 1]), n)
+                        yield rows(name, since[first], n)
 
     return run
 
@@ -193,7 +208,7 @@ def _named(counts: DataFrame) -> DataFrame:
 def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS, slots: int = SLOTS,
                      text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, phrase, size, n) of every phrase of 1 to ``LONGEST`` words found ``least`` times or more in its language;
-    size 0 holds the number of all words of a language. ``slots`` is a power of two."""
+    size 0 holds the number of all words of a language. ``slots`` is a power of two, 4 or more."""
     spark = docs.sparkSession
     corpus, states = shared_path(spark, "phrase-shards"), shared_path(spark, "phrase-counts")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
