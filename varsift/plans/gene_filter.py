@@ -225,17 +225,11 @@ def plan_gene_filter(tables: VariantTables, genes: Sequence[str] | DataFrame | G
     return GeneFilterPlan(**vars(base), flagged=flagged, carriers=joined, result=result)
 
 
-def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantTables, params: FilterParams,
-                    measured_flagged: Measured | None = None, measured_csq: Measured | None = None,
-                    studies: Sequence[str] | None = None,
-                    lists: tuple[DataFrame, DataFrame, DataFrame | None] | None = None,
-                    measured_out: list[Measured] | None = None) -> tuple[DataFrame, DataFrame]:
-    """J7 + J10-J12: credible carriers of the flagged variants, decorated; works on a batch or a
-    streaming ``occurrences`` frame (stream-static joins). ``lists`` are precomputed clinical lists
-    (default: built from ``tables``); measurements made here are appended to ``measured_out``.
-    Returns (carriers, final result)."""
-    prof = params.profile
-    carriers = O.credible_carriers(occurrences, params.aaf, prof, studies)
+def join_flagged(occurrences: DataFrame, flagged: DataFrame, params: FilterParams, measured_flagged: Measured | None = None,
+                 measured_csq: Measured | None = None, studies: Sequence[str] | None = None,
+                 measured_out: list[Measured] | None = None) -> DataFrame:
+    """Credible carriers of the flagged variants, by the cheapest plan that the measurements allow."""
+    carriers = O.credible_carriers(occurrences, params.aaf, params.profile, studies)
     if measured_flagged is not None and measured_flagged.fits():
         # Broadcast hash join: the genotype table is streamed once, filtered where it is read.
         joined = O.join_carriers(measured_flagged.side(), carriers)
@@ -268,6 +262,20 @@ def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantT
             joined = O.join_carriers(shuffled_flagged, carriers)
         else:
             joined = O.join_carriers(shuffled_flagged, carriers)
+    return joined
+
+
+def attach_carriers(occurrences: DataFrame, flagged: DataFrame, tables: VariantTables, params: FilterParams,
+                    measured_flagged: Measured | None = None, measured_csq: Measured | None = None,
+                    studies: Sequence[str] | None = None,
+                    lists: tuple[DataFrame, DataFrame, DataFrame | None] | None = None,
+                    measured_out: list[Measured] | None = None) -> tuple[DataFrame, DataFrame]:
+    """J7 + J10-J12: credible carriers of the flagged variants, decorated; works on a batch or a
+    streaming ``occurrences`` frame (stream-static joins). ``lists`` are precomputed clinical lists
+    (default: built from ``tables``); measurements made here are appended to ``measured_out``.
+    Returns (carriers, final result)."""
+    prof = params.profile
+    joined = join_flagged(occurrences, flagged, params, measured_flagged, measured_csq, studies, measured_out)
     if lists is None:
         participants = None
         if params.key_reduction and not joined.isStreaming:

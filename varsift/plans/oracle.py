@@ -336,3 +336,19 @@ SQL["gene_based_filter_multi_study"] = _with(
     DGN, HPO, PHT, STD, _result("res", "over", True, True)) + "SELECT * FROM res"
 SQL["flagged_carriers_large_sets"] = SQL["flagged_carriers"]
 SQL["clustered_genotype_join"] = SQL["flagged_carriers"]
+
+
+# --- thresholds as a surface (P4): every setting restated over the rows before any threshold ----------------------
+def _values(name: str, *values: float) -> str:
+    return f"(SELECT CAST(unnest([{', '.join(map(str, values))}]) AS DOUBLE) AS {name})"
+
+
+SQL["threshold_surface"] = _with(
+    *FLAGSHIP_CTES[:8],
+    "pool AS (SELECT f.max_gnomad_topmed, f.PredCountRatio_D2T, o.vaf, f.VariationID IS NOT NULL OR f.HGMDID IS NOT NULL AS known "
+    f"FROM over f JOIN occ o ON {_on('f', 'o')} WHERE NOT o.is_multi_allelic AND o.has_alt = 1 AND NOT (o.call0 = 0 AND o.call1 = 0))",
+    f"settings AS (SELECT * FROM {_values('maf', 0.0001, 0.001, 0.01, 0.5)}, {_values('dpc_l', 0.0, 0.3, 0.5)}, "
+    f"{_values('dpc_u', 0.4, 0.8, 1.0)}, {_values('aaf', 0.0, 0.2, 0.45)})") + (
+    "SELECT s.maf, s.dpc_l, s.dpc_u, s.aaf, count(p.known) AS n_rows, count(*) FILTER (p.known) AS n_known FROM settings s "
+    "LEFT JOIN pool p ON (p.known OR (p.max_gnomad_topmed < s.maf AND (p.PredCountRatio_D2T IS NULL OR "
+    "p.PredCountRatio_D2T BETWEEN s.dpc_l AND s.dpc_u))) AND coalesce(p.vaf >= s.aaf, true) GROUP BY ALL")

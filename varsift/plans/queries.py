@@ -26,6 +26,7 @@ from varsift.params import CLINVAR_SIGNIFICANCE_WITH_VUS, FilterParams
 from varsift.plans.fixtures import FLAGSHIP_GENES, FLAGSHIP_STUDIES, MappedTables, mapped_tables
 from varsift.plans.gene_filter import AnnotationPlan, GeneFilterPlan, VariantTables, plan_annotations, plan_gene_filter
 from varsift.plans.jobs import combine_results, write_combined, write_result
+from varsift.plans.thresholds import ThresholdGrid, threshold_surface
 from varsift.session import ensure_checkpoint_dir
 from varsift.sources import readers as RD
 from varsift.sources.sinks import write_clustered, write_tsv
@@ -442,6 +443,15 @@ def q_gene_based_filter_multi_study(spark, sf_dir):
     return plan.detached(render(plan.result))
 
 
+THRESHOLDS = ThresholdGrid(maf=(0.0001, 0.001, 0.01, 0.5), dpc_l=(0.0, 0.3, 0.5), dpc_u=(0.4, 0.8, 1.0), aaf=(0.0, 0.2, 0.45))
+
+
+def q_threshold_surface(spark, sf_dir):
+    """The rows of the filter at each of 108 settings of its four thresholds, from one genotype scan."""
+    rows, plan = threshold_surface(_variant_tables(_tables(spark, sf_dir)), GENES, STUDIES, THRESHOLDS)
+    return plan.detached(rows)
+
+
 QUERIES: dict[str, Query] = {
     "gene_list_clean": q_gene_list_clean,
     "canonical_gene_filter": q_canonical_gene_filter,
@@ -483,4 +493,5 @@ QUERIES: dict[str, Query] = {
     "gene_based_filter": q_gene_based_filter,
     "gene_based_filter_old": q_gene_based_filter_old,
     "gene_based_filter_multi_study": q_gene_based_filter_multi_study,
+    "threshold_surface": q_threshold_surface,
 }
