@@ -352,3 +352,18 @@ SQL["threshold_surface"] = _with(
     "SELECT s.maf, s.dpc_l, s.dpc_u, s.aaf, count(p.known) AS n_rows, count(*) FILTER (p.known) AS n_known FROM settings s "
     "LEFT JOIN pool p ON (p.known OR (p.max_gnomad_topmed < s.maf AND (p.PredCountRatio_D2T IS NULL OR "
     "p.PredCountRatio_D2T BETWEEN s.dpc_l AND s.dpc_u))) AND coalesce(p.vaf >= s.aaf, true) GROUP BY ALL")
+
+
+# --- study releases one by one: each study's own genotypes with the variants of that study ------------------------
+def _study_run(tag: str, study: str) -> tuple[str, ...]:
+    return (_vrt(f"vrt_{tag}", _has("study", study)), _cand(f"cand_{tag}", f"vrt_{tag}"), _clv(f"clv_{tag}", f"vrt_{tag}"),
+            _hgm(f"hgm_{tag}", f"vrt_{tag}"), _over(f"over_{tag}", f"cand_{tag}", f"clv_{tag}", f"hgm_{tag}"),
+            _result(f"res_{tag}", f"over_{tag}", True, True))
+
+
+_RUN_COLS = (f"study_id, participant_id, biospecimen_id, CASE WHEN chromosome IN ({LEVELS}) THEN chromosome END AS chromosome, "
+             "start, family_id, is_proband, study_code, VariationID, HGMDID")
+SQL["incremental_results"] = _with(CSQ, DBN, OCC, CARRIERS, DGN, HPO, PHT, STD, *_study_run("a", "SD_A"),
+                                   *_study_run("b", "SD_B")) + (
+    f"SELECT {_RUN_COLS}, '0004' AS release, 'first' AS ran_in FROM res_a WHERE study_id = 'SD_A' "
+    f"UNION ALL SELECT {_RUN_COLS}, '0011' AS release, 'second' AS ran_in FROM res_b WHERE study_id = 'SD_B'")

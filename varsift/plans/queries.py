@@ -25,6 +25,7 @@ from varsift.operators.annotations import KEY, GeneSet
 from varsift.params import CLINVAR_SIGNIFICANCE_WITH_VUS, FilterParams
 from varsift.plans.fixtures import FLAGSHIP_GENES, FLAGSHIP_STUDIES, MappedTables, mapped_tables
 from varsift.plans.gene_filter import AnnotationPlan, GeneFilterPlan, VariantTables, plan_annotations, plan_gene_filter
+from varsift.plans.incremental import ResultLedger, StudyRelease, merged_results, update_results
 from varsift.plans.jobs import combine_results, write_combined, write_result
 from varsift.plans.thresholds import ThresholdGrid, threshold_surface
 from varsift.session import ensure_checkpoint_dir
@@ -452,6 +453,26 @@ def q_threshold_surface(spark, sf_dir):
     return plan.detached(rows)
 
 
+def q_incremental_results(spark, sf_dir):
+    """A5 + P1 + P3 by release: one study's genotypes are filtered, then both studies are wanted and only the second one
+    is run; the ledger tells in which of the two updates each study was run."""
+    t = _tables(spark, sf_dir)
+    parent, out = _scratch(spark, "releases"), _scratch(spark, "ledgered")
+    paths = [f"{parent}/occurrences_sd_a_re_0004", f"{parent}/occurrences_sd_b_re_0011"]
+    for path in paths:
+        t.occurrences.where(F.col("study_id") == RD.study_from_path(path)).write.partitionBy("study_id").parquet(path)
+    sources = [StudyRelease.at(p) for p in paths]
+    tables = replace(_variant_tables(t), occurrences=None)
+    first = update_results(spark, tables, FLAGSHIP_GENES, sources[:1], out)
+    second = update_results(spark, tables, FLAGSHIP_GENES, sources, out)
+    updates = spark.createDataFrame([(s.study, k) for k, u in (("first", first), ("second", second)) for s in u.ran],
+                                    "study string, ran_in string")
+    entries = ResultLedger(spark, out).entries().select("study", "release").join(updates, "study")
+    rows = merged_results(spark, second).join(F.broadcast(entries), F.col("study_id") == F.col("study"), "left")
+    return rows.select("study_id", "participant_id", "biospecimen_id", "chromosome", "start", "family_id", "is_proband",
+                       "study_code", "VariationID", "HGMDID", "release", "ran_in")
+
+
 QUERIES: dict[str, Query] = {
     "gene_list_clean": q_gene_list_clean,
     "canonical_gene_filter": q_canonical_gene_filter,
@@ -494,4 +515,5 @@ QUERIES: dict[str, Query] = {
     "gene_based_filter_old": q_gene_based_filter_old,
     "gene_based_filter_multi_study": q_gene_based_filter_multi_study,
     "threshold_surface": q_threshold_surface,
+    "incremental_results": q_incremental_results,
 }
