@@ -220,3 +220,28 @@ def contract(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return contamination(docs, benchmark).select(
         "doc_id", "n_words", n_hit.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+_SQL_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+#: The same rows in DuckDB: every run of words of a window's length is joined to the windows as text.
+SQL = f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_SQL_WORDS} AS words FROM documents),
+items AS MATERIALIZED (SELECT row_number() OVER () AS r, item_id, {_SQL_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL),
+ahead AS (SELECT r, i, list(w) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS next
+  FROM (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs)),
+item_ahead AS (SELECT item_id, n, i, list(w) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS next
+  FROM (SELECT r, item_id, len(words) AS n, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM items)),
+windows AS (SELECT DISTINCT item_id, len(next) AS k, array_to_string(next, ' ') AS run FROM item_ahead
+  WHERE i <= greatest(n - {WINDOW} + 1, 1)),
+lengths AS (SELECT DISTINCT k FROM windows),
+runs AS (SELECT r, i, k, array_to_string(next[1:k], ' ') AS run FROM ahead JOIN lengths ON len(next) >= k),
+found AS (SELECT r, i, k, item_id FROM runs JOIN windows USING (k, run)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""

@@ -455,3 +455,26 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     one = those(kept.where(many)).withColumns({h: F.xxhash64(text), g: F.xxhash64(F.lit(1), text)})
     one = one.dropDuplicates([id_col, h, g]).drop(h, g)
     return those(kept.where(~many)).unionByName(one)
+
+
+#: The same rows in DuckDB: equal sets are one node, all pairs of nodes with a shingle in common are counted, and the
+#: smallest id is handed along the links until nothing changes.
+SQL = r"""
+WITH RECURSIVE docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+tokens AS (SELECT r, len(words) AS n, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs),
+places AS (SELECT r, n, i, concat_ws(' ', w, lead(w, 1) OVER next, lead(w, 2) OVER next, lead(w, 3) OVER next, lead(w, 4) OVER next) AS shingle
+  FROM tokens WINDOW next AS (PARTITION BY r ORDER BY i)),
+sets AS (SELECT r, list_sort(list(DISTINCT shingle)) AS shingles FROM places WHERE i <= greatest(n - 4, 1) GROUP BY r),
+nodes AS MATERIALIZED (SELECT row_number() OVER () AS node, shingles, len(shingles) AS n FROM (SELECT DISTINCT shingles FROM sets)),
+postings AS (SELECT node, n, unnest(shingles) AS shingle FROM nodes),
+common AS (SELECT a.node AS u, b.node AS v, count(*) AS shared, any_value(a.n + b.n) AS total
+  FROM postings a JOIN postings b ON a.shingle = b.shingle AND a.node <> b.node GROUP BY a.node, b.node),
+links AS (SELECT u, v FROM common WHERE 100 * shared >= 75 * (total - shared)),
+own AS (SELECT r, doc_id, node, n FROM docs JOIN sets USING (r) JOIN nodes USING (shingles)),
+reach AS (SELECT node, node AS goal FROM nodes UNION SELECT reach.node, links.v FROM reach JOIN links ON reach.goal = links.u),
+named AS (SELECT reach.node, min(own.doc_id) AS low FROM reach JOIN own ON own.node = reach.goal GROUP BY reach.node)
+SELECT docs.doc_id, coalesce(own.n, 0) AS n_shingles, coalesce(named.low, docs.doc_id) AS component_id
+FROM docs LEFT JOIN own USING (r) LEFT JOIN named ON named.node = own.node
+"""

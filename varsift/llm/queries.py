@@ -91,4 +91,5 @@ QUERIES = {f.__name__: f for f in (
     op13_filter_audit)}
 
 #: Operators that DuckDB can express over whole tables; the others are tested against brute force in tests/llm.
-SQL: dict[str, str] = {"op12_phrase_mining": phrase_mining.SQL, "op13_filter_audit": filter_audit.SQL}
+SQL: dict[str, str] = {"op7_jaccard_join": jaccard_join.SQL, "op9_decontaminate": decontaminate.SQL,
+                       "op12_phrase_mining": phrase_mining.SQL, "op13_filter_audit": filter_audit.SQL}
