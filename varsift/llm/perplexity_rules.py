@@ -1,6 +1,8 @@
 """Quality rules with n-gram perplexity bands.
 
-The language model is a modified Kneser-Ney model of order 4 over text bytes in 32 classes (letters without case, white
+Two language models judge a document, each with a band around the median of its language. ``symbol_model`` judges spelling:
+5-grams of symbols of the whole corpus, a model for every language, a document left out of what it is judged by; they grow with
+the corpus. The one here judges shape (tables, marks among the words): a modified Kneser-Ney model of order 4 over bytes in 32 classes (letters without case, white
 space, digits, punctuation, parts of other characters), one for each of the most frequent languages and one for all
 others. Spark counts the 4-grams of the whole corpus: each task adds up its own and sends the distinct ones. With
 32 classes a language has at most 2**20 4-grams, which bounds what the driver smooths and the executors hold (about
@@ -8,11 +10,11 @@ others. Spark counts the 4-grams of the whole corpus: each task adds up its own
 hashes with log probabilities and back-off weights; tasks look up each distinct 4-gram once by binary search.
 
 A document's log perplexity is compared with its language's median over the corpus; it is rejected below the lower and
-above the upper edge of the band. The median comes from an exact histogram. Short texts vary more, so the band is
+above the upper edge of either band. The medians come from exact histograms. Short texts vary more, so the band is
 wider for them, by ``SPREAD`` standard errors.
 
 Defined cases: null, empty and wordless texts have no words and fail the base rules; a null or rare language
-belongs to the pooled model; repeated rows give repeated results; only id, text and language are read.
+belongs to the pooled model of shapes, and rows without a language are a language of their own in spelling; repeated rows give repeated results; only id, text and language are read.
 """
 
 from __future__ import annotations
@@ -21,11 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from varsift.llm import symbol_model
 from varsift.llm import text_arrays as ta
-from varsift.llm.arrow_jobs import report
 from varsift.llm.storage import written
 
 ORDER = 4
@@ -37,6 +39,8 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: Half-widths of the band in log perplexity, for long texts, and standard errors added for short ones.
 LOWER, UPPER, SPREAD = 0.06, 0.45, 3.0
+#: The same for the symbols' model.
+SYMBOL_LOWER, SYMBOL_UPPER, SYMBOL_SPREAD = 0.25, 0.6, 4.0
 BIN = 0.001
 
 _CLASS = np.full(256, 28, np.int64)
@@ -210,12 +214,8 @@ def _scorer(model: Model):
         seen = np.zeros((LANGUAGES, GRAMS), bool)
         value = np.zeros((LANGUAGES, GRAMS), np.float32)
 
-        def score(data: np.ndarray, at: np.ndarray) -> list:
-            size = np.diff(at)
-            tag = data[at[:-1]].astype(np.int64) - 0x30 if len(data) else np.zeros(len(size), np.int64)
-            keep = np.ones(len(data), bool)
-            keep[at[:-1]] = False  # the language's digit before the text
-            data, at = data[keep], at - np.arange(len(at))
+        def score(data: np.ndarray, at: np.ndarray, rows: pa.RecordBatch) -> list:
+            tag = rows.column("number").to_numpy().astype(np.int64)
             code, row = gram_codes(data, at)
             lang = tag[row]
             for k in np.unique(tag).tolist():
@@ -236,30 +236,34 @@ def _scorer(model: Model):
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Per row of ``docs``: id, STATS, ``language``, ``lower``/``upper`` edges, ``base_failed``, ``kept``."""
+    """Per row of ``docs``: id, language, STATS, those of ``symbol_model``, ``lower``/``upper`` edges of both, ``base_failed``, ``kept``."""
     names = languages(docs, lang_col)
     number = F.coalesce(*[F.when(F.col(lang_col) == name, F.lit(k)) for k, name in enumerate(names)], F.lit(LANGUAGES - 1))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     model = Model(count_grams(docs.select(text.alias("_text"), number.alias("_lang")), len(names)))
-    tagged = docs.select(F.struct(F.col(id_col).alias("id"), number.alias("lang")).alias("_key"),
-                         F.concat(number.cast("string"), text).alias("_tagged"))
-    scored = report(tagged, _scorer(model), STATS, "_key", "_tagged")
-    scored = scored.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
-                               | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    scored = written(scored.select(F.col("_key.id").alias(id_col), F.col("_key.lang").alias("_lang"), *scored.columns[1:]), "scored")
-    bins = scored.where("not base_failed").groupBy("_lang", F.floor(F.col("log_perplexity") / BIN).alias("bin")).agg(F.count("*").alias("n"))
-    bands: dict[int, float] = {}
-    for lang, g in bins.toPandas().sort_values("bin").groupby("_lang"):
-        upto = np.cumsum(g["n"].to_numpy())
-        bands[int(lang)] = (float(g["bin"].to_numpy()[np.searchsorted(upto, upto[-1] / 2)]) + 0.5) * BIN
-    middle = F.coalesce(*[F.when(F.col("_lang") == k, F.lit(v)) for k, v in bands.items()], F.lit(None).cast("double"))
-    slack = SPREAD * F.col("deviation") / F.sqrt(F.greatest(F.col("n_bytes"), F.lit(1)))
-    scored = scored.withColumn("lower", middle - LOWER - slack).withColumn("upper", middle + UPPER + slack)
-    inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
-    return scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), text.alias("text"), number.alias("number"))
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    found = written(symbol_model.scored(rows, STATS, _scorer(model)).withColumn("base_failed", failed), "scored")
+    kept = ~F.col("base_failed")
+    for by, name, n, lower, upper, spread in (("number", "", "n_bytes", LOWER, UPPER, SPREAD),
+                                              ("lang", "symbol_", "n_grams", SYMBOL_LOWER, SYMBOL_UPPER, SYMBOL_SPREAD)):
+        found = found.join(_medians(found, by, f"{name}log_perplexity"), F.col(by).eqNullSafe(F.col("_of")), "left").drop("_of")
+        slack = spread * F.col(f"{name}deviation") / F.sqrt(F.greatest(F.col(n), F.lit(1)))
+        found = found.withColumn(f"{name}lower", F.col("_middle") - lower - slack).withColumn(f"{name}upper", F.col("_middle") + upper + slack)
+        inside = F.col(f"{name}log_perplexity").between(F.col(f"{name}lower"), F.col(f"{name}upper"))
+        found, kept = found.drop("_middle"), kept & F.coalesce(inside, F.lit(True))
+    return found.withColumn("kept", kept).select(F.col("id").alias(id_col), *[c for c in found.columns if c != "id"], "kept")
+
+
+def _medians(found: DataFrame, by: str, value: str) -> DataFrame:
+    """(_of, _middle): the median of a value over the documents that pass the base rules, from an exact histogram."""
+    bins = found.where("not base_failed").groupBy(by, F.floor(F.col(value) / BIN).alias("bin")).agg(F.count("*").alias("n"))
+    upto = bins.withColumn("upto", F.sum("n").over(Window.partitionBy(by).orderBy("bin")))
+    upto = upto.withColumn("all", F.sum("n").over(Window.partitionBy(by)))
+    return upto.where("2 * upto >= all").groupBy(F.col(by).alias("_of")).agg(((F.min("bin") + 0.5) * BIN).alias("_middle"))
 
 
 def contract(docs: DataFrame) -> DataFrame:
     """The columns of op5."""
     return judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                               "kept", "log_perplexity", "lower", "upper")
+                               "kept", "log_perplexity", "lower", "upper", "symbol_log_perplexity", "symbol_lower", "symbol_upper")
