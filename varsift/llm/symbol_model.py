@@ -33,6 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from varsift.llm import text_arrays as ta
+from varsift.llm.storage import written
 
 BITS = 12
 LAST = np.uint64((1 << BITS) - 1)
@@ -282,7 +283,7 @@ def scored(rows: DataFrame, fields: str, scorer: Callable[[], Callable[[np.ndarr
     offsets of a few texts and their rows, then ``n_grams``, ``symbol_log_perplexity`` (null for an empty text) and ``symbol_deviation``."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + size // BUCKET_BYTES
-    records = part_grams(rows, buckets)
+    records = written(part_grams(rows, buckets), "grams")  # read twice; a few hundredths of the texts
     model = fitted(records)
     others = [c for c in rows.columns if c != "text"]
     schema = StructType([*(rows.schema[c] for c in others),
