@@ -46,6 +46,10 @@ def test_windows_cover_every_word():
     covered = {int(k) for a, s in zip(first, size) for k in range(a, a + s)}
     assert covered == set(range(len(words.number)))
     assert set(row.tolist()) == set(range(1, len(texts)))
+    whole = toxicity_gru.LENGTH - toxicity_gru.STEP + 1
+    low = np.searchsorted(words.row, len(texts) - 1)  # the longest text: each passage lies whole in some window
+    own = [(a, a + s) for a, s, r in zip(first, size, row) if r == len(texts) - 1]
+    assert all(any(a <= k and k + whole <= b for a, b in own) for k in range(low, low + 200 - whole + 1))
 
 
 def test_held_out_accuracy(spark):

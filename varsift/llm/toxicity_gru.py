@@ -2,8 +2,9 @@
 
 A word enters as its hashed word vector next to the mean of its parts' vectors: hashed character trigrams and
 beginnings. Windows of ``LENGTH``
-words, each overlapping the next, run through a GRU in both directions; attention pools the states and a logistic unit
-scores the window. A document's score is that of its highest window, so every word of every text is scored.
+words, one every ``STEP`` words, run through a GRU in both directions; attention pools the states and a logistic unit
+scores the window. A document's score is that of its highest window, so every word of every text is scored, and a
+passage of up to ``LENGTH - STEP + 1`` words lies whole in some window wherever it stands.
 
 Training is plain numpy in one task, on a bounded sample: at most ``TRAIN_DOCS`` labelled rows of each class with
 texts of at most ``TRAIN_BYTES``, by the least hash of their ids, never from the held-out fold. As a label belongs to a
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from varsift.llm import text_arrays as ta
 from varsift.llm.arrow_jobs import keep_rows, report
 
-LENGTH, STEP = 32, 24
+LENGTH, STEP = 32, 8
 HIDDEN = 8
 WORD_DIM, CHAR_DIM = 6, 6
 WORDS, PARTS = 1 << 14, 1 << 16
