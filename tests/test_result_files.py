@@ -153,3 +153,17 @@ def test_a_file_system_that_cannot_join_is_an_error(spark, tmp_path):
             SK.join_files(spark, str(tmp_path / "x"), [str(tmp_path / "a"), str(tmp_path / "b")])
     finally:
         SK._file_system = own
+
+
+def test_cells_are_parsed_once_and_only_where_they_may_be_json(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, 0.5, "a", [1, 2]), (2, None, "[", [3])], "start long, level double, note string, ad array<int>")
+    path = str(tmp_path / "cells")
+    SK.write_tsv(df, path)
+    plan = RD.read_result(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    asked = []
+    monkeypatch.setattr(I, "_json_schemas", lambda c, columns, numbers, *rest, own=I._json_schemas: (
+        asked.extend(columns[k] for k in numbers), own(c, columns, numbers, *rest))[1])
+    assert I.guess_types(_cells(spark, ["1", "2.5"]), ["cell"])[0]["cell"] == T.DoubleType() and not asked
+    assert I.guess_types(_cells(spark, ["[1]", "x"]), ["cell"])[0]["cell"] == T.StringType() and not asked
+    assert I.guess_types(_cells(spark, ["[1]", "["]), ["cell"])[0]["cell"] == T.StringType() and asked == ["cell"]
