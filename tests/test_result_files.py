@@ -167,3 +167,7 @@ def test_cells_are_parsed_once_and_only_where_they_may_be_json(spark, tmp_path,
     assert I.guess_types(_cells(spark, ["1", "2.5"]), ["cell"])[0]["cell"] == T.DoubleType() and not asked
     assert I.guess_types(_cells(spark, ["[1]", "x"]), ["cell"])[0]["cell"] == T.StringType() and not asked
     assert I.guess_types(_cells(spark, ["[1]", "["]), ["cell"])[0]["cell"] == T.StringType() and asked == ["cell"]
+
+
+def test_buckets_grow_with_the_table(spark):
+    assert [SK.bucket_count(spark.range(n), 10) for n in (0, 80, 81, 1000)] == [8, 8, 16, 128]

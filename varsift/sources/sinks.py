@@ -90,6 +90,16 @@ def write_clustered(df: DataFrame, table: str, keys: Sequence[str], buckets: int
     return df.sparkSession.table(table)
 
 
+def bucket_count(df: DataFrame, rows_per_bucket: int = 1 << 20, least: int = 8) -> int:
+    """Buckets for ``write_clustered``: a power of two, so that a bucket (which one task sorts) has about
+    ``rows_per_bucket`` rows or fewer however large the table is, as far as no key has more by itself."""
+    buckets = least
+    rows = df.count()
+    while buckets * rows_per_bucket < rows:
+        buckets *= 2
+    return buckets
+
+
 def _writer(out: DataFrame, compression: str, quote: bool, header: bool) -> DataFrameWriter:
     writer = (out.write.option("sep", SEPARATOR).option("header", header)
               .option("nullValue", NULL_TEXT).option("emptyValue", "").option("compression", compression))
