@@ -216,3 +216,21 @@ def test_swaps_lead_through_all_orders_and_keep_the_function():
         assert list(diagram.steps()) == list(fresh.steps())
     assert len(orders) == 120
     assert len(filter_audit.Diagram({0: (1, 0, 0), 31: (1, 0, 0)}).nodes) < 32  # equal subdiagrams are one
+
+
+def test_shuffles_of_a_written_step_are_dropped(spark, tmp_path):
+    from varsift.llm.storage import shuffles_dropped
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {x for x in files.mkString("\n").split("\n") if x.endswith(".data") and "shuffle_" in x}
+
+    old = shuffles()
+    with shuffles_dropped(spark):
+        spark.range(1000).selectExpr("id % 100 AS k").groupBy("k").count().write.parquet(str(tmp_path / "step"))
+    assert not shuffles() - old
+    assert spark.read.parquet(str(tmp_path / "step")).count() == 100
+    assert spark.conf.get(name, None) == before

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varsift.llm import text_arrays as ta
-from varsift.llm.storage import shared_path
+from varsift.llm.storage import shared_path, shuffles_dropped
 
 SHARDS = 2
 LONGEST = 5
@@ -225,11 +225,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS,
             raise ValueError("too many shards")
         shard = spark.read.schema("lang string, text string, shard int").parquet(corpus).where(
             F.col("shard") == step % shards).select("lang", "text")
-        fresh = shard.mapInArrow(_counter(step, begun, shards), COUNTS)
-        total = fresh.unionByName(open_rows).groupBy("name", "since").agg(F.sum("n").alias("n"))
-        total = total.withColumn("finished", F.col("since") + shards <= step + 1)
         path = f"{states}/step-{step:03d}"
-        total.where((F.col("n") >= least) | ~F.col("finished") | total_row).write.parquet(path, compression="zstd")
+        with shuffles_dropped(spark):
+            fresh = shard.mapInArrow(_counter(step, begun, shards), COUNTS)
+            total = fresh.unionByName(open_rows).groupBy("name", "since").agg(F.sum("n").alias("n"))
+            total = total.withColumn("finished", F.col("since") + shards <= step + 1)
+            total.where((F.col("n") >= least) | ~F.col("finished") | total_row).write.parquet(path, compression="zstd")
         state = spark.read.schema(schema).parquet(path)
         often = _named(state.where(F.col("n") >= least)).where(F.col("size").between(1, LONGEST - 1))
         found = often.select("lang", "phrase", "size").mapInArrow(_new_slots(slots), "slot int").distinct().toArrow()["slot"].to_numpy()
