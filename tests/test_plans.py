@@ -6,6 +6,7 @@ import re
 import pytest
 
 from conftest import SF001
+from varsift.operators.sizing import METHOD_LIMIT, compiled_methods
 from varsift.params import FilterParams
 from varsift.plans.fixtures import FLAGSHIP_GENES, FLAGSHIP_STUDIES, mapped_tables
 from varsift.plans.gene_filter import VariantTables, plan_gene_filter
@@ -273,3 +274,32 @@ def test_checkpoint_folder_is_required_on_a_cluster():
     session.sparkContext.master = "yarn"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(session)
+
+
+def test_genotype_stage_is_not_one_method_too_large_to_be_compiled(spark, vt):
+    """Filter, wide projection and join in one generated method of over 8,000 bytes are interpreted row by row."""
+    limit = spark.conf.get(METHOD_LIMIT)
+    plan = plan_gene_filter(vt, FLAGSHIP_GENES, FLAGSHIP_STUDIES)
+    assert spark.conf.get(METHOD_LIMIT) == limit
+    names, todo = [], [plan.carriers._jdf.queryExecution().withCachedData().cacheBuilder().cachedColumnBuffers()]
+    while todo:
+        rdd = todo.pop()
+        names += [rdd.scope().get().name()] if rdd.scope().isDefined() else []
+        found = rdd.dependencies()
+        todo += [found.apply(k).rdd() for k in range(found.size())]
+    assert any(n.startswith("Scan parquet") for n in names)
+    assert {"Filter", "BroadcastHashJoin"} <= {n.strip() for n in names}, names
+    plan.release()
+
+
+def test_method_limit_is_set_back_and_never_raised(spark):
+    before = spark.conf.get(METHOD_LIMIT)
+    try:
+        for own, inside in (("65535", "8000"), ("3000", "3000")):
+            spark.conf.set(METHOD_LIMIT, own)
+            with pytest.raises(KeyError), compiled_methods(spark):
+                assert spark.conf.get(METHOD_LIMIT) == inside
+                raise KeyError
+            assert spark.conf.get(METHOD_LIMIT) == own
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
