@@ -126,3 +126,29 @@ def test_the_model_grows_with_the_corpus(spark):
     size = [sum(len(symbol_model._unpacked(x, np.uint64)) for x in t["keys"]) for t in (few, whole)]
     assert size[1] > 2 * size[0]
     assert symbol_model.part_grams(rows.where("false"), 4).count() == 0
+
+
+def test_texts_look_up_each_distinct_gram_once(monkeypatch):
+    texts = [symbol_model.grams(t) for t in ("abcabcabcabc", "x", "abcabcabc abc", "na" * 50)]
+    keys = np.unique(np.concatenate(texts))
+    value = np.arange(len(keys)) / 7
+    asked = []
+    search = np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *k: asked.append(len(v)) or search(a, v, *k))
+    found = symbol_model.looked_up(keys, value, texts)
+    assert sum(asked) == len(keys) < sum(map(len, texts))
+    monkeypatch.undo()
+    for g, p in zip(texts, found, strict=True):
+        assert p.tolist() == value[np.searchsorted(keys, g)].tolist()
+
+
+def test_shape_codes_begin_each_row_after_white_space():
+    texts = [b"", b"a", b"ab c", b"", b"wxyz 12\n", b"zz", b"\xc3\xa9-"]
+    at = np.cumsum([0, *map(len, texts)])
+    code, row = perplexity_rules.gram_codes(np.frombuffer(b"".join(texts), np.uint8), at)
+    expected = []
+    for text in texts:
+        symbols = [26] * 3 + [int(perplexity_rules._CLASS[b]) for b in text]
+        expected += [sum(symbols[k + 3 - j] << 5 * j for j in range(4)) for k in range(len(text))]
+    assert code.tolist() == expected and row.tolist() == [k for k, t in enumerate(texts) for _ in t]
+    assert code.dtype == np.int32

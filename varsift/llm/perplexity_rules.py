@@ -43,7 +43,7 @@ LOWER, UPPER, SPREAD = 0.06, 0.45, 3.0
 SYMBOL_LOWER, SYMBOL_UPPER, SYMBOL_SPREAD = 0.25, 0.6, 4.0
 BIN = 0.001
 
-_CLASS = np.full(256, 28, np.int64)
+_CLASS = np.full(256, 28, np.int32)
 _CLASS[[0x20, *range(0x09, 0x0E)]] = 26
 _CLASS[0x30:0x3A] = 27
 _CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = np.arange(26)
@@ -60,12 +60,14 @@ def gram_codes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """(4-gram code, row) ending at every byte; a row begins as if after white space."""
     size = np.diff(at)
     row = np.arange(len(size)).repeat(size)
-    padded = np.full(len(data) + 3 * len(size), 26, np.int64)
-    place = np.arange(len(data)) + 3 * (row + 1)
-    padded[place] = _CLASS[data]
-    code = padded[place]
+    code = symbol = _CLASS[data]
     for k in range(1, ORDER):
-        code = code | padded[place - k] << (BITS * k)
+        before = np.full(len(data), 26, np.int32)
+        before[k:] = symbol[:-k]
+        for j in range(k):  # the first bytes of a row
+            first = at[:-1][size > j] + j
+            before[first] = 26
+        code = code | before << (BITS * k)
     return code, row
 
 

@@ -278,6 +278,12 @@ def blobs(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, BLOB)
 
 
+def looked_up(keys: np.ndarray, value: np.ndarray, texts: list[np.ndarray]) -> list[np.ndarray]:
+    """The values of each text's 5-grams. The distinct 5-grams of all texts are looked up, in order, and not every symbol's."""
+    own, where = np.unique(np.concatenate(texts), return_inverse=True)
+    return np.split(value[np.searchsorted(keys, own)][where], np.cumsum([len(g) for g in texts])[:-1])
+
+
 def scored(rows: DataFrame, fields: str, scorer: Callable[[], Callable[[np.ndarray, np.ndarray, pa.RecordBatch], list]]) -> DataFrame:
     """Of ``rows`` (id, lang, text, other columns): all but the text, ``fields`` (DDL) as the scorer gives them for the bytes and
     offsets of a few texts and their rows, then ``n_grams``, ``symbol_log_perplexity`` (null for an empty text) and ``symbol_deviation``."""
@@ -321,10 +327,14 @@ def scored(rows: DataFrame, fields: str, scorer: Callable[[], Callable[[np.ndarr
             tables[lang] = keys, value
         out = []
         for piece, data, at in pieces:
-            stats = []
-            for lang, text in zip(piece.column("lang").to_pylist(), _texts(data, at), strict=True):
-                p = tables[lang][1][np.searchsorted(tables[lang][0], grams(text))] if text else np.zeros(0)
-                stats.append((len(p), -p.mean() if len(p) else None, p.std() if len(p) else 0.0))
+            stats: list = [(0, None, 0.0)] * len(piece)
+            same: dict = {}
+            for k, (lang, text) in enumerate(zip(piece.column("lang").to_pylist(), _texts(data, at), strict=True)):
+                if text:
+                    same.setdefault(lang, []).append((k, grams(text)))
+            for lang, found in same.items():
+                for (k, _), p in zip(found, looked_up(*tables[lang], [g for _, g in found]), strict=True):
+                    stats[k] = len(p), -p.mean(), p.std()
             columns = [*(piece.column(c) for c in others), *score(data, at, piece), *zip(*stats, strict=True)]
             out.append(pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(columns, arrow, strict=True)], schema=arrow))
         return pa.Table.from_batches(out, arrow)
