@@ -65,3 +65,31 @@ def test_seen_clinvar_records_need_no_consequence(spark, bound):
     assert plan.measured[0].fits() == (bound > 0)
     seen = plan.detached(plan.seen)
     assert sorted(r["VariationID"] for r in seen.collect()) == ["VCV2", "VCV9"]
+
+
+def test_hgmd_records_without_a_canonical_consequence_are_seen(spark, tmp_path):
+    rows = [
+        (17, "Brand#1", 3),     # at a canonical consequence
+        (34, "Brand#2", 15),    # its consequence is not canonical, no other one on the chromosome
+        (68, "Brand#3", 25), (68, "Brand#3", 25),  # not canonical; record and variant come twice
+        (136, "Brand#1", None),  # neither size nor DM
+        (119, "Brand#1", 20),   # DFP
+        (102, "Brand#4", 3),    # gene not listed
+        (170, "Brand#1", 3),    # variant of the other study only
+        (3502, "Brand#1", 15),  # no alternate: no key
+        (None, "Brand#1", 3),
+    ]
+    got = _as_the_statement(spark, _mapped(spark, tmp_path, rows), "hgmd_seen")
+    assert Counter(r["HGMDID"] for r in got) == {"CM17": 1, "CM34": 1, "CM68": 4}
+
+
+@pytest.mark.parametrize("bound", [FilterParams().broadcast_max_rows, 0], ids=["broadcast", "shuffle"])
+def test_seen_hgmd_records_need_no_consequence(spark, bound):
+    """As for ClinVar: a record at a variant whose consequence is not canonical."""
+    t = G.tables(spark)
+    key = G.VARIANTS["v9"][0]
+    more = t.hgmd.union(spark.createDataFrame([(*key, "CM9", "GENE1", "DM", "Phen 9")], G.HGMD_SCHEMA))
+    plan = plan_seen(A.hgmd_candidates(more, GeneSet(G.GENES)), t.variants, [G.STUDY], FilterParams(broadcast_max_rows=bound))
+    assert plan.measured[0].fits() == (bound > 0)
+    seen = plan.detached(plan.seen)
+    assert sorted(r["HGMDID"] for r in seen.collect()) == ["CM3", "CM9"]
